@@ -55,26 +55,37 @@ def _fold() -> Column:
     return F.sha2(F.array_join(children, "\n"), 256)
 
 
-def serial_digest(df: DataFrame, order: Sequence[Column], row_json: Column | None = None) -> str:
-    """SHA-256 over canonical rows in order, each followed by a newline.
+def serial_sha256(lines: DataFrame, order: Sequence[Column], head: str = "", between: str = "", tail: str = "") -> str:
+    """SHA-256 of ``head`` + the ordered ``line`` values joined by ``between`` + ``tail``.
 
-    The value the published manifests carry.  The table's canonical size is
-    measured first and a larger one is refused; use ``tree_digest`` there.
+    The byte size of all lines is measured first; beyond ``SERIAL_DIGEST_LIMIT``
+    the call is refused.  Below it one task folds the sorted stream in constant
+    memory.
     """
-    text = row_json if row_json is not None else canonical_json(df)
-    lines = df.select(text.alias("line"), *[c.alias(f"_o{i}") for i, c in enumerate(order)])
-    size = lines.agg(F.sum(F.octet_length("line"))).first()[0] or 0
+    keyed = lines.select("line", *[c.alias(f"_o{i}") for i, c in enumerate(order)])
+    size = keyed.agg(F.sum(F.octet_length("line"))).first()[0] or 0
     if size > SERIAL_DIGEST_LIMIT:
         raise ValueError(f"{size} canonical bytes exceed the serial digest limit; use tree_digest")
 
     def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        digest = hashlib.sha256()
+        digest, first = hashlib.sha256(head.encode("utf-8")), True
         for batch in batches:
             for line in batch.column(0):
-                digest.update(line.as_py().encode("utf-8") + b"\n")
+                digest.update(("" if first else between).encode("utf-8") + line.as_py().encode("utf-8"))
+                first = False
+        digest.update(tail.encode("utf-8"))
         yield pa.RecordBatch.from_pydict({"digest": [digest.hexdigest()]})
 
-    names = [f"_o{i}" for i in range(len(order))]
-    ordered = lines.repartition(1).sortWithinPartitions(*names).select("line")
-    found = ordered.mapInArrow(fold, "digest string").collect()
-    return found[0][0] if found else hashlib.sha256().hexdigest()
+    ordered = keyed.repartition(1).sortWithinPartitions(*[f"_o{i}" for i in range(len(order))])
+    found = ordered.select("line").mapInArrow(fold, "digest string").collect()
+    return found[0][0] if found else hashlib.sha256((head + tail).encode("utf-8")).hexdigest()
+
+
+def serial_digest(df: DataFrame, order: Sequence[Column], row_json: Column | None = None) -> str:
+    """SHA-256 over canonical rows in order, each followed by a newline.
+
+    The value published manifests carry for tables of bounded size; use
+    ``tree_digest`` beyond it.
+    """
+    text = row_json if row_json is not None else canonical_json(df)
+    return serial_sha256(df.withColumn("line", F.concat(text, F.lit("\n"))), order)
