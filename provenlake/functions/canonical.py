@@ -29,11 +29,16 @@ def lower_control_escapes(json: Column) -> Column:
     fixed_text = json
     for code in _LETTERED_ESCAPES:
         fixed_text = F.regexp_replace(
-            fixed_text, rf"(?<!\\)((?:\\\\)*)\\u00{code}", rf"$1\\u00{code.lower()}"
+            fixed_text, rf"(?<!\\)((?:\\\\)*+)\\u00{code}", rf"$1\\u00{code.lower()}"
         )
     return F.when(json.rlike(r"\\u00(?:0[BEF]|1[A-F])"), fixed_text).otherwise(json)
 
 
+def base64_text(column: Column) -> Column:
+    """Base64 on one line, whatever the session's line-chunking setting."""
+    return F.translate(F.base64(column), "\r\n", "")
+
+
 def sorted_map(column: Column) -> Column:
     """The same map with its entries in key order."""
     return F.map_from_entries(F.array_sort(F.map_entries(column)))
@@ -57,7 +62,7 @@ def canonical_value(column: Column, dtype: T.DataType) -> Column:
         return sorted_map(column)
     if isinstance(dtype, T.BinaryType):
         # Spark writes binary as base64 in JSON; make that explicit.
-        return F.base64(column)
+        return base64_text(column)
     return column
 
 
@@ -191,16 +196,17 @@ def strict_base64(text: Column) -> Column:
     non-canonical, not invalid.
     """
     ascii_only = text.rlike(r"^[\x00-\x7F]*$")
-    strict = text.rlike(r"^(?:[A-Za-z0-9+/]{4})*(?:[A-Za-z0-9+/]{2}==|[A-Za-z0-9+/]{3}=)?$")
+    d = "[A-Za-z0-9+/]"
+    strict = text.rlike(rf"^{d}*={{0,2}}$") & (F.length(text) % 4 == 0)
     # A lenient decoder skips foreign characters and stray padding, and stops at
-    # the first padding that completes a group.
+    # the first padding that completes a group.  The group loop is possessive:
+    # it runs in constant stack on texts of any length.
     kept = F.regexp_replace(text, r"[^A-Za-z0-9+/=]", "")
-    d = "[A-Za-z0-9+/]"
     loosely_decodable = kept.rlike(
-        rf"^(?:=*{d}=*{d}=?{d}{d})*(?:=*$|=*{d}=*{d}(?:==|=?{d}=))"
+        rf"^(?:=*+{d}=*+{d}=?+{d}{d})*+(?:=*+$|=*+{d}=*+{d}(?:==|=?{d}=))"
     ) & kept.rlike(d)
     payload = F.try_to_binary(text, F.lit("base64"))
-    canonical = F.base64(payload) == text
+    canonical = base64_text(payload) == text
     code = (
         F.when(~ascii_only, "invalid_base64")
         .when(F.length(text) == 0, "empty_candidate")

@@ -82,7 +82,7 @@ INVENTORY_HEADER = [
 
 # --- Fixed values: patterns ----------------------------------------------------------
 PUZZLE_ID_PATTERN = r"^om\.puzzle\.\d{4}$"
-GROUP_PATTERN = r"^[a-z0-9]+(?:-[a-z0-9]+)*$"
+GROUP_PATTERN = r"^[a-z0-9]++(?:-[a-z0-9]++)*+$"
 GAME_ID_PATTERN = r"^P\d{3}[a-z]?$"
 LEADERBOARD_KEY_PATTERN = r"^[A-Z0-9_]+$"
 SHA256_PATTERN = r"^[0-9a-f]{64}$"

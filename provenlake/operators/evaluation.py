@@ -8,6 +8,7 @@ from collections.abc import Mapping
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.functions import pandas_udf
 
 from ..functions import fixed_values as fixed
@@ -36,7 +37,10 @@ RUN_FIELDS = [
 # --- recorded output envelopes ---------------------------------------------------------
 
 
-@pandas_udf("code string, format string, body string")
+_ENVELOPE = T.StructType([T.StructField(n, T.StringType()) for n in ("code", "format", "body")])
+
+
+@pandas_udf(_ENVELOPE)
 def read_envelope(raw: pd.Series) -> pd.DataFrame:
     """Strict reading of one JSON envelope per value (duplicate names, trailing text)."""
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import fixed_values as fixed
-from ..functions.canonical import canonical_json_of, json_of, normalized_id
+from ..functions.canonical import canonical_json_of, normalized_id
 from ..functions.nested import opcode_name, ordinal_name
 
 
@@ -143,28 +143,3 @@ def normalize_solutions(
         "error",
     )
 
-
-def normalized_json(df: DataFrame) -> Column:
-    """Canonical JSON of a normalized row, with open objects written as objects."""
-    from ..functions.canonical import canonical_value, json_array, json_object, json_scalar
-
-    def text(name: str) -> Column:
-        return json_of(canonical_value(F.col(name), df.schema[name].dataType))
-
-    parts = F.transform(
-        "parts",
-        lambda p: json_object(
-            {
-                "part_id": json_scalar(p["part_id"]), "type": json_scalar(p["type"]),
-                "x": json_scalar(p["x"]), "y": json_scalar(p["y"]), "rotation": json_scalar(p["rotation"]),
-                "parameters": p["parameters"],
-            }
-        ),
-    )
-    return json_object(
-        {
-            **{c: json_scalar(F.col(c)) for c in ("normalized_solution_id", "solution_id", "puzzle_id", "normalizer_version")},
-            "parts": json_array(parts), "tracks": text("tracks"), "programs": text("programs"),
-            "summaries": text("summaries"),
-        }
-    )

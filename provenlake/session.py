@@ -29,6 +29,7 @@ def local_session(cores: str = "8", shuffle_partitions: int = 8, app: str = "pro
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", os.environ.get("PROVENLAKE_DRIVER_MEMORY", "8g"))
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.extraJavaOptions", "-Duser.timezone=UTC")
     )
     for key, value in SESSION_CONF.items():

@@ -23,9 +23,16 @@ from ..operators.coverage import rollup_counts
 from ..operators.ordering import number_in_buckets, numbered_lines, sequence_violations
 from ..operators.pairing import mapped_receipts, posix, stem, suffix
 
-RECEIPT_SCHEMA = T.StructType.fromDDL(
-    "source_id string, revision string, upstream_path string, sha256 string, byte_length bigint, "
-    "rights_status string, retrieved_at string"
+RECEIPT_SCHEMA = T.StructType(
+    [
+        T.StructField("source_id", T.StringType()),
+        T.StructField("revision", T.StringType()),
+        T.StructField("upstream_path", T.StringType()),
+        T.StructField("sha256", T.StringType()),
+        T.StructField("byte_length", T.LongType()),
+        T.StructField("rights_status", T.StringType()),
+        T.StructField("retrieved_at", T.StringType()),
+    ]
 )
 
 
@@ -161,7 +168,7 @@ def read_inventory(spark: SparkSession, path: str | list[str]) -> tuple[DataFram
     """
     header = ",".join(fixed.INVENTORY_HEADER)
     lines = numbered_lines(spark, path)
-    width = F.size(F.split(F.regexp_replace("line", r'"(?:[^"]|"")*"', ""), ","))
+    width = F.size(F.split(F.regexp_replace("line", r'"(?:[^"]++|"")*+"', ""), ","))
     body = lines.where("line_no > 1").withColumn("_width", width)
     columns = T.StructType([T.StructField(c, T.StringType()) for c in fixed.INVENTORY_HEADER])
     ddl = ", ".join(f"`{c}` string" for c in fixed.INVENTORY_HEADER)

@@ -2,18 +2,20 @@
 
 from __future__ import annotations
 
+from functools import cache
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import nested
-from ..functions.canonical import canonical_json, canonical_value, json_array, json_object, json_of, json_scalar, sorted_map
+from ..functions.canonical import base64_text, canonical_json, canonical_value, json_array, json_object, json_of, json_scalar, sorted_map
 from ..operators.checks import union_all, violations_where
 from ..operators.ordering import numbered_lines
 
 _HISTOGRAM = "map<string,bigint>"
-SCHEMAS = {
-    "puzzles": T.StructType.fromDDL(
+SCHEMA_DDL = {
+    "puzzles": (
         "puzzle_definition_id string, schema_version string, puzzle_id string, display_name string, kind string, "
         "aliases array<struct<system:string,value:string>>, allowed_parts array<string>, "
         f"allowed_instructions array<string>, reagents {nested.MOLECULES}, products {nested.MOLECULES}, "
@@ -21,14 +23,14 @@ SCHEMAS = {
         f"production_constraints {nested.CONSTRAINTS}, source_observation_ids array<string>, "
         "puzzle_artifact_ids array<string>, collection_id string"
     ),
-    "solutions": T.StructType.fromDDL(
+    "solutions": (
         "solution_id string, solution_sha256 string, puzzle_id string, puzzle_artifact_id string, "
         "solution_format string, solution_bytes string, rights_status string, verified boolean, "
         "validation_profile string, verifier_revision string, cost bigint, cycles bigint, area bigint, "
         "instructions bigint, vanilla_constructible boolean, record_eligible boolean, "
         "normalized_solution_id string, source_count bigint, collection_id string"
     ),
-    "observations": T.StructType.fromDDL(
+    "observations": (
         "observation_id string, artifact_kind string, artifact_id string, puzzle_id string, source_role string, "
         "source_id string, source_revision string, source_object_id string, source_path string, "
         "associated_artifact_path string, source_declared_puzzle_id string, source_url string, author string, "
@@ -36,7 +38,7 @@ SCHEMAS = {
         "observed_sha256 string, source_evidence_sha256 string, source_evidence_byte_length bigint, "
         "rights_status string, importer_version string"
     ),
-    "normalized": T.StructType.fromDDL(
+    "normalized": (
         "normalized_solution_id string, solution_id string, puzzle_id string, normalizer_version string, "
         "parts array<struct<part_id:string,type:string,x:int,y:int,rotation:int,parameters:string>>, "
         "tracks array<struct<track_id:string,coordinates:array<struct<x:int,y:int>>>>, "
@@ -45,6 +47,13 @@ SCHEMAS = {
         f"instruction_count:bigint,part_type_histogram:{_HISTOGRAM},opcode_histogram:{_HISTOGRAM}>"
     ),
 }
+
+
+@cache
+def release_schema(table: str) -> T.StructType:
+    return T.StructType.fromDDL(SCHEMA_DDL[table])
+
+
 # Columns an observation file may leave out; they are null after validation.
 OPTIONAL_COLUMNS = {
     "observations": [
@@ -72,7 +81,7 @@ def _shape(dtype: T.DataType, name: str = "") -> str:
 def row_shape(table: str) -> str:
     optional = set(OPTIONAL_COLUMNS.get(table, []))
     pieces = []
-    for f in sorted(SCHEMAS[table].fields, key=lambda f: f.name):
+    for f in sorted(release_schema(table).fields, key=lambda f: f.name):
         piece = f"(?:{f.name}: {_shape(f.dataType, f.name)}(?:, )?)"
         pieces.append(piece + "?" if f.name in optional else piece)
     return "^OBJECT<" + "".join(pieces) + ">$"
@@ -103,7 +112,8 @@ def read_release_lines(spark: SparkSession, folder: str) -> tuple[dict[str, Data
     """
     tables: dict[str, DataFrame] = {}
     found: list[DataFrame] = []
-    for table, schema in SCHEMAS.items():
+    for table in SCHEMA_DDL:
+        schema = release_schema(table)
         lines = numbered_lines(spark, f"{folder}/{table}.jsonl").where(F.trim("line") != "")
         shape = F.schema_of_variant(F.try_parse_json("line"))
         judged = lines.select(
@@ -130,7 +140,7 @@ def read_release_lines(spark: SparkSession, folder: str) -> tuple[dict[str, Data
             text = F.col("solution_bytes")
             found.append(
                 violations_where(
-                    rows, text.isNotNull() & ~F.coalesce(F.base64(F.try_to_binary(text, F.lit("base64"))) == text, F.lit(False)),
+                    rows, text.isNotNull() & ~F.coalesce(base64_text(F.try_to_binary(text, F.lit("base64"))) == text, F.lit(False)),
                     "schema_invalid", "solution_bytes is not base64", table, "line_no",
                 )
             )
@@ -141,11 +151,11 @@ def read_release_lines(spark: SparkSession, folder: str) -> tuple[dict[str, Data
 def encode_for_parquet(df: DataFrame, table: str) -> DataFrame:
     """Stored form of a table: the two histograms become JSON text."""
     if table != "normalized":
-        return df.select(*[f.name for f in SCHEMAS[table].fields])
+        return df.select(*[f.name for f in release_schema(table).fields])
     summaries = F.col("summaries")
     for h in ("part_type_histogram", "opcode_histogram"):
         summaries = summaries.withField(h, json_of(sorted_map(F.col(f"summaries.{h}"))))
-    return df.withColumn("summaries", summaries).select(*[f.name for f in SCHEMAS[table].fields])
+    return df.withColumn("summaries", summaries).select(*[f.name for f in release_schema(table).fields])
 
 
 def read_release_parquet(spark: SparkSession, folder: str, table: str) -> DataFrame:
@@ -162,7 +172,7 @@ def read_release_parquet(spark: SparkSession, folder: str, table: str) -> DataFr
 def row_json(df: DataFrame, table: str) -> Column:
     """Canonical JSON of a release row, with open objects written as objects."""
     if table != "normalized":
-        return canonical_json(df, [f.name for f in SCHEMAS[table].fields])
+        return canonical_json(df, [f.name for f in release_schema(table).fields])
 
     def text(name: str) -> Column:
         return json_of(canonical_value(F.col(name), df.schema[name].dataType))
