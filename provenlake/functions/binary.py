@@ -1,16 +1,18 @@
 """Decoding of the two binary record formats inside Spark tasks.
 
-A record is read front to back once.  Lists of fixed-width items are taken in
-one step as numpy record arrays; only counts and strings are read singly.
-Every failure becomes a value in the ``error`` column, so bad records go to
-quarantine and never fail a task.
+A record is read front to back once.  Lists of fixed-width items are unpacked in
+one step; only counts and strings are read singly.  Values are tuples in the
+field order of the declared result shapes, which Arrow takes as they are.  Every
+failure becomes a value in the ``error`` column, so bad records go to quarantine
+and never fail a task.
 """
 
 from __future__ import annotations
 
+import struct
 from collections.abc import Iterator
+from typing import NamedTuple
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -19,16 +21,29 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from . import fixed_values as fixed
 
-_HEX = np.dtype([("q", "i1"), ("r", "i1")])
-_ATOM = np.dtype([("atom_type", "u1"), ("q", "i1"), ("r", "i1")])
-_BOND = np.dtype([("bond_type", "u1"), ("a_q", "i1"), ("a_r", "i1"), ("b_q", "i1"), ("b_r", "i1")])
-_VIAL = np.dtype([("q", "i1"), ("r", "i1"), ("style", "u1"), ("count", "<u4")])
-_ENDS = np.dtype([("a_q", "i1"), ("a_r", "i1"), ("b_q", "i1"), ("b_r", "i1")])
-_OFFSET = np.dtype([("x", "<i4"), ("y", "<i4")])
-_STEP = np.dtype([("cycle", "<i4"), ("opcode", "u1")])
-_PLACE = np.dtype(
-    [("x", "<i4"), ("y", "<i4"), ("size", "<u4"), ("rotation", "<i4"), ("input_output_index", "<u4")]
-)
+
+class Layout(NamedTuple):
+    """A fixed-width item: its struct format and byte size."""
+
+    form: str
+    size: int
+
+
+def _layout(form: str) -> Layout:
+    return Layout(form, struct.calcsize(form))
+
+
+# Fixed-width items of the two formats.
+_HEX = _layout("<bb")  # q, r
+_ATOM = _layout("<Bbb")  # type, q, r
+_BOND = _layout("<Bbbbb")  # type, both ends
+_ENDS = _layout("<bbbb")  # both ends
+_VIAL = _layout("<bbBI")  # q, r, style, count
+_OFFSET = _layout("<ii")  # x, y
+_STEP = _layout("<iB")  # cycle, opcode
+_PLACE = _layout("<iiIiI")  # x, y, size, rotation, input/output index
+_METRIC = _layout("<II")  # tag, value
+_U8, _U32, _U64, _I64 = _layout("<B"), _layout("<I"), _layout("<Q"), _layout("<q")
 
 
 class BadRecord(ValueError):
@@ -39,25 +54,32 @@ class _Cursor:
     def __init__(self, data: bytes):
         self.data, self.at = data, 0
 
-    def records(self, dtype: np.dtype, count: int) -> list[dict]:
-        end = self.at + dtype.itemsize * count
-        if end > len(self.data):
+    def take(self, size: int) -> int:
+        """Step over ``size`` bytes and return where they start."""
+        start = self.at
+        self.at = start + size
+        if self.at > len(self.data):
             raise BadRecord("truncated")
-        block = np.frombuffer(self.data, dtype, count, self.at)
-        self.at = end
-        return [dict(zip(dtype.names, row, strict=True)) for row in block.tolist()]
+        return start
 
-    def number(self, code: str) -> int:
-        return self.records(np.dtype([("v", code)]), 1)[0]["v"]
+    def items(self, layout: Layout, count: int) -> list[tuple]:
+        start = self.take(layout.size * count)
+        return list(struct.iter_unpack(layout.form, self.data[start : self.at])) if count else []
+
+    def item(self, layout: Layout) -> tuple:
+        return struct.unpack_from(layout.form, self.data, self.take(layout.size))
+
+    def number(self, layout: Layout) -> int:
+        return struct.unpack_from(layout.form, self.data, self.take(layout.size))[0]
 
     def count(self, limit: int) -> int:
-        value = self.number("<u4")
+        value = self.number(_U32)
         if value > limit:
             raise BadRecord("count_exceeds_limit")
         return value
 
     def flag(self) -> bool:
-        value = self.number("u1")
+        value = self.number(_U8)
         if value > 1:
             raise BadRecord("invalid_flag")
         return value == 1
@@ -66,21 +88,18 @@ class _Cursor:
         """A 7-bit-group length prefix (32 bits at most), then that many bytes."""
         start, length = self.at, 0
         for group in range(5):
-            byte = self.number("u1")
+            byte = self.number(_U8)
             length += (byte & 127) << (7 * group)
             if byte < 128:
                 break
         else:
             raise BadRecord("invalid_length")
-        used = self.at - start
-        if length >> 32 or (minimal and used > 1 and byte == 0):
+        if length >> 32 or (minimal and self.at - start > 1 and byte == 0):
             raise BadRecord("invalid_length")
         if limit is not None and length > limit:
             raise BadRecord("string_exceeds_limit")
-        if self.at + length > len(self.data):
-            raise BadRecord("truncated")
-        self.at += length
-        return self.data[self.at - length : self.at]
+        start = self.take(length)
+        return self.data[start : self.at]
 
     def end(self) -> None:
         if self.at != len(self.data):
@@ -94,88 +113,68 @@ def _utf8(raw: bytes) -> str:
         raise BadRecord("invalid_utf8") from None
 
 
-def _molecules(cur: _Cursor) -> list[dict]:
-    found = []
-    for _ in range(cur.count(fixed.PUZZLE_MAX_ITEMS)):
-        atoms = cur.records(_ATOM, cur.count(fixed.PUZZLE_MAX_ITEMS))
-        bonds = cur.records(_BOND, cur.count(fixed.PUZZLE_MAX_ITEMS))
-        places = {(a["q"], a["r"]) for a in atoms}
+def _molecules(cur: _Cursor) -> list[tuple]:
+    limit, found = fixed.PUZZLE_MAX_ITEMS, []
+    for _ in range(cur.count(limit)):
+        atoms = cur.items(_ATOM, cur.count(limit))
+        bonds = cur.items(_BOND, cur.count(limit))
+        places = {atom[1:] for atom in atoms}
         if len(places) < len(atoms):
             raise BadRecord("duplicate_atom")
-        ends = {(b["a_q"], b["a_r"]) for b in bonds} | {(b["b_q"], b["b_r"]) for b in bonds}
-        if not ends <= places:
+        if not {end for bond in bonds for end in (bond[1:3], bond[3:5])} <= places:
             raise BadRecord("dangling_bond")
-        found.append({"atoms": atoms, "bonds": bonds})
+        found.append((atoms, bonds))
     return found
 
 
-def _production(cur: _Cursor) -> dict:
+def _production(cur: _Cursor) -> tuple:
     limit = fixed.PUZZLE_MAX_ITEMS
-    info = {n: cur.flag() for n in ("shrink_left", "shrink_right", "isolate_inputs_from_outputs")}
-    info["cabinets"] = [
-        {**cur.records(_HEX, 1)[0], "cabinet_type": cur.text(fixed.PUZZLE_MAX_STRING)}
-        for _ in range(cur.count(limit))
-    ]
-    info["conduits"] = [
-        {**cur.records(_ENDS, 1)[0], "hexes": cur.records(_HEX, cur.count(limit))}
-        for _ in range(cur.count(limit))
-    ]
-    info["vials"] = cur.records(_VIAL, cur.count(limit))
-    return info
-
-
-def read_puzzle(data: bytes) -> dict:
+    flags = (cur.flag(), cur.flag(), cur.flag())
+    cabinets = [(*cur.item(_HEX), cur.text(fixed.PUZZLE_MAX_STRING)) for _ in range(cur.count(limit))]
+    conduits = [(*cur.item(_ENDS), cur.items(_HEX, cur.count(limit))) for _ in range(cur.count(limit))]
+    return (*flags, cabinets, conduits, cur.items(_VIAL, cur.count(limit)))
+
+
+def read_puzzle(data: bytes) -> tuple:
     cur = _Cursor(data)
-    if cur.number("<u4") != fixed.PUZZLE_FORMAT:
+    if cur.number(_U32) != fixed.PUZZLE_FORMAT:
         raise BadRecord("unsupported_version")
-    record = {
-        "name": cur.text(fixed.PUZZLE_MAX_STRING),
-        "creator": cur.number("<u8"),
-        # The mask is unsigned; as a signed long it keeps the same bits.
-        "parts_available": cur.number("<i8"),
-        "inputs": _molecules(cur),
-        "outputs": _molecules(cur),
-        "output_scale": cur.number("<u4"),
-        "production_info": _production(cur) if cur.flag() else None,
-    }
-    record["creator"] = str(record["creator"])
+    name, creator = cur.text(fixed.PUZZLE_MAX_STRING), str(cur.number(_U64))
+    # The availability mask is unsigned; as a signed long it keeps the same bits.
+    mask, inputs, outputs, scale = cur.number(_I64), _molecules(cur), _molecules(cur), cur.number(_U32)
+    production = _production(cur) if cur.flag() else None
     cur.end()
-    return record
+    return name, creator, mask, inputs, outputs, scale, production
+
+
+def _part(cur: _Cursor) -> tuple:
+    name = _utf8(cur.text(minimal=True))
+    if cur.number(_U8) != 1:
+        raise BadRecord("invalid_part_marker")
+    place = cur.item(_PLACE)
+    steps = cur.items(_STEP, cur.count(fixed.SOLUTION_MAX_INSTRUCTIONS))
+    track = cur.items(_OFFSET, cur.count(fixed.SOLUTION_MAX_HEXES)) if name == "track" else []
+    arm = cur.number(_U32)
+    conduit, pipe = None, []
+    if name == "pipe":
+        conduit = cur.number(_U32)
+        pipe = cur.items(_OFFSET, cur.count(fixed.SOLUTION_MAX_HEXES))
+    return (name, *place, steps, track, arm, conduit, pipe)
 
 
-def read_solution(data: bytes) -> dict:
+def read_solution(data: bytes) -> tuple:
     cur = _Cursor(data)
-    if cur.number("<u4") != fixed.SOLUTION_FORMAT:
+    if cur.number(_U32) != fixed.SOLUTION_FORMAT:
         raise BadRecord("unsupported_version")
-    record: dict = {
-        "puzzle_name": _utf8(cur.text(minimal=True)),
-        "solution_name": _utf8(cur.text(minimal=True)),
-        "solved": cur.number("<u4") != 0,
-    }
-    for tag, metric in enumerate(("cycles", "cost", "area", "instructions")):
-        if record["solved"] and cur.number("<u4") != tag:
-            raise BadRecord("invalid_metric_tag")
-        record[f"declared_{metric}"] = cur.number("<u4") if record["solved"] else None
-    parts = []
-    for _ in range(cur.count(fixed.SOLUTION_MAX_PARTS)):
-        part: dict = {"name": _utf8(cur.text(minimal=True))}
-        if cur.number("u1") != 1:
-            raise BadRecord("invalid_part_marker")
-        part.update(cur.records(_PLACE, 1)[0])
-        part["instructions"] = cur.records(_STEP, cur.count(fixed.SOLUTION_MAX_INSTRUCTIONS))
-        is_track, is_pipe = part["name"] == "track", part["name"] == "pipe"
-        part["track_offsets"] = (
-            cur.records(_OFFSET, cur.count(fixed.SOLUTION_MAX_HEXES)) if is_track else []
-        )
-        part["arm_number"] = cur.number("<u4")
-        part["conduit_id"] = cur.number("<u4") if is_pipe else None
-        part["conduit_offsets"] = (
-            cur.records(_OFFSET, cur.count(fixed.SOLUTION_MAX_HEXES)) if is_pipe else []
-        )
-        parts.append(part)
-    record["parts"] = parts
+    puzzle, solution = _utf8(cur.text(minimal=True)), _utf8(cur.text(minimal=True))
+    solved = cur.number(_U32) != 0
+    # cycles, cost, area, instructions: each value behind its own tag
+    metrics = cur.items(_METRIC, 4) if solved else [(tag, None) for tag in range(4)]
+    if [tag for tag, _ in metrics] != [0, 1, 2, 3]:
+        raise BadRecord("invalid_metric_tag")
+    parts = [_part(cur) for _ in range(cur.count(fixed.SOLUTION_MAX_PARTS))]
     cur.end()
-    return record
+    return (puzzle, solution, solved, *(value for _, value in metrics), parts)
 
 
 PARSED_PUZZLE = (

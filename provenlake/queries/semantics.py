@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 from ..functions import binary, nested
 from ..functions.canonical import base64_text, json_of, json_scalar
 from ..operators import evaluation, normalize, reconcile, semantics
+from ..session import spread_scan
 from .common import query, table
 
 
@@ -186,7 +187,7 @@ def compile_outputs(spark, sf):
     end = F.when(F.col("lang") == "es", F.lit(',"format":"x"}')).when(F.col("lang") == "fr", F.lit("} done")).when(
         (F.col("lang") == "en") & (F.col("source") == "src3"), F.lit("")
     ).otherwise(F.lit("}"))
-    outputs = table(spark, sf, "documents").select("doc_id", F.concat(envelope, end).alias("raw_output"))
+    outputs = spread_scan(table(spark, sf, "documents")).select("doc_id", F.concat(envelope, end).alias("raw_output"))
     return evaluation.compile_outputs(outputs).select("doc_id", "compile_error", "candidate_sha256")
 
 
@@ -204,7 +205,7 @@ def short_text(column):
 
 def line_solutions(spark, sf):
     """Every line item as the bytes of one solved solution with an arm and a track."""
-    lines = table(spark, sf, "lineitem")
+    lines = spread_scan(table(spark, sf, "lineitem"))
     flags = F.concat_ws("|", *[F.col(c).cast("string") for c in ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")])
     zero, one = F.lit(0), F.unhex(F.lit("01"))
 
@@ -274,7 +275,7 @@ def normalize_solutions(spark, sf):
 
 def part_puzzles(spark, sf):
     """Every part as the bytes of one puzzle: a reagent of two bonded atoms and a one-atom product."""
-    parts = table(spark, sf, "part")
+    parts = spread_scan(table(spark, sf, "part"))
     atom = F.unhex(F.format_string("%02X0000", F.col("p_size") % 17 + 1))
     second = F.unhex(F.lit("0201FF"))
     bond = F.unhex(F.lit("010000" + "01FF"))

@@ -62,3 +62,14 @@ def checkpointed(df: DataFrame) -> DataFrame:
     """Write ``df`` once to the shared folder and continue from the files."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def spread_scan(df: DataFrame) -> DataFrame:
+    """A plain scan with enough partitions to keep every core busy.
+
+    For inputs of Python stages only.  A scan that already has as many splits as
+    the cluster has cores is returned as it is, so large inputs are not shuffled;
+    a small one (a single row group) is spread over the cores before the work.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
