@@ -37,7 +37,7 @@ ELIGIBILITY_VERSION = "1"
 PROTOCOL_VERSION = "solve-v0.1"
 ATTEMPT_PROFILE = "bounded-sequential-v1"
 SCORING_VERSION = "solve-report-v1"
-RELEASE_FORMAT_VERSION = 1
+RELEASE_FORMAT_VERSION = 2
 PUZZLE_FORMAT = 3
 SOLUTION_FORMAT = 7
 
