@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -211,90 +211,85 @@ _CLAIM_SHAPES = {
 }
 
 
-def canonical_claim(field: Column, value_json: Column) -> Column:
-    """Canonicalize one claim: struct(value_json, error).
+def canonical_claims(df: DataFrame, field: str = "field", value: str = "value_json") -> DataFrame:
+    """Replace ``value`` by its canonical text and add ``error`` (one of the two is null).
 
     The shape test rejects unknown keys and wrong types (a boolean is not an
     integer); the typed parse then finds missing keys, and the value rules run
-    on the typed form.
+    on the typed form.  Parses are separate projections, so each is done once.
     """
-    shape = F.schema_of_variant(F.try_parse_json(value_json))
-    wrong_shape = F.lit(False)
+    f, text = F.col(field), F.col(value)
+    parsed = df.withColumns(
+        {
+            "_shape": F.schema_of_variant(F.try_parse_json(value)),
+            "_strings": F.when(f.isin("allowed_parts", "allowed_instructions"), F.from_json(value, "array<string>")),
+            "_molecules": F.when(f.isin("reagents", "products"), F.from_json(value, MOLECULES)),
+            "_constraints": F.when(f == "production_constraints", F.from_json(value, CONSTRAINTS)),
+        }
+    )
+    fits = F.lit(None).cast("boolean")
     for name, pattern in _CLAIM_SHAPES.items():
-        wrong_shape = F.when(field == name, ~F.coalesce(shape.rlike(f"^{pattern}$"), F.lit(False))).otherwise(
-            wrong_shape
-        )
-    strings = F.from_json(value_json, "array<string>")
-    molecules = F.from_json(value_json, MOLECULES)
-    constraints = F.from_json(value_json, CONSTRAINTS)
-    is_set = field.isin("allowed_parts", "allowed_instructions")
-    is_molecules = field.isin("reagents", "products")
-    is_integer = field.isin("output_scale", "target_output_count")
-
+        fits = F.when(f == name, F.col("_shape").rlike(f"^{pattern}$")).otherwise(fits)
+    is_integer = f.isin("output_scale", "target_output_count")
+    is_null = F.trim(text) == "null"
     error = (
-        F.when(~F.coalesce(field.isin(fixed.SEMANTIC_FIELDS), F.lit(False)), "unknown_field")
-        .when(wrong_shape, "wrong_shape")
-        .when(is_set & _any(strings, lambda s: s.isNull() | (s == "")), "empty_string")
-        .when(is_molecules, molecules_error(molecules))
-        .when(is_integer & (F.coalesce(value_json.try_cast("bigint"), F.lit(0)) < 1), "below_minimum")
-        .when(
-            (field == "production_constraints") & (F.trim(value_json) != "null"),
-            constraints_error(constraints),
-        )
+        F.when(~F.coalesce(f.isin(fixed.SEMANTIC_FIELDS), F.lit(False)), "unknown_field")
+        .when(~F.coalesce(fits, F.lit(False)), "wrong_shape")
+        .when(_any(F.col("_strings"), lambda s: s.isNull() | (s == "")), "empty_string")
+        .when(f.isin("reagents", "products"), molecules_error(F.col("_molecules")))
+        .when(is_integer & (F.coalesce(text.try_cast("bigint"), F.lit(0)) < 1), "below_minimum")
+        .when((f == "production_constraints") & ~is_null, constraints_error(F.col("_constraints")))
     )
-    value = (
-        F.when(is_set, json_of(string_set(strings)))
-        .when(is_molecules, json_of(canonical_molecules(molecules)))
-        .when(is_integer, value_json.try_cast("bigint").cast("string"))
-        .when(field == "production", F.trim(value_json))
-        .when(
-            field == "production_constraints",
-            F.when(F.trim(value_json) == "null", "null").otherwise(json_of(canonical_constraints(constraints))),
-        )
+    canonical = (
+        F.when(F.col("_strings").isNotNull(), json_of(string_set(F.col("_strings"))))
+        .when(F.col("_molecules").isNotNull(), json_of(canonical_molecules(F.col("_molecules"))))
+        .when(is_integer, text.try_cast("bigint").cast("string"))
+        .when((f == "production") | is_null, F.trim(text))
+        .when(F.col("_constraints").isNotNull(), json_of(canonical_constraints(F.col("_constraints"))))
     )
-    return F.struct(F.when(error.isNull(), value).alias("value_json"), error.alias("error"))
+    judged = parsed.withColumn("error", error)
+    return judged.withColumn(value, F.when(F.col("error").isNull(), canonical)).select(*df.columns, "error")
 
 
 def first_difference(left: Column, right: Column, dtype: T.DataType, path: Column) -> Column:
     """Path of the first difference between two values of one type, else null.
 
     Struct fields are visited in name order, array elements by position; arrays
-    that agree on their common prefix differ at the array itself.
+    that agree on their common prefix differ at the array itself.  Each level
+    binds its two values once, so the expression grows with the type, not with
+    its depth.
     """
+    pair = F.array(F.struct(left.alias("l"), right.alias("r"), path.alias("p")))
+    return F.get(F.transform(pair, lambda b: _difference(b["l"], b["r"], dtype, b["p"])), F.lit(0))
+
+
+def _difference(left: Column, right: Column, dtype: T.DataType, path: Column) -> Column:
     if isinstance(dtype, T.StructType):
-        found = [
-            first_difference(
-                left[f.name], right[f.name], f.dataType, F.concat(path, F.lit(f".{f.name}"))
-            )
-            for f in sorted(dtype.fields, key=lambda f: f.name)
-        ]
-        inner = F.coalesce(*found)
-        return F.when(left.isNull() & right.isNull(), F.lit(None).cast("string")).otherwise(
-            F.when(left.isNull() | right.isNull(), path).otherwise(inner)
+        inner = F.coalesce(
+            *[
+                first_difference(left[f.name], right[f.name], f.dataType, F.concat(path, F.lit(f".{f.name}")))
+                for f in sorted(dtype.fields, key=lambda f: f.name)
+            ]
         )
-    if isinstance(dtype, T.ArrayType):
+    elif isinstance(dtype, T.ArrayType):
         common = F.least(F.size(left), F.size(right))
-        positions = F.when(common > 0, F.sequence(F.lit(0), common - 1)).otherwise(
-            F.array().cast("array<int>")
-        )
-        differences = F.filter(
+        positions = F.when(common > 0, F.sequence(F.lit(0), common - 1)).otherwise(F.array().cast("array<int>"))
+        found = F.filter(
             F.transform(
                 positions,
                 lambda i: first_difference(
-                    F.get(left, i),
-                    F.get(right, i),
-                    dtype.elementType,
+                    F.get(left, i), F.get(right, i), dtype.elementType,
                     F.concat(path, F.lit("["), i.cast("string"), F.lit("]")),
                 ),
             ),
             lambda p: p.isNotNull(),
         )
-        return F.when(left.isNull() & right.isNull(), F.lit(None).cast("string")).otherwise(
-            F.when(left.isNull() | right.isNull(), path).otherwise(
-                F.coalesce(F.get(differences, F.lit(0)), F.when(F.size(left) != F.size(right), path))
-            )
-        )
-    return F.when(~left.eqNullSafe(right), path)
+        inner = F.coalesce(F.get(found, F.lit(0)), F.when(F.size(left) != F.size(right), path))
+    else:
+        return F.when(~left.eqNullSafe(right), path)
+    return F.when(left.isNull() & right.isNull(), F.lit(None).cast("string")).otherwise(
+        F.when(left.isNull() | right.isNull(), path).otherwise(inner)
+    )
 
 
 # --- names from codes ---------------------------------------------------------------

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -107,65 +108,72 @@ def landing_counts(mapped: DataFrame) -> DataFrame:
 # --- metadata claims -------------------------------------------------------------------
 
 
-def metadata_fields(json: Column) -> Column:
-    """Claims of one metadata document: struct(fields..., error).
+_METADATA_NODES = {
+    "score": "$.score", "dataLink": "$.dataLink", "displayLink": "$.displayLink", "puzzle": "$.puzzle",
+    "dataPath": "$.dataPath", **{m: f"$.score.{m}" for m in METRICS},
+}
 
-    Tokens are tested in raw form, so a boolean, a quoted number, a fraction or a
-    negative number is an error and not a silent cast.
-    """
-    doc = F.try_parse_json(json)
-    shape = F.schema_of_variant(doc)
-
-    def node(path: str) -> Column:
-        return F.try_variant_get(doc, path, "variant")
-
-    def kind(path: str) -> Column:
-        return F.schema_of_variant(node(path))
 
-    def absent(path: str) -> Column:
-        return node(path).isNull() | (kind(path) == "VOID")
+def read_metadata(df: DataFrame, json: str) -> DataFrame:
+    """Claims of one metadata document per row; ``error`` marks the ones that do not fit.
 
-    score_ok = absent("$.score") | kind("$.score").startswith("OBJECT")
-    metrics = {m: F.try_variant_get(doc, f"$.score.{m}", "bigint") for m in METRICS}
-    bad_metric = F.lit(False)
-    for m in METRICS:
-        p = f"$.score.{m}"
-        bad_metric = bad_metric | (
-            ~absent(p) & ((kind(p) != "BIGINT") | (F.coalesce(metrics[m], F.lit(-1)) < 0))
-        )
+    Adds claimed_cost.. claimed_instructions, source_url, source_declared_puzzle_id,
+    data_path and error.  The document is parsed once; the type of each token is
+    taken from it, so a boolean, a quoted number, a fraction or a negative number
+    is an error and not a silent cast.
+    """
+    parsed = df.withColumn("_doc", F.try_parse_json(json))
+    nodes = parsed.withColumns(
+        {
+            "_shape": F.schema_of_variant("_doc"),
+            **{f"_{n}": F.try_variant_get("_doc", path, "variant") for n, path in _METADATA_NODES.items()},
+        }
+    )
+    kinds = nodes.withColumns(
+        {
+            **{f"_{n}_kind": F.coalesce(F.schema_of_variant(f"_{n}"), F.lit("VOID")) for n in _METADATA_NODES},
+            **{f"_{m}_value": F.try_variant_get(f"_{m}", "$", "bigint") for m in METRICS},
+            **{
+                f"_{n}_text": F.try_variant_get(f"_{n}", "$", "string")
+                for n in ("dataLink", "displayLink", "puzzle", "dataPath")
+            },
+        }
+    )
 
-    def text(name: str) -> Column:
-        return F.try_variant_get(doc, f"$.{name}", "string")
+    def absent(name: str) -> Column:
+        return F.col(f"_{name}_kind") == "VOID"
 
     def bad_text(name: str) -> Column:
-        p = f"$.{name}"
-        return ~absent(p) & ((kind(p) != "STRING") | (text(name) == ""))
-
-    # The second link matters only when the first is absent.
-    bad_link = bad_text("dataLink") | (absent("$.dataLink") & bad_text("displayLink"))
-    data_path = text("dataPath")
-    bad_path = bad_text("dataPath") | (
-        data_path.isNotNull()
-        & (
-            data_path.startswith("/")
-            | data_path.rlike(r"(^|/)\.\.(/|$)")
-            | (suffix(posix(data_path)) != ".solution")
-        )
+        return ~absent(name) & ((F.col(f"_{name}_kind") != "STRING") | (F.col(f"_{name}_text") == ""))
+
+    bad_metric = reduce(
+        lambda a, b: a | b,
+        [
+            ~absent(m) & ((F.col(f"_{m}_kind") != "BIGINT") | (F.coalesce(f"_{m}_value", F.lit(-1)) < 0))
+            for m in METRICS
+        ],
+    )
+    path = F.col("_dataPath_text")
+    bad_path = bad_text("dataPath") | F.coalesce(
+        path.startswith("/") | path.rlike(r"(^|/)\.\.(/|$)") | (suffix(posix(path)) != ".solution"), F.lit(False)
     )
+    # The second link matters only when the first is absent.
+    bad_link = bad_text("dataLink") | (absent("dataLink") & bad_text("displayLink"))
     error = (
-        F.when(doc.isNull(), "invalid_json")
-        .when(~shape.startswith("OBJECT"), "not_an_object")
+        F.when(F.col("_doc").isNull(), "invalid_json")
+        .when(~F.col("_shape").startswith("OBJECT"), "not_an_object")
         .when(bad_path, "invalid_data_path")
         .when(bad_text("puzzle"), "invalid_puzzle")
-        .when(~score_ok, "invalid_score")
+        .when(~absent("score") & ~F.col("_score_kind").startswith("OBJECT"), "invalid_score")
         .when(bad_metric, "invalid_metric")
         .when(bad_link, "invalid_link")
     )
-    return F.struct(
-        *[metrics[m].alias(f"claimed_{m}") for m in METRICS],
-        F.coalesce(text("dataLink"), text("displayLink")).alias("source_url"),
-        text("puzzle").alias("source_declared_puzzle_id"),
-        posix(data_path).alias("data_path"),
+    return kinds.select(
+        *df.columns,
+        *[F.col(f"_{m}_value").alias(f"claimed_{m}") for m in METRICS],
+        F.coalesce("_dataLink_text", "_displayLink_text").alias("source_url"),
+        F.col("_puzzle_text").alias("source_declared_puzzle_id"),
+        posix(path).alias("data_path"),
         error.alias("error"),
     )
 

@@ -117,10 +117,14 @@ def reconcile_definitions(inventory: DataFrame, claims: DataFrame) -> Reconciled
 
     claims: puzzle_id, observation_ids array, puzzle_artifact_id, field, value_json.
     """
-    checked = claims.withColumn("c", nested.canonical_claim(F.col("field"), F.col("value_json"))).select(
-        "puzzle_id", "observation_ids", "puzzle_artifact_id", "field",
-        F.col("c.value_json").alias("value_json"), F.col("c.error").alias("error"),
-    )
+    return reconcile_checked(inventory, nested.canonical_claims(claims))
+
+
+def reconcile_checked(inventory: DataFrame, checked: DataFrame) -> Reconciled:
+    """``reconcile_definitions`` over claims that are already canonical (with ``error``).
+
+    The claims are read several times; builds pass a checkpointed table.
+    """
     rejected = violations_where(
         checked, F.col("error").isNotNull(), "claim_invalid",
         F.concat_ws(": ", "field", "error"), "claims", "puzzle_id",

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions import fixed_values as fixed
 from ..functions.binary import decode_puzzles
+from ..functions.nested import canonical_claims
 from ..functions.canonical import canonical_json_of, sha256_hex
 from ..operators import pairing
 from ..operators.checks import dependency_violations, missing_references, union_all, violations_where
@@ -26,9 +27,9 @@ from ..operators.pairing import (
     pair_by_path,
     unpaired_observations,
 )
-from ..operators.reconcile import reconcile_definitions, semantic_sources
+from ..operators.reconcile import reconcile_checked, semantic_sources
 from ..operators.semantics import artifact_claims, artifact_observation_links
-from ..session import checkpointed
+from ..session import checkpointed, settled
 from ..sources.files import landed_puzzle_fixtures, mapped_set_violations, mapping_violations
 
 RECEIPT_FIELDS = ["source_id", "revision", "upstream_path", "sha256", "byte_length", "rights_status", "retrieved_at"]
@@ -158,26 +159,32 @@ def puzzle_facts(
     """Artifacts, reconciled definitions, observations and coverage of the inventory.
 
     External claims (long form) and their observations join the decoded ones
-    before reconciliation.  Decoding runs once; its result is checkpointed.
+    before reconciliation.  Every table that later steps read more than once is a
+    stage boundary on files, so no step recomputes another.
     """
     found, bad = puzzle_artifact_candidates(receipts, objects, inventory)
+    found, bad = settled(found, bad)
     ingested = ingest_artifacts(found, objects)
-    own, bad_roles = observations_from_provenance(ingested.provenance, "puzzle", fixed.PUZZLE_IMPORTER)
-    links, bad_links = artifact_observation_links(ingested.artifacts, own)
-    payloads = ingested.artifacts.join(objects.select("sha256", "content"), "sha256")
-    decoded = checkpointed(decode_puzzles(payloads))
+    artifacts, provenance = settled(ingested.artifacts, ingested.provenance)
+    own, bad_roles = observations_from_provenance(provenance, "puzzle", fixed.PUZZLE_IMPORTER)
+    (own,) = settled(own)
+    links, bad_links = artifact_observation_links(artifacts, own)
+    payloads = artifacts.join(objects.select("sha256", "content"), "sha256")
+    (decoded,) = settled(decode_puzzles(payloads))
     claims, undecoded = artifact_claims(decoded, links)
     observations = own
     if external_claims is not None:
         claims = claims.unionByName(external_claims)
     if external_observations is not None:
-        observations = distinct_observations([own, external_observations])
-    reconciled = reconcile_definitions(inventory, claims)
-    sources, bad_sources = semantic_sources(reconciled.definitions, observations)
-    coverage = puzzle_coverage(inventory, ingested.artifacts, ingested.provenance, reconciled.definitions, sources)
+        (observations,) = settled(distinct_observations([own, external_observations]))
+    (checked,) = settled(canonical_claims(claims))
+    reconciled = reconcile_checked(inventory, checked)
+    (definitions,) = settled(reconciled.definitions)
+    sources, bad_sources = semantic_sources(definitions, observations)
+    coverage = puzzle_coverage(inventory, artifacts, provenance, definitions, sources)
+    violations = [bad, ingested.violations, bad_roles, bad_links, undecoded, reconciled.violations, bad_sources]
     return PuzzleFacts(
-        ingested.artifacts, ingested.provenance, reconciled.definitions, observations, coverage,
-        union_all([bad, ingested.violations, bad_roles, bad_links, undecoded, reconciled.violations, bad_sources]),
+        artifacts, provenance, definitions, observations, coverage, union_all(settled(*violations))
     )
 
 
@@ -205,9 +212,10 @@ def solution_facts(
 
     documents = metadata.join(objects.select("sha256", "content"), "sha256", "left")
     text = F.when(F.is_valid_utf8(F.col("content").cast("string")), F.col("content").cast("string"))
-    read = documents.withColumn("m", pairing.metadata_fields(text)).select(
-        F.col("upstream_path").alias("metadata_path"), *[c for c in metadata.columns if c != "upstream_path"], "m.*"
+    texts = documents.select(
+        F.col("upstream_path").alias("metadata_path"), *[c for c in metadata.columns if c != "upstream_path"], text.alias("text")
     )
+    (read,) = settled(pairing.read_metadata(texts, "text").drop("text"))
     unreadable = violations_where(
         read, F.col("error").isNotNull(), "metadata_invalid", F.col("error"), "metadata", "metadata_path"
     )
@@ -216,7 +224,7 @@ def solution_facts(
         F.col("upstream_path").alias("solution_path"), F.col("puzzle_id").alias("solution_puzzle_id"),
         _receipt().alias("solution_receipt"),
     )
-    paired = pair_by_path(good, targets, board_layout)
+    (paired,) = settled(pair_by_path(good, targets, board_layout))
     unpairable = violations_where(
         paired, F.col("pair_error").isNotNull(), "pairing_invalid", F.col("pair_error"), "metadata", "metadata_path"
     )
@@ -233,20 +241,20 @@ def solution_facts(
         union_all([archive_solutions, board_solutions, metadata]), ["source_id", "revision", "upstream_path"],
         ["puzzle_id", "sha256", "byte_length", "rights_status", "retrieved_at"], "receipt_conflict", "receipts",
     )
-    ingested = ingest_artifacts(
-        union_all([candidates(archive_solutions, "solution"), candidates(board_solutions, "solution"), claimed]), objects
+    (found,) = settled(
+        union_all([candidates(archive_solutions, "solution"), candidates(board_solutions, "solution"), claimed])
     )
+    ingested = ingest_artifacts(found, objects)
+    artifacts, provenance = settled(ingested.artifacts, ingested.provenance)
     contexts = clean.select(
         F.col("metadata_path").alias("source_path"), F.col("resolved_path").alias("associated_artifact_path"),
         "source_declared_puzzle_id",
     )
-    observed, bad_roles = observations_from_provenance(ingested.provenance, "solution", fixed.SOLUTION_IMPORTER, contexts)
+    observed, bad_roles = observations_from_provenance(provenance, "solution", fixed.SOLUTION_IMPORTER, contexts)
     unpaired = unpaired_observations(clean.where("solution_receipt IS NULL"), fixed.SOLUTION_IMPORTER)
-    return SolutionFacts(
-        ingested.artifacts,
-        distinct_observations([observed, unpaired]),
-        union_all([unreadable, unpairable, conflicts, ingested.violations, bad_roles]),
-    )
+    (observations,) = settled(distinct_observations([observed, unpaired]))
+    violations = [unreadable, unpairable, conflicts, ingested.violations, bad_roles]
+    return SolutionFacts(artifacts, observations, union_all(settled(*violations)))
 
 
 __all__ = [

@@ -15,7 +15,7 @@ from ..operators import checks, coverage, digest, release, verify
 from ..operators.checks import assert_clean, multiset_difference, union_all
 from ..operators.normalize import normalize_solutions
 from ..operators.ordering import release_order
-from ..session import checkpointed
+from ..session import checkpointed, settled
 from ..sources import sinks
 from ..sources.tables import SCHEMA_DDL, read_release_parquet, release_schema, row_json
 from .facts import coverage_gate, puzzle_facts, solution_facts
@@ -219,6 +219,7 @@ def run_pipeline(
         puzzles.artifacts.select("puzzle_id", F.col("artifact_id").alias("puzzle_artifact_id"), F.col("sha256").alias("puzzle_sha256")),
         "puzzle_id", ["puzzle_artifact_id", "puzzle_sha256"],
     )
+    (paired,) = settled(paired)
     assert_clean(verify.pair_violations(paired, "solution_id", "puzzle_id"))
     if verdicts is not None:
         verifications = verify.join_verdicts(paired, verdicts, identity)
@@ -236,7 +237,7 @@ def run_pipeline(
     payloads = parsed.select("artifact_id", "puzzle_id", "sha256").join(objects.select("sha256", "content"), "sha256")
     decoded = decode_solutions(payloads).join(parsed.select("artifact_id", "puzzle_id"), "artifact_id")
     shapes = checkpointed(decoded)
-    normalized = normalize_solutions(shapes)
+    (normalized,) = settled(normalize_solutions(shapes))
     rejected = shapes.select("artifact_id", F.col("error")).unionByName(
         normalized.select(F.col("solution_id").alias("artifact_id"), "error")
     )

@@ -86,8 +86,8 @@ def claims_from_json(spark, sf):
     link = link.when(F.col("event_type") == "signup", F.concat(F.lit(',"dataLink":null,"displayLink":"https://y/'), F.col("user_id").cast("string"), F.lit('"')))
     extra = F.when(F.col("event_type") == "error", F.lit(',"cycles":true')).otherwise(F.lit(',"cycles":null'))
     document = F.concat(F.lit('{"score":{"cost":'), k, extra, F.lit("}"), F.coalesce(link, F.lit("")), F.lit("}"))
-    read = events.select("event_id", pairing.metadata_fields(document).alias("m"))
-    return read.select("event_id", "m.claimed_cost", "m.error", "m.source_url")
+    read = pairing.read_metadata(events.select("event_id", document.alias("document")), "document")
+    return read.select("event_id", "claimed_cost", "error", "source_url")
 
 
 @query("""

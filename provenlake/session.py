@@ -64,6 +64,11 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def settled(*frames: DataFrame) -> list[DataFrame]:
+    """A stage boundary: every table written once, plans restart from the files."""
+    return [checkpointed(df) for df in frames]
+
+
 def spread_scan(df: DataFrame) -> DataFrame:
     """A plain scan with enough partitions to keep every core busy.
 

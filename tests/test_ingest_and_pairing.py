@@ -131,7 +131,7 @@ def test_layouts(spark):
 )
 def test_metadata_documents(spark, document, error):
     text = document if isinstance(document, str) else json.dumps(document)
-    row = spark.createDataFrame([(text,)], "t string").select(pairing.metadata_fields(F.col("t")).alias("m")).first().m
+    row = pairing.read_metadata(spark.createDataFrame([(text,)], "t string"), "t").first()
     assert row.error == error
     if error is None and document.get("dataPath"):
         assert row.data_path == "a/b.solution"
