@@ -188,14 +188,15 @@ def single_valued(df: DataFrame, columns: Sequence[str], code: str, path: str) -
 def set_difference(expected: DataFrame, actual: DataFrame, key: str) -> DataFrame:
     """(key, side): ``missing`` is expected only, ``unexpected`` is actual only."""
     sides = (
-        expected.select(key, F.lit(1).alias("e"), F.lit(0).alias("a"))
-        .unionByName(actual.select(key, F.lit(0).alias("e"), F.lit(1).alias("a")))
+        expected.select(key, F.lit(True).alias("_expected"))
+        .unionByName(actual.select(key, F.lit(False).alias("_expected")))
         .where(F.col(key).isNotNull())
         .groupBy(key)
-        .agg(F.max("e").alias("e"), F.max("a").alias("a"))
+        .agg(F.max("_expected").alias("_in_expected"), F.min("_expected").alias("_only_expected"))
     )
-    return sides.where("e <> a").select(
-        key, F.when(F.col("e") == 1, "missing").otherwise("unexpected").alias("side")
+    # In both tables: some row says expected and some row says not.
+    return sides.where(F.col("_in_expected") == F.col("_only_expected")).select(
+        key, F.when(F.col("_in_expected"), "missing").otherwise("unexpected").alias("side")
     )
 
 

@@ -55,6 +55,10 @@ def _fold() -> Column:
     return F.sha2(F.array_join(children, "\n"), 256)
 
 
+class TooLargeForSerial(ValueError):
+    """The table exceeds the serial digest's size bound."""
+
+
 def serial_sha256(lines: DataFrame, order: Sequence[Column], head: str = "", between: str = "", tail: str = "") -> str:
     """SHA-256 of ``head`` + the ordered ``line`` values joined by ``between`` + ``tail``.
 
@@ -65,7 +69,7 @@ def serial_sha256(lines: DataFrame, order: Sequence[Column], head: str = "", bet
     keyed = lines.select("line", *[c.alias(f"_o{i}") for i, c in enumerate(order)])
     size = keyed.agg(F.sum(F.octet_length("line"))).first()[0] or 0
     if size > SERIAL_DIGEST_LIMIT:
-        raise ValueError(f"{size} canonical bytes exceed the serial digest limit; use tree_digest")
+        raise TooLargeForSerial(f"{size} canonical bytes exceed the serial digest limit; use tree_digest")
 
     def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         digest, first = hashlib.sha256(head.encode("utf-8")), True
@@ -89,3 +93,16 @@ def serial_digest(df: DataFrame, order: Sequence[Column], row_json: Column | Non
     """
     text = row_json if row_json is not None else canonical_json(df)
     return serial_sha256(df.withColumn("line", F.concat(text, F.lit("\n"))), order)
+
+
+def published_digest(lines: DataFrame, order: Sequence[Column], head: str = "", between: str = "", tail: str = "") -> str:
+    """The serial digest of ``line`` values, or beyond its size bound their tree digest.
+
+    A tree digest is marked by its prefix, so the two are never mistaken for each
+    other.
+    """
+    try:
+        return serial_sha256(lines, order, head, between, tail)
+    except TooLargeForSerial:
+        framed = F.concat(F.lit(head + tail + between), F.col("line"))
+        return "tree-6:" + tree_digest(lines, leaf_digits=6, row_json=framed).first()["digest"]

@@ -8,8 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import fixed_values as fixed
 from ..functions.canonical import artifact_id, canonical_json, lookup
 from .checks import missing_references, union_all, unique_key_violations, violations_where
-from .digest import serial_sha256
-from .ordering import global_row_number  # noqa: F401  (inventory order for file inputs)
+from .digest import published_digest
 
 
 def source_priority(source_id: Column) -> Column:
@@ -131,7 +130,7 @@ def executable_inventory(
     """(sha256, id) of the eligible inventory in inventory order.
 
     inventory_order: puzzle_id, row_no.  A published single hash over one JSON
-    document, so it goes through the size-checked serial fold.
+    document while it is of bounded size, a tree digest beyond that.
     """
     listed = eligibility.where("eligible").select(
         "puzzle_id", "puzzle_definition_id", "puzzle_type", "selected_puzzle_artifact_id",
@@ -143,7 +142,7 @@ def executable_inventory(
         f'{{"collection_id":"{collection_id}","collection_inventory_sha256":"{inventory_sha256}","entries":['
     )
     tail = f'],"profile":"{fixed.ELIGIBILITY_PROFILE}","version":"{fixed.ELIGIBILITY_VERSION}"}}'
-    digest = serial_sha256(lines, [F.col("row_no")], head, ",", tail)
+    digest = published_digest(lines, [F.col("row_no")], head, ",", tail)
     return digest, fixed.BENCHMARK_INVENTORY_PREFIX + digest
 
 

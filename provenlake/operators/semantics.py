@@ -192,9 +192,10 @@ def topology_claims(status: DataFrame, uses: DataFrame, observations: DataFrame)
     molecule list, so it is collected per puzzle.
     """
     ok = status.where("status = 'ok'").select("puzzle_id", "variant")
-    sides = uses.select(
+    named = uses.select("variant", external_molecule(F.col("molecule")).alias("m"), "reagent_count", "product_count")
+    sides = named.select(
         "variant",
-        external_molecule(F.col("molecule")).alias("m"),
+        "m",
         F.explode(
             F.array(
                 F.struct(F.lit("reagents").alias("field"), F.col("reagent_count").alias("n")),

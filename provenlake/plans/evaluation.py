@@ -10,10 +10,11 @@ from pyspark.sql import functions as F
 
 from ..functions import fixed_values as fixed
 from ..functions.binary import decode_solutions
+from ..functions.canonical import canonical_json
 from ..operators import evaluation as ev
 from ..operators import verify
 from ..operators.checks import assert_clean, multiset_difference, union_all
-from ..operators.digest import serial_digest
+from ..operators.digest import published_digest
 from ..operators.eligibility import derive_eligibility, eligibility_violations, executable_inventory, required_bytes_violations
 from ..session import checkpointed
 
@@ -114,6 +115,7 @@ def evaluate_outputs(
             ]
         )
     )
-    digest = serial_digest(results, [F.col("puzzle_id")])
+    lines = results.select("puzzle_id", F.concat(canonical_json(results), F.lit("\n")).alias("line"))
+    digest = published_digest(lines, [F.col("puzzle_id")])
     report = ev.report_json(ev.run_report(attempts), identity, runs, digest)
     return Evaluation(eligibility, attempts, results, report)
