@@ -41,45 +41,59 @@ _ENDS = _layout("<bbbb")  # both ends
 _VIAL = _layout("<bbBI")  # q, r, style, count
 _OFFSET = _layout("<ii")  # x, y
 _STEP = _layout("<iB")  # cycle, opcode
-_PLACE = _layout("<iiIiI")  # x, y, size, rotation, input/output index
+_PART = _layout("<BiiIiII")  # marker, x, y, size, rotation, input/output index, instruction count
 _METRIC = _layout("<II")  # tag, value
-_U8, _U32, _U64, _I64 = _layout("<B"), _layout("<I"), _layout("<Q"), _layout("<q")
+_U32, _U64, _I64 = _layout("<I"), _layout("<Q"), _layout("<q")
 
 
 class BadRecord(ValueError):
     """The bytes do not satisfy the format."""
 
 
+def bounded(count: int, limit: int) -> int:
+    if count > limit:
+        raise BadRecord("count_exceeds_limit")
+    return count
+
+
 class _Cursor:
+    __slots__ = ("data", "at")
+
     def __init__(self, data: bytes):
         self.data, self.at = data, 0
 
-    def take(self, size: int) -> int:
-        """Step over ``size`` bytes and return where they start."""
-        start = self.at
-        self.at = start + size
-        if self.at > len(self.data):
-            raise BadRecord("truncated")
-        return start
-
     def items(self, layout: Layout, count: int) -> list[tuple]:
-        start = self.take(layout.size * count)
-        return list(struct.iter_unpack(layout.form, self.data[start : self.at])) if count else []
+        if not count:
+            return []
+        start, stop = self.at, self.at + layout.size * count
+        if stop > len(self.data):
+            raise BadRecord("truncated")
+        self.at = stop
+        return list(struct.iter_unpack(layout.form, self.data[start:stop]))
 
     def item(self, layout: Layout) -> tuple:
-        return struct.unpack_from(layout.form, self.data, self.take(layout.size))
+        try:
+            found = struct.unpack_from(layout.form, self.data, self.at)
+        except struct.error:
+            raise BadRecord("truncated") from None
+        self.at += layout.size
+        return found
 
     def number(self, layout: Layout) -> int:
-        return struct.unpack_from(layout.form, self.data, self.take(layout.size))[0]
+        return self.item(layout)[0]
+
+    def byte(self) -> int:
+        at = self.at
+        if at >= len(self.data):
+            raise BadRecord("truncated")
+        self.at = at + 1
+        return self.data[at]
 
     def count(self, limit: int) -> int:
-        value = self.number(_U32)
-        if value > limit:
-            raise BadRecord("count_exceeds_limit")
-        return value
+        return bounded(self.number(_U32), limit)
 
     def flag(self) -> bool:
-        value = self.number(_U8)
+        value = self.byte()
         if value > 1:
             raise BadRecord("invalid_flag")
         return value == 1
@@ -88,7 +102,7 @@ class _Cursor:
         """A 7-bit-group length prefix (32 bits at most), then that many bytes."""
         start, length = self.at, 0
         for group in range(5):
-            byte = self.number(_U8)
+            byte = self.byte()
             length += (byte & 127) << (7 * group)
             if byte < 128:
                 break
@@ -98,7 +112,9 @@ class _Cursor:
             raise BadRecord("invalid_length")
         if limit is not None and length > limit:
             raise BadRecord("string_exceeds_limit")
-        start = self.take(length)
+        start, self.at = self.at, self.at + length
+        if self.at > len(self.data):
+            raise BadRecord("truncated")
         return self.data[start : self.at]
 
     def end(self) -> None:
@@ -149,10 +165,10 @@ def read_puzzle(data: bytes) -> tuple:
 
 def _part(cur: _Cursor) -> tuple:
     name = _utf8(cur.text(minimal=True))
-    if cur.number(_U8) != 1:
+    marker, *place, steps = cur.item(_PART)
+    if marker != 1:
         raise BadRecord("invalid_part_marker")
-    place = cur.item(_PLACE)
-    steps = cur.items(_STEP, cur.count(fixed.SOLUTION_MAX_INSTRUCTIONS))
+    steps = cur.items(_STEP, bounded(steps, fixed.SOLUTION_MAX_INSTRUCTIONS))
     track = cur.items(_OFFSET, cur.count(fixed.SOLUTION_MAX_HEXES)) if name == "track" else []
     arm = cur.number(_U32)
     conduit, pipe = None, []

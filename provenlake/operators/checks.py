@@ -88,11 +88,11 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str], row_no: str) -> DataFrame
 
     The first row per key comes from a combined ``min``; only repeated keys are
     joined back, so unique rows never take part in the join and a hot key is a
-    skewed join that AQE splits, not a window over the whole key.
+    skewed join that AQE splits, not a window over the whole key.  A null key is
+    never a duplicate: it does not match in the join.
     """
     first = (
-        df.dropna(subset=list(keys))
-        .groupBy(*keys)
+        df.groupBy(*keys)
         .agg(F.min(row_no).alias("first_row"), F.count(F.lit(1)).alias("n"))
         .where("n > 1")
         .drop("n")
@@ -215,3 +215,26 @@ def multiset_difference(left: DataFrame, right: DataFrame) -> DataFrame:
         .agg(F.sum("_l").alias("left_count"), F.sum("_r").alias("right_count"))
         .where("left_count <> right_count")
     )
+
+
+# Longest list packed into one row.  Links beyond it stay in their long table.
+PACK_LIMIT = 100_000
+
+
+def packed(links: DataFrame, keys: Sequence[str], value: str, name: str) -> DataFrame:
+    """(keys, name): the sorted distinct values of each key as one array.
+
+    Links are reduced to distinct pairs and counted before anything is
+    collected.  A key with more than ``PACK_LIMIT`` values keeps its row with a
+    null array, which the release rules report; its links remain complete in
+    ``links``.
+    """
+    pairs = links.select(*keys, F.col(value).alias("_value")).distinct()
+    counts = pairs.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    small = counts.where(F.col("_n") <= PACK_LIMIT)
+    lists = (
+        pairs.join(small, list(keys), "left_semi").groupBy(*keys)
+        .agg(F.sort_array(F.collect_list("_value")).alias(name))
+    )
+    too_long = counts.where(F.col("_n") > PACK_LIMIT)
+    return lists.unionByName(too_long.select(*keys, F.lit(None).cast(lists.schema[name].dataType).alias(name)))

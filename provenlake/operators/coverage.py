@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.canonical import collection_split  # noqa: F401  (re-exported projection)
-from .checks import set_difference, union_all, violations_where
+from .checks import packed, set_difference, union_all, violations_where
 
 
 def coverage_state(candidates: Column, verified: Column) -> Column:
@@ -82,16 +82,10 @@ def puzzle_coverage(
 ) -> DataFrame:
     """Three independent axes per inventory puzzle: semantic, exact bytes, ready.
 
-    The collected sets are distinct artifact ids and source ids of one puzzle;
-    both are reduced to distinct pairs before they are collected.
+    The packed sets are the artifact ids and source ids of one puzzle.
     """
-    ids = artifacts.select("puzzle_id", "artifact_id").distinct().groupBy("puzzle_id").agg(
-        F.sort_array(F.collect_list("artifact_id")).alias("artifact_ids")
-    )
-    exact = (
-        provenance.where("source_role = 'artifact'").select("puzzle_id", "source_id").distinct()
-        .groupBy("puzzle_id").agg(F.sort_array(F.collect_list("source_id")).alias("exact_source_ids"))
-    )
+    ids = packed(artifacts, ["puzzle_id"], "artifact_id", "artifact_ids")
+    exact = packed(provenance.where("source_role = 'artifact'"), ["puzzle_id"], "source_id", "exact_source_ids")
     rows = inventory.select("puzzle_id").join(ids, "puzzle_id", "left").join(exact, "puzzle_id", "left")
     if definitions is None:
         rows = rows.withColumn("puzzle_definition_id", F.lit(None).cast("string"))
@@ -100,10 +94,7 @@ def puzzle_coverage(
     if semantic_sources is None:
         rows = rows.withColumn("semantic_source_ids", F.array().cast("array<string>"))
     else:
-        named = semantic_sources.select("puzzle_id", "source_id").distinct().groupBy("puzzle_id").agg(
-            F.sort_array(F.collect_list("source_id")).alias("semantic_source_ids")
-        )
-        rows = rows.join(named, "puzzle_id", "left")
+        rows = rows.join(packed(semantic_sources, ["puzzle_id"], "source_id", "semantic_source_ids"), "puzzle_id", "left")
     empty = F.array().cast("array<string>")
     rows = rows.select(
         "puzzle_id",

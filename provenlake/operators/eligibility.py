@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import fixed_values as fixed
 from ..functions.canonical import artifact_id, canonical_json, lookup
-from .checks import missing_references, union_all, unique_key_violations, violations_where
+from .checks import missing_references, packed, union_all, unique_key_violations, violations_where
 from .digest import published_digest
 
 
@@ -40,10 +40,8 @@ def derive_eligibility(
         usable, "puzzle_id", "artifact_id", "source_id",
         ["sha256", "byte_length", "object_key", "rights_status"],
     ).drop("priority")
-    named = (
-        sources.join(chosen.select("artifact_id"), "artifact_id", "left_semi")
-        .groupBy("artifact_id").agg(F.sort_array(F.collect_list("source_id")).alias("selected_source_ids"))
-    )
+    wanted = sources.join(chosen.select("artifact_id"), "artifact_id", "left_semi")
+    named = packed(wanted, ["artifact_id"], "source_id", "selected_source_ids")
     present = artifacts.select("puzzle_id", F.lit(True).alias("_has")).distinct()
     rows = (
         inventory.select("puzzle_id", "puzzle_type")

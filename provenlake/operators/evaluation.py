@@ -13,6 +13,7 @@ from pyspark.sql.functions import pandas_udf
 
 from ..functions import fixed_values as fixed
 from ..functions.canonical import canonical_json, canonical_json_of, content_id, json_object, sha256_hex, strict_base64
+from .ordering import global_row_number
 from .checks import rule_violations, set_difference, union_all, violations_where
 
 METRICS = ["cost", "cycles", "area", "instructions"]
@@ -357,7 +358,11 @@ def solve_at_k(series: DataFrame, keys: tuple[str, ...], k: int) -> DataFrame:
 
 
 def leaderboard(report: DataFrame, order: list[Column]) -> DataFrame:
-    """Dense rank over ordered keys.  ``report`` has one row per system."""
-    from pyspark.sql import Window
+    """Dense rank of report rows: the position of each distinct key tuple, lowest first.
 
-    return report.withColumn("rank", F.dense_rank().over(Window.orderBy(*order)))
+    A key that ranks high values first is passed negated.
+    """
+    names = [f"_k{i}" for i in range(len(order))]
+    keyed = report.select("*", *[c.alias(n) for c, n in zip(order, names, strict=True)])
+    places = global_row_number(keyed.select(*names).distinct(), [F.col(n) for n in names], "rank")
+    return keyed.join(places, names).drop(*names).withColumn("rank", F.col("rank").cast("int"))

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import fixed_values as fixed
-from ..functions.canonical import artifact_id, object_key, rights_rank
+from ..functions.canonical import artifact_id, lookup, object_key, rights_rank
 from .checks import dependency_violations, union_all, violations_where
 from .ordering import PROVENANCE_ORDER
 
@@ -33,8 +33,11 @@ class Ingested:
 
 
 def folded_rights(rights: Column) -> Column:
-    """The most restrictive rights of a group of copies."""
-    return F.max_by(rights, rights_rank(rights))
+    """The most restrictive rights of a group of copies.
+
+    Only the numeric rank is aggregated; its name is looked up afterwards.
+    """
+    return lookup(F.max(rights_rank(rights)), {rank: name for name, rank in fixed.RIGHTS_RANK.items()})
 
 
 def provenance_rows(candidates: DataFrame) -> DataFrame:

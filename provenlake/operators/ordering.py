@@ -63,32 +63,37 @@ def number_in_buckets(df: DataFrame, bucket: Column, order: Sequence[Column], na
     )
 
 
-def global_row_number(
-    df: DataFrame, order: Sequence[Column], name: str = "row_no", partitions: int | None = None
-) -> DataFrame:
-    """1-based position in a total order given by ``order``.
+def _ranged(df: DataFrame, names: Sequence[str], partitions: int | None) -> DataFrame:
+    """Rows range-partitioned and sorted on ``names``, written once, with their partition number.
 
-    Rows are range-partitioned on the full order (so ties of a leading key are
-    split), sorted inside partitions and written to the checkpoint folder once;
-    positions then need only the partition sizes.  ``order`` should end in a
-    unique column.
+    The full order is the partitioning key, so a crowded leading key is split.
+    Range bounds come from a sample, hence the single written copy: every later
+    step sees the same partitions, also after a lost executor.
     """
-    spark = df.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    keyed = df.select("*", *[c.alias(f"_o{i}") for i, c in enumerate(order)])
-    names = [f"_o{i}" for i in range(len(order))]
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     placed = (
-        keyed.repartitionByRange(n, *names)
+        df.repartitionByRange(n, *names)
         .sortWithinPartitions(*names)
         .withColumn("_part", F.spark_partition_id())
         .withColumn("_pos", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)))
-        .drop(*names)
     )
-    placed = checkpointed(placed)
+    return checkpointed(placed)
+
+
+def global_row_number(
+    df: DataFrame, order: Sequence[Column], name: str = "row_no", partitions: int | None = None
+) -> DataFrame:
+    """1-based position in a total order given by ``order``, which should end in a unique column.
+
+    Positions inside partitions need only the sizes of the earlier partitions.
+    """
+    names = [f"_o{i}" for i in range(len(order))]
+    keyed = df.select("*", *[c.alias(n) for c, n in zip(order, names, strict=True)])
+    placed = _ranged(keyed, names, partitions).drop(*names)
     sizes = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
-    # At most one row per partition, so the broadcast is bounded by ``n``.
+    # At most one row per partition, so the broadcast is bounded by their number.
     return (
         placed.join(F.broadcast(offsets), "_part")
         .withColumn(name, F.col("_before") + F.col("_pos") + 1)
@@ -96,6 +101,34 @@ def global_row_number(
     )
 
 
+def lowest_before(
+    df: DataFrame, group: str, order: str, value: str, name: str, partitions: int | None = None
+) -> DataFrame:
+    """Add the lowest ``value`` among the rows of the group that come earlier in ``order``.
+
+    (group, order) must be unique.  Groups are cut by range partitions; each
+    piece takes a running minimum, and a group that spans partitions carries the
+    lowest value of its earlier pieces, so no group has to fit in one task.
+    """
+    placed = _ranged(df, [group, order], partitions)
+    pieces = placed.groupBy("_part", group).agg(F.min(value).alias("_low"))
+    # Only the first and last group of a partition can continue elsewhere.
+    edges = placed.groupBy("_part").agg(F.min(group).alias("_first"), F.max(group).alias("_last"))
+    shared = edges.select(F.explode(F.array("_first", "_last")).alias(group)).distinct()
+    earlier = Window.partitionBy(group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    # At most two groups per partition survive here, so both broadcasts are bounded.
+    carried = pieces.join(F.broadcast(shared), group).withColumn("_carry", F.min("_low").over(earlier)).select(
+        "_part", group, "_carry"
+    ).where("_carry IS NOT NULL")
+    inside = Window.partitionBy("_part", group).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    return (
+        placed.withColumn("_own", F.min(value).over(inside))
+        .join(F.broadcast(carried), ["_part", group], "left")
+        .withColumn(name, F.least("_own", "_carry"))
+        .select(*df.columns, name)
+    )
+
+
 def sequence_violations(df: DataFrame, row_no: str, observed: Column, expected: Column) -> DataFrame:
     """Rows whose value is not the one their position demands."""
     return df.select(

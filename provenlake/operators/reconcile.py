@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..functions import fixed_values as fixed
 from ..functions import nested
 from ..functions.canonical import json_object, json_scalar, sha256_hex
-from .checks import dependency_violations, union_all, violations_where
+from .checks import dependency_violations, packed, union_all, violations_where
 
 
 @dataclass(frozen=True)
@@ -145,14 +145,10 @@ def reconcile_checked(inventory: DataFrame, checked: DataFrame) -> Reconciled:
     wide = fields.where("NOT conflict").groupBy("puzzle_id").agg(
         *[F.max(F.when(F.col("field") == f, F.col("value_json"))).alias(f) for f in fixed.SEMANTIC_FIELDS]
     )
-    # Distinct links first; only the links of one definition are packed into its row.
-    observations = (
-        checked.select("puzzle_id", F.explode("observation_ids").alias("o")).distinct()
-        .groupBy("puzzle_id").agg(F.sort_array(F.collect_list("o")).alias("source_observation_ids"))
-    )
-    artifacts = (
-        checked.where("puzzle_artifact_id IS NOT NULL").select("puzzle_id", "puzzle_artifact_id").distinct()
-        .groupBy("puzzle_id").agg(F.sort_array(F.collect_list("puzzle_artifact_id")).alias("puzzle_artifact_ids"))
+    links = checked.select("puzzle_id", F.explode("observation_ids").alias("observation_id"))
+    observations = packed(links, ["puzzle_id"], "observation_id", "source_observation_ids")
+    artifacts = packed(
+        checked.where("puzzle_artifact_id IS NOT NULL"), ["puzzle_id"], "puzzle_artifact_id", "puzzle_artifact_ids"
     )
     empty = F.array().cast("array<string>")
     missing = F.array_sort(
@@ -160,9 +156,11 @@ def reconcile_checked(inventory: DataFrame, checked: DataFrame) -> Reconciled:
     )
     resolutions = (
         inventory.select("puzzle_id").join(wide, "puzzle_id", "left")
-        .join(observations, "puzzle_id", "left").join(artifacts, "puzzle_id", "left")
-        .withColumn("source_observation_ids", F.coalesce("source_observation_ids", empty))
-        .withColumn("puzzle_artifact_ids", F.coalesce("puzzle_artifact_ids", empty))
+        .join(observations.withColumn("_o", F.lit(True)), "puzzle_id", "left")
+        .join(artifacts.withColumn("_a", F.lit(True)), "puzzle_id", "left")
+        # No link gives an empty list; a list too long to pack stays null.
+        .withColumn("source_observation_ids", F.when(F.col("_o").isNull(), empty).otherwise(F.col("source_observation_ids")))
+        .withColumn("puzzle_artifact_ids", F.when(F.col("_a").isNull(), empty).otherwise(F.col("puzzle_artifact_ids")))
         .withColumn("missing_fields", missing)
     )
     complete = resolutions.where(F.size("missing_fields") == 0)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import fixed_values as fixed
 from ..functions import nested
 from ..functions.canonical import json_of, lookup
-from .checks import union_all, violations_where
+from .checks import packed, union_all, violations_where
 from .pairing import with_observation_id
 
 
@@ -118,12 +118,8 @@ def artifact_observation_links(artifacts: DataFrame, observations: DataFrame) ->
             ),
         ]
     )
-    linked = (
-        joined.where("observation_id IS NOT NULL").select("artifact_id", "puzzle_id", "observation_id").distinct()
-        .groupBy("artifact_id", "puzzle_id")
-        .agg(F.sort_array(F.collect_list("observation_id")).alias("observation_ids"))
-    )
-    return linked, violations
+    found = joined.where("observation_id IS NOT NULL")
+    return packed(found, ["artifact_id", "puzzle_id"], "observation_id", "observation_ids"), violations
 
 
 def artifact_claims(decoded: DataFrame, links: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -206,9 +202,7 @@ def topology_claims(status: DataFrame, uses: DataFrame, observations: DataFrame)
     lists = sides.groupBy("variant", "field").agg(
         F.flatten(F.collect_list(F.array_repeat("m", F.col("n")))).alias("ms")
     )
-    ids = observations.groupBy("puzzle_id").agg(
-        F.sort_array(F.collect_set("observation_id")).alias("observation_ids")
-    )
+    ids = packed(observations, ["puzzle_id"], "observation_id", "observation_ids")
     return ok.join(lists, "variant").join(ids, "puzzle_id").select(
         "puzzle_id", "observation_ids", F.lit(None).cast("string").alias("puzzle_artifact_id"), "field",
         json_of(nested.canonical_molecules(F.col("ms"))).alias("value_json"),

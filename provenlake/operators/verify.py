@@ -55,13 +55,14 @@ def pair_exactly_one(left: DataFrame, right: DataFrame, key: str, facts: list[st
     The right side is reduced to one row per key before the join, so the guard
     and the pairing share one shuffle and a crowded key cannot multiply rows.
     """
-    tuple_ = F.struct(*facts)
+    # A single fact is aggregated as it is: a number then stays in a hash aggregate.
+    tuple_ = F.struct(*facts) if len(facts) > 1 else F.col(facts[0])
     one = right.groupBy(key).agg(F.min(tuple_).alias("_f"), F.count(F.lit(1)).alias("_n"))
     joined = left.join(one, key, "left")
     matches = F.least(F.coalesce("_n", F.lit(0)), F.lit(2)).cast("int")
     return joined.select(
         *left.columns, matches.alias("matches"),
-        *[F.when(F.col("_n") == 1, F.col(f"_f.{f}")).alias(f) for f in facts],
+        *[F.when(F.col("_n") == 1, F.col(f"_f.{f}" if len(facts) > 1 else "_f")).alias(f) for f in facts],
     )
 
 

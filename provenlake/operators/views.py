@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import fixed_values as fixed
+from .ordering import lowest_before
 
 
 def is_true(column: Column) -> Column:
@@ -59,20 +60,16 @@ def regret(solutions: DataFrame, group: str, metric: str, key: str) -> DataFrame
 def pareto_pair(solutions: DataFrame, group: str, x: str, y: str) -> DataFrame:
     """Nondominated (x, y) tuples per group, with the number of rows on each.
 
-    Rows collapse to one tuple per (group, x) before anything is ordered: at one
-    x only the lowest y can survive.  The window then runs over distinct metric
-    values, not over rows.
+    Rows collapse to one tuple per (group, x): at one x only the lowest y can
+    survive, and it does when every cheaper x has a higher y.  The running
+    minimum crosses partitions, so a crowded group is not held by one task.
     """
     tuples = solutions.where(F.col(x).isNotNull() & F.col(y).isNotNull()).groupBy(group, x, y).agg(
         F.count(F.lit(1)).alias("rows")
     )
-    steps = tuples.groupBy(group, x).agg(F.min(F.struct(F.col(y).alias("y"), F.col("rows").alias("rows"))).alias("s"))
-    cheaper = Window.partitionBy(group).orderBy(x).rowsBetween(Window.unboundedPreceding, -1)
-    return (
-        steps.withColumn("_best", F.min(F.col("s.y")).over(cheaper))
-        .where(F.col("_best").isNull() | (F.col("s.y") < F.col("_best")))
-        .select(group, x, F.col("s.y").alias(y), F.col("s.rows").alias("rows"))
-    )
+    steps = tuples.groupBy(group, x).agg(F.min(F.struct(F.col(y).alias(y), F.col("rows").alias("rows"))).alias("s"))
+    lows = lowest_before(steps.select(group, x, "s.*"), group, x, y, "_best")
+    return lows.where(F.col("_best").isNull() | (F.col(y) < F.col("_best"))).drop("_best")
 
 
 def frontier_state(by_key: DataFrame, frontier: DataFrame, key: str) -> DataFrame:

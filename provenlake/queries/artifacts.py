@@ -9,6 +9,7 @@ from ..operators import checks, digest, ingest, release
 from ..operators.eligibility import select_by_priority
 from ..operators.ordering import global_row_number, text_key
 from ..sources.sinks import plan_receipt_append
+from ..session import spread_scan
 from .common import FOLDED_SQL, RIGHTS_SQL, document_candidates, document_rights, query, table
 
 
@@ -170,7 +171,7 @@ def ordered_digest(spark, sf):
     }
     return checks.union_all(
         [
-            digest.tree_digest(table(spark, sf, t), cols).select(F.lit(t).alias("table_name"), "*")
+            digest.tree_digest(spread_scan(table(spark, sf, t)), cols).select(F.lit(t).alias("table_name"), "*")
             for t, cols in wanted.items()
         ]
     )

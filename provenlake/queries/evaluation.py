@@ -215,5 +215,5 @@ WITH a AS (SELECT event_type AS run_id, user_id, {_OUTCOME_SQL} AS outcome FROM
 SELECT run_id, solved_count, attempt_count, CAST(dense_rank() OVER (ORDER BY solved_count DESC, attempt_count, run_id) AS INT) AS rank FROM q""")
 def leaderboard(spark, sf):
     report = ev.run_report(ev.project_attempts(event_attempts(spark, sf)))
-    ranked = ev.leaderboard(report, [F.col("solved_count").desc(), F.col("attempt_count"), F.col("run_id")])
+    ranked = ev.leaderboard(report, [-F.col("solved_count"), F.col("attempt_count"), F.col("run_id")])
     return ranked.select("run_id", "solved_count", "attempt_count", "rank")

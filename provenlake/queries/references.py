@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import checks, coverage, pairing, reconcile, verify
 from ..operators.ordering import number_in_buckets, sequence_violations
+from ..session import spread_scan
 from .common import query, table
 
 
@@ -79,7 +80,7 @@ SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS claimed_cost,
 FROM events""")
 def claims_from_json(spark, sf):
     """Events as metadata documents; errors carry a boolean metric and views an empty link."""
-    events = table(spark, sf, "events")
+    events = spread_scan(table(spark, sf, "events"))
     k = F.get_json_object("props", "$.k")
     link = F.when(F.col("event_type") == "click", F.concat(F.lit(',"dataLink":"https://x/'), F.col("event_id").cast("string"), F.lit('"')))
     link = link.when(F.col("event_type") == "view", F.lit(',"dataLink":""'))

@@ -38,7 +38,7 @@ SELECT doc_id, CAST(len(words) AS INT) AS n, sha256(array_to_string(words, '|'))
 def string_sets(spark, sf):
     """Every document's words as a canonical set."""
     words = nested.string_set(F.split("text", r"[ \n]+"))
-    docs = table(spark, sf, "documents").select("doc_id", words.alias("words"))
+    docs = spread_scan(table(spark, sf, "documents")).select("doc_id", words.alias("words"))
     return docs.select("doc_id", F.size("words").alias("n"), F.sha2(F.array_join("words", "|"), 256).alias("digest"))
 
 
@@ -68,7 +68,7 @@ SELECT vec_id, sha256('[{"atoms":[' || array_to_string(atoms, ',') || '],"bonds"
 @query(_MOLECULE_SQL)
 def molecule_canonical(spark, sf):
     """Each embedding as one molecule: an atom per element, bonds between neighbours in either direction."""
-    rows = table(spark, sf, "embeddings").select(
+    rows = spread_scan(table(spark, sf, "embeddings")).select(
         "vec_id", F.transform("embedding", lambda x: F.floor(x.cast("double") * 1000).cast("int")).alias("e")
     )
     size = F.size("e")
@@ -165,7 +165,7 @@ FROM documents""")
 def text_serialization(spark, sf):
     """Header-and-lines text of each document, whole text included."""
     text = nested.line_text("DOCUMENT_TEXT_V1", [("doc_id", json_scalar(F.col("doc_id"))), ("text", json_scalar(F.col("text")))])
-    return table(spark, sf, "documents").select("doc_id", F.sha2(text, 256).alias("digest"))
+    return spread_scan(table(spark, sf, "documents")).select("doc_id", F.sha2(text, 256).alias("digest"))
 
 
 @query("""
@@ -192,9 +192,12 @@ def compile_outputs(spark, sf):
 
 
 def le32(column):
-    """A long as four little-endian bytes."""
-    hexed = F.lpad(F.hex(column.cast("bigint").bitwiseAND(F.lit(0xFFFFFFFF))), 8, "0")
-    return F.unhex(F.concat(*[F.substring(hexed, i, 2) for i in (7, 5, 3, 1)]))
+    """A long as four little-endian bytes: the bytes are swapped as numbers, then written once."""
+    v = column.cast("bigint")
+    swapped = F.lit(0).cast("bigint")
+    for shift in (0, 8, 16, 24):
+        swapped = swapped.bitwiseOR(F.shiftleft(F.shiftright(v, shift).bitwiseAND(F.lit(255)), 24 - shift))
+    return F.unhex(F.lpad(F.hex(swapped), 8, "0"))
 
 
 def short_text(column):

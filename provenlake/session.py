@@ -72,7 +72,7 @@ def settled(*frames: DataFrame) -> list[DataFrame]:
 def spread_scan(df: DataFrame) -> DataFrame:
     """A plain scan with enough partitions to keep every core busy.
 
-    For inputs of Python stages only.  A scan that already has as many splits as
+    For inputs of stages that cost much per row (Python, hashing, whole texts).  A scan that already has as many splits as
     the cluster has cores is returned as it is, so large inputs are not shuffled;
     a small one (a single row group) is spread over the cores before the work.
     """

@@ -97,6 +97,21 @@ def test_pareto_against_brute_force(spark):
     assert got == best
 
 
+def test_lowest_before_splits_a_hot_group(spark):
+    rows = [("hot", i, (i * 37) % 211) for i in range(200)] + [(f"g{i}", i, i) for i in range(40)] + [(f"g{i}", i + 1, i + 5) for i in range(40)]
+    df = spark.createDataFrame(rows, "g string, x int, y int").repartition(6)
+    got = {(r.g, r.x): r.low for r in ordering.lowest_before(df, "g", "x", "y", "low", partitions=7).collect()}
+    for g, x, _ in rows:
+        earlier = [y2 for g2, x2, y2 in rows if g2 == g and x2 < x]
+        assert got[(g, x)] == (min(earlier) if earlier else None)
+
+
+def test_packing_keeps_long_lists_out_of_rows(spark, monkeypatch):
+    links = spark.createDataFrame([("a", "2"), ("a", "1"), ("a", "1"), ("b", "1"), ("b", "2"), ("b", "3")], "k string, v string")
+    monkeypatch.setattr(checks, "PACK_LIMIT", 2)
+    assert {r.k: r.vs for r in checks.packed(links, ["k"], "v", "vs").collect()} == {"a": ["1", "2"], "b": None}
+
+
 def test_coverage_policies(spark):
     inventory = spark.createDataFrame([("a",), ("b",), ("c",)], "k string")
     puzzles = spark.createDataFrame([("a",), ("z",)], "k string")
