@@ -357,6 +357,15 @@ def solve_at_k(series: DataFrame, keys: tuple[str, ...], k: int) -> DataFrame:
     )
 
 
+def resources_to_success(attempts: DataFrame, keys: tuple[str, ...] = ("run_id", "puzzle_id")) -> DataFrame:
+    """Counters of solved puzzles summed up to their first success; null when one is unknown."""
+    first = attempts.where("outcome = 'success'").groupBy(*keys).agg(F.min("attempt_index").alias("_first"))
+    until = attempts.join(first, list(keys)).where(F.col("attempt_index") <= F.col("_first"))
+    return until.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("attempts"), *[complete_sum(c).alias(c) for c in COUNTERS]
+    )
+
+
 def leaderboard(report: DataFrame, order: list[Column]) -> DataFrame:
     """Dense rank of report rows: the position of each distinct key tuple, lowest first.
 

@@ -101,32 +101,30 @@ def global_row_number(
     )
 
 
-def lowest_before(
-    df: DataFrame, group: str, order: str, value: str, name: str, partitions: int | None = None
+def running_before(
+    df: DataFrame, group: str, order: str, value: str, name: str, fold=F.min, partitions: int | None = None
 ) -> DataFrame:
-    """Add the lowest ``value`` among the rows of the group that come earlier in ``order``.
+    """Add ``fold`` (min or sum) of ``value`` over the rows of the group that come earlier in ``order``.
 
-    (group, order) must be unique.  Groups are cut by range partitions; each
-    piece takes a running minimum, and a group that spans partitions carries the
-    lowest value of its earlier pieces, so no group has to fit in one task.
+    (group, order) must be unique; the first row of a group gets null.  Groups are
+    cut by range partitions; each piece is folded on its own, and a group that
+    spans partitions carries the fold of its earlier pieces, so no group has to
+    fit in one task.
     """
     placed = _ranged(df, [group, order], partitions)
-    pieces = placed.groupBy("_part", group).agg(F.min(value).alias("_low"))
+    pieces = placed.groupBy("_part", group).agg(fold(value).alias("_piece"))
     # Only the first and last group of a partition can continue elsewhere.
     edges = placed.groupBy("_part").agg(F.min(group).alias("_first"), F.max(group).alias("_last"))
     shared = edges.select(F.explode(F.array("_first", "_last")).alias(group)).distinct()
     earlier = Window.partitionBy(group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     # At most two groups per partition survive here, so both broadcasts are bounded.
-    carried = pieces.join(F.broadcast(shared), group).withColumn("_carry", F.min("_low").over(earlier)).select(
+    carried = pieces.join(F.broadcast(shared), group).withColumn("_carry", fold("_piece").over(earlier)).select(
         "_part", group, "_carry"
     ).where("_carry IS NOT NULL")
     inside = Window.partitionBy("_part", group).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    return (
-        placed.withColumn("_own", F.min(value).over(inside))
-        .join(F.broadcast(carried), ["_part", group], "left")
-        .withColumn(name, F.least("_own", "_carry"))
-        .select(*df.columns, name)
-    )
+    joined = placed.withColumn("_own", fold(value).over(inside)).join(F.broadcast(carried), ["_part", group], "left")
+    both = F.least("_own", "_carry") if fold is F.min else F.col("_own") + F.col("_carry")
+    return joined.withColumn(name, F.coalesce(both, "_own", "_carry")).select(*df.columns, name)
 
 
 def sequence_violations(df: DataFrame, row_no: str, observed: Column, expected: Column) -> DataFrame:

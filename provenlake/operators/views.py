@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import fixed_values as fixed
-from .ordering import lowest_before
+from .checks import rule_violations, unique_key_violations
+from .ordering import running_before
 
 
 def is_true(column: Column) -> Column:
@@ -68,7 +69,7 @@ def pareto_pair(solutions: DataFrame, group: str, x: str, y: str) -> DataFrame:
         F.count(F.lit(1)).alias("rows")
     )
     steps = tuples.groupBy(group, x).agg(F.min(F.struct(F.col(y).alias(y), F.col("rows").alias("rows"))).alias("s"))
-    lows = lowest_before(steps.select(group, x, "s.*"), group, x, y, "_best")
+    lows = running_before(steps.select(group, x, "s.*"), group, x, y, "_best")
     return lows.where(F.col("_best").isNull() | (F.col(y) < F.col("_best"))).drop("_best")
 
 
@@ -85,3 +86,30 @@ def one_per_group(solutions: DataFrame, group: str, order: Sequence[str]) -> Dat
     rest = [c for c in solutions.columns if c != group and c not in order]
     first = solutions.groupBy(group).agg(F.min(F.struct(*order, *rest)).alias("r"))
     return first.select(group, "r.*")
+
+
+def view_input_violations(solutions: DataFrame) -> DataFrame:
+    """Solution rows a view may not be derived from: rows breaking the release rules, repeated ids."""
+    from .release import table_rules
+
+    return rule_violations(solutions, table_rules("solutions"), "solutions", "solution_id").unionByName(
+        unique_key_violations(solutions, "solution_id", "solutions")
+    )
+
+
+def metric_quantiles(solutions: DataFrame, group: str, metric: str, quantiles: Sequence[float]) -> DataFrame:
+    """(group, quantile, value): the lowest value that covers each share of the group's rows.
+
+    Exact at any size: rows collapse to counts per value, and cumulative counts
+    cross partitions instead of gathering a group.
+    """
+    counts = solutions.where(F.col(metric).isNotNull()).groupBy(group, metric).agg(F.count(F.lit(1)).alias("n"))
+    placed = running_before(counts, group, metric, "n", "_before", F.sum).na.fill(0, ["_before"])
+    totals = counts.groupBy(group).agg(F.sum("n").alias("_total"))
+    wanted = F.explode(F.array(*[F.lit(float(q)) for q in quantiles])).alias("quantile")
+    rank = F.greatest(F.ceil(F.col("quantile") * F.col("_total")), F.lit(1))
+    return (
+        placed.join(totals, group).select(group, metric, "n", "_before", "_total", wanted)
+        .where((F.col("_before") < rank) & (rank <= F.col("_before") + F.col("n")))
+        .select(group, "quantile", F.col(metric).alias("value"))
+    )

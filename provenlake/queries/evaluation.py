@@ -201,6 +201,47 @@ def pareto_frontier(spark, sf):
     return vw.pareto_pair(order_metrics(spark, sf), "o_custkey", "cycles", "cost")
 
 
+@query("""
+WITH m AS (SELECT o_custkey, CAST(round(o_totalprice * 100) AS BIGINT) AS cost FROM orders WHERE o_orderstatus = 'F')
+SELECT o_custkey, CAST(0.5 AS DOUBLE) AS quantile, quantile_disc(cost, 0.5) AS value FROM m GROUP BY o_custkey
+UNION ALL SELECT o_custkey, CAST(0.25 AS DOUBLE), quantile_disc(cost, 0.25) FROM m GROUP BY o_custkey""")
+def metric_distribution(spark, sf):
+    return vw.metric_quantiles(order_metrics(spark, sf), "o_custkey", "cost", [0.25, 0.5])
+
+
+@query("""
+WITH a AS (SELECT conv_id, turn + 1 AS idx, role = 'assistant' AND length(text) > 400 AS ok,
+    CASE WHEN role <> 'system' THEN length(text) END AS tokens FROM conversations),
+ f AS (SELECT conv_id, min(idx) AS first FROM a WHERE ok GROUP BY 1)
+SELECT a.conv_id AS puzzle_id, count(*) AS attempts,
+  CASE WHEN count(tokens) = count(*) THEN CAST(sum(tokens) AS BIGINT) END AS input_tokens
+FROM a JOIN f ON a.conv_id = f.conv_id WHERE a.idx <= f.first GROUP BY 1""")
+def resources_to_success(spark, sf):
+    """Text lengths of conversation turns as token counts; system turns report none."""
+    lengths = table(spark, sf, "conversations").select(
+        F.col("conv_id").alias("puzzle_id"), (F.col("turn") + 1).alias("attempt_index"), "role",
+        F.length("text").cast("bigint").alias("size"),
+    )
+    attempts = lengths.select(
+        F.lit("r").alias("run_id"), "puzzle_id", "attempt_index",
+        F.when((F.col("role") == "assistant") & (F.col("size") > 400), "success").otherwise("simulation_failed").alias("outcome"),
+        F.lit(1).alias("model_calls"), F.when(F.col("role") != "system", F.col("size")).alias("input_tokens"),
+        F.col("size").alias("output_tokens"),
+    )
+    return ev.resources_to_success(attempts).select("puzzle_id", "attempts", "input_tokens")
+
+
+@query("""
+WITH m AS (SELECT o_custkey, o_orderpriority, o_orderkey, CAST(round(o_totalprice * 100) AS BIGINT) AS cost FROM orders WHERE o_orderstatus = 'F')
+SELECT o_custkey, o_orderpriority, cost, o_orderkey FROM (
+  SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderpriority, cost, o_orderkey) AS k FROM m) WHERE k = 1""")
+def one_per_puzzle(spark, sf):
+    rows = table(spark, sf, "orders").where("o_orderstatus = 'F'").select(
+        "o_custkey", "o_orderpriority", "o_orderkey", F.round(F.col("o_totalprice") * 100).cast("bigint").alias("cost")
+    )
+    return vw.one_per_group(rows, "o_custkey", ["o_orderpriority", "cost", "o_orderkey"])
+
+
 @query(f"""{_SERIES_SQL}
 SELECT 'r' AS run_id, count(*) AS puzzles, count(CASE WHEN first <= 1 THEN 1 END) AS solved_at_1, count(CASE WHEN first <= 4 THEN 1 END) AS solved_at_4,
   CAST(quantile_cont(first, 0.5) AS DOUBLE) AS median_attempts FROM s""")

@@ -25,6 +25,17 @@ def layout_join(spark, sf):
     return pairing.mapped_receipts(files, layout, ".html", "path").select("page_id", "path", "puzzle_id")
 
 
+@query(r"""
+WITH p AS (SELECT url, rtrim(regexp_extract(url, '^https?://[^/]+/([^?#]*)', 1), '/') AS path FROM pages)
+SELECT regexp_extract(url, '^(https?)', 1) AS source_id, count(*) AS candidate_count, count(DISTINCT regexp_extract(path, '^(.*)/[^/]*$', 1)) AS puzzles_covered
+FROM p WHERE path LIKE '%.html' AND regexp_extract(path, '^(.*)/[^/]*$', 1) IN (SELECT lang FROM documents) GROUP BY 1""")
+def landing_counts(spark, sf):
+    path = pairing.posix(F.regexp_extract("url", r"^https?://[^/]+/([^?#]*)", 1))
+    files = table(spark, sf, "pages").select(F.regexp_extract("url", "^(https?)", 1).alias("source_id"), path.alias("path"))
+    layout = table(spark, sf, "documents").select(F.col("lang").alias("directory"), F.col("lang").alias("puzzle_id")).distinct()
+    return pairing.landing_counts(pairing.mapped_receipts(files, layout, ".html", "path"))
+
+
 _PAIR_SQL = """
 WITH m AS (
   SELECT o_orderkey, 'n' || (o_orderkey % 25) AS puzzle_id,

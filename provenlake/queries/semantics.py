@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 from ..functions import binary, nested
 from ..functions.canonical import base64_text, json_of, json_scalar
 from ..operators import evaluation, normalize, reconcile, semantics
-from ..session import spread_scan
+from ..session import settled, spread_scan
 from .common import query, table
 
 
@@ -313,3 +313,34 @@ def decode_puzzles(spark, sf):
         "artifact_id", "error", "name", F.col("c")["reagents"].alias("reagents"), F.col("c")["products"].alias("products"),
         F.col("c")["target_output_count"].alias("target"), F.col("c")["allowed_parts"].alias("parts"),
     )
+
+
+_DEFINITION_BODY = f"""'{{"allowed_instructions":["drop","extend","grab","halt","noop","repeat","reset","retract","rotate_ccw","rotate_cw","track_minus","track_plus"],'
+ || '"allowed_parts":["arm1","arm2","arm3","arm6","glyph-marker","piston","track"],"output_scale":' || p_size
+ || ',"production":false,"production_constraints":null,"products":[{{"atoms":[{{"atom_type":"' || {_ATOM_SQL} || '","q":0,"r":0}}],"bonds":[]}}]'
+ || ',"puzzle_id":"p' || p_partkey || '","reagents":[{{"atoms":['
+ || array_to_string(list_sort(['{{"atom_type":"' || {_ATOM_SQL} || '","q":0,"r":0}}', '{{"atom_type":"air","q":1,"r":-1}}']), ',')
+ || '],"bonds":[{{"a_q":0,"a_r":0,"b_q":1,"b_r":-1,"bond_types":["normal"]}}]}}],"schema_version":"puzzle-definition-v1","target_output_count":' || 6 * p_size || '}}'"""
+
+
+@query(f"""
+SELECT 'p' || p_partkey AS puzzle_id, CASE WHEN p_type <> 'ECONOMY' THEN 'om.puzzle-definition.sha256.' || sha256({_DEFINITION_BODY}) END AS puzzle_definition_id,
+  CAST(CASE WHEN p_type = 'ECONOMY' THEN 8 ELSE 0 END AS INT) AS missing
+FROM part""")
+def puzzle_definitions(spark, sf):
+    """Parts as puzzles: decoded, turned into claims, canonicalized, reconciled and identified."""
+    puzzles = part_puzzles(spark, sf)
+    (decoded,) = settled(binary.decode_puzzles(puzzles))
+    name = F.concat(F.lit("p"), F.col("artifact_id").cast("string"))
+    links = decoded.select(
+        "artifact_id", name.alias("puzzle_id"), F.array(F.concat(F.lit("o"), F.col("artifact_id").cast("string"))).alias("observation_ids")
+    )
+    claims, _ = semantics.artifact_claims(decoded, links)
+    (claims,) = settled(claims.withColumn("puzzle_artifact_id", F.col("puzzle_artifact_id").cast("string")))
+    (checked,) = settled(nested.canonical_claims(claims))
+    inventory = table(spark, sf, "part").select(F.concat(F.lit("p"), F.col("p_partkey").cast("string")).alias("puzzle_id"))
+    done = reconcile.reconcile_checked(inventory, checked)
+    ids = done.definitions.select("puzzle_id", "puzzle_definition_id")
+    return done.resolutions.select("puzzle_id", F.size("missing_fields").alias("missing")).join(ids, "puzzle_id", "left").select(
+        "puzzle_id", "puzzle_definition_id", "missing"
+    )

@@ -97,13 +97,15 @@ def test_pareto_against_brute_force(spark):
     assert got == best
 
 
-def test_lowest_before_splits_a_hot_group(spark):
+def test_running_folds_split_a_hot_group(spark):
     rows = [("hot", i, (i * 37) % 211) for i in range(200)] + [(f"g{i}", i, i) for i in range(40)] + [(f"g{i}", i + 1, i + 5) for i in range(40)]
     df = spark.createDataFrame(rows, "g string, x int, y int").repartition(6)
-    got = {(r.g, r.x): r.low for r in ordering.lowest_before(df, "g", "x", "y", "low", partitions=7).collect()}
+    got = {(r.g, r.x): r.low for r in ordering.running_before(df, "g", "x", "y", "low", partitions=7).collect()}
     for g, x, _ in rows:
         earlier = [y2 for g2, x2, y2 in rows if g2 == g and x2 < x]
         assert got[(g, x)] == (min(earlier) if earlier else None)
+    sums = {(r.g, r.x): r.total for r in ordering.running_before(df, "g", "x", "y", "total", F.sum, partitions=7).collect()}
+    assert all(sums[(g, x)] == (sum(y2 for g2, x2, y2 in rows if g2 == g and x2 < x) or (None if x == min(x2 for g2, x2, _ in rows if g2 == g) else 0)) for g, x, _ in rows)
 
 
 def test_packing_keeps_long_lists_out_of_rows(spark, monkeypatch):
