@@ -123,7 +123,7 @@ def attempt_invariants(spark, sf):
 
 
 def conversation_attempts(spark, sf):
-    """Conversations as attempt series; the last word of a turn decides its outcome."""
+    """Conversations as attempt series; a long enough assistant turn is a success."""
     solved = (F.col("role") == "assistant") & (F.length("text") > 400)
     return table(spark, sf, "conversations").select(
         F.lit("r").alias("run_id"), F.col("conv_id").alias("puzzle_id"), (F.col("turn") + 1).alias("attempt_index"),

@@ -21,6 +21,14 @@ SESSION_CONF = {
 }
 
 
+def configure(spark: SparkSession) -> SparkSession:
+    """Turn on the adaptive settings in a session that was made elsewhere."""
+    for key, value in SESSION_CONF.items():
+        if key.startswith("spark.sql.adaptive."):
+            spark.conf.set(key, value)
+    return spark
+
+
 def local_session(cores: str = "8", shuffle_partitions: int = 8, app: str = "provenlake") -> SparkSession:
     """A local session for tests and the bench; clusters bring their own."""
     builder = (
@@ -46,7 +54,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
     executors are one process.
     """
     context = spark.sparkContext
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    configured = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir", None)
     current = context.getCheckpointDir()
     if current:
         return current

@@ -35,6 +35,9 @@ RECEIPT_SCHEMA = T.StructType(
     ]
 )
 
+# Files named one by one from the driver (manifests and what they pin).
+MAX_PINNED = 10_000
+
 
 # --- content objects -------------------------------------------------------------------
 
@@ -54,8 +57,10 @@ def read_objects(spark: SparkSession, root: str) -> DataFrame:
 
 
 def file_digest_violations(spark: SparkSession, expected: DataFrame) -> DataFrame:
-    """Pinned-hash check.  expected: path, sha256; a missing file is a violation too."""
-    paths = [r["path"] for r in expected.select("path").distinct().take(10_000)]
+    """Pinned-hash check of a list of files.  expected: path, sha256; a missing file is a violation too."""
+    paths = [r["path"] for r in expected.select("path").distinct().take(MAX_PINNED + 1)]
+    if len(paths) > MAX_PINNED:
+        raise ValueError("too many pinned files to name one by one; scan their folder with read_objects")
     files = spark.read.format("binaryFile").load(paths).select(
         F.regexp_replace("path", r"^file:", "").alias("path"), F.sha2("content", 256).alias("_found")
     )
@@ -238,7 +243,10 @@ def read_collections(spark: SparkSession, root: str) -> list[tuple[dict, DataFra
     """(manifest, inventory, violations) of every manifest in a directory, in name order."""
     listing = spark.read.format("binaryFile").load(f"{root}/*.toml").select("path").orderBy("path")
     found = []
-    for row in listing.take(10_000):
+    manifests = listing.take(MAX_PINNED + 1)
+    if len(manifests) > MAX_PINNED:
+        raise ValueError("too many manifests in one folder")
+    for row in manifests:
         manifest = read_manifest(spark, row["path"])
         folder = row["path"].rsplit("/", 1)[0]
         csv_path = f"{folder}/{manifest['inventory_file']}"
