@@ -187,15 +187,13 @@ def name_key(name: Column) -> Column:
     )
 
 
-def strict_base64(text: Column) -> Column:
-    """Classify base64 text: struct(code, payload).
+def base64_code(text: Column, decoded: Column) -> Column:
+    """Why ``text`` is not canonical non-empty base64, else null.
 
-    ``code`` is null for canonical non-empty base64, else one of
-    ``invalid_base64``, ``noncanonical_base64``, ``empty_candidate``.
-    Text that only decodes once foreign characters are dropped is
-    non-canonical, not invalid.
+    ``decoded`` is ``try_to_binary(text, 'base64')``.  Codes: invalid_base64,
+    noncanonical_base64, empty_candidate.  Text that only decodes once foreign
+    characters are dropped is non-canonical, not invalid.
     """
-    ascii_only = text.rlike(r"^[\x00-\x7F]*$")
     d = "[A-Za-z0-9+/]"
     strict = text.rlike(rf"^{d}*={{0,2}}$") & (F.length(text) % 4 == 0)
     # A lenient decoder skips foreign characters and stray padding, and stops at
@@ -205,13 +203,17 @@ def strict_base64(text: Column) -> Column:
     loosely_decodable = kept.rlike(
         rf"^(?:=*+{d}=*+{d}=?+{d}{d})*+(?:=*+$|=*+{d}=*+{d}(?:==|=?{d}=))"
     ) & kept.rlike(d)
-    payload = F.try_to_binary(text, F.lit("base64"))
-    canonical = base64_text(payload) == text
-    code = (
-        F.when(~ascii_only, "invalid_base64")
-        .when(F.length(text) == 0, "empty_candidate")
-        .when(strict & canonical, F.lit(None).cast("string"))
+    return (
+        F.when(F.length(text) == 0, "empty_candidate")
+        .when(strict & (base64_text(decoded) == text), F.lit(None).cast("string"))
+        .when(~text.rlike(r"^[\x00-\x7F]*$"), "invalid_base64")
         .when(strict | loosely_decodable, "noncanonical_base64")
         .otherwise("invalid_base64")
     )
-    return F.struct(code.alias("code"), F.when(code.isNull(), payload).alias("payload"))
+
+
+def strict_base64(text: Column) -> Column:
+    """struct(code, payload) of base64 text; exactly one of the two is null."""
+    decoded = F.try_to_binary(text, F.lit("base64"))
+    code = base64_code(text, decoded)
+    return F.struct(code.alias("code"), F.when(code.isNull(), decoded).alias("payload"))

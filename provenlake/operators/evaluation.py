@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from pyspark.sql.functions import pandas_udf
 
 from ..functions import fixed_values as fixed
-from ..functions.canonical import canonical_json, canonical_json_of, content_id, json_object, sha256_hex, strict_base64
+from ..functions.canonical import base64_code, canonical_json, canonical_json_of, content_id, json_object, sha256_hex
 from .ordering import global_row_number
 from .checks import rule_violations, set_difference, union_all, violations_where
 
@@ -77,17 +77,22 @@ def compile_outputs(outputs: DataFrame, raw: str = "raw_output") -> DataFrame:
 
     Exactly one of compile_error and solution_bytes is set.
     """
-    read = outputs.withColumn("_e", read_envelope(F.col(raw)))
-    decoded = read.withColumn("_b", strict_base64(F.col("_e.body")))
-    code = F.coalesce(
-        F.col("_e.code"),
-        F.when(F.col("_e.format") != fixed.CANDIDATE_FORMAT, "unsupported_format"),
-        F.col("_b.code"),
+    read = outputs.withColumn("_e", read_envelope(F.col(raw))).select(
+        *outputs.columns, F.col("_e.code").alias("_code"), F.col("_e.format").alias("_format"), F.col("_e.body").alias("_body")
     )
-    payload = F.when(code.isNull(), F.col("_b.payload"))
-    return decoded.select(
-        *outputs.columns, code.alias("compile_error"), payload.alias("solution_bytes"),
-        F.sha2(payload, 256).alias("candidate_sha256"),
+    # Decoding, judging and hashing are separate projections, so each runs once.
+    decoded = read.withColumn("_raw", F.try_to_binary("_body", F.lit("base64")))
+    judged = decoded.withColumn(
+        "compile_error",
+        F.coalesce(
+            F.col("_code"),
+            F.when(F.col("_format") != fixed.CANDIDATE_FORMAT, "unsupported_format"),
+            base64_code(F.col("_body"), F.col("_raw")),
+        ),
+    )
+    payload = F.when(F.col("compile_error").isNull(), F.col("_raw"))
+    return judged.select(
+        *outputs.columns, "compile_error", payload.alias("solution_bytes"), F.sha2(payload, 256).alias("candidate_sha256")
     )
 
 
