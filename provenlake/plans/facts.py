@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 
 from ..functions import fixed_values as fixed
 from ..functions.binary import decode_puzzles
-from ..functions.nested import canonical_claims
 from ..functions.canonical import canonical_json_of, sha256_hex
+from ..functions.nested import canonical_claims
 from ..operators import pairing
 from ..operators.checks import dependency_violations, missing_references, union_all, violations_where
 from ..operators.coverage import not_ready, puzzle_coverage
@@ -30,7 +30,7 @@ from ..operators.pairing import (
 from ..operators.reconcile import reconcile_checked, semantic_sources
 from ..operators.semantics import artifact_claims, artifact_observation_links
 from ..session import checkpointed, settled
-from ..sources.files import landed_puzzle_fixtures, mapped_set_violations, mapping_violations
+from ..sources.files import landed_puzzle_fixtures, mapping_violations
 
 RECEIPT_FIELDS = ["source_id", "revision", "upstream_path", "sha256", "byte_length", "rights_status", "retrieved_at"]
 MANIFEST_NAME = "official-puzzles.toml"
@@ -256,8 +256,3 @@ def solution_facts(
     violations = [unreadable, unpairable, conflicts, ingested.violations, bad_roles]
     return SolutionFacts(artifacts, observations, union_all(settled(*violations)))
 
-
-__all__ = [
-    "PuzzleFacts", "candidates", "coverage_gate", "mapped_set_violations", "official_candidates",
-    "puzzle_artifact_candidates", "puzzle_facts", "read_mappings", "solution_facts", "source_revision",
-]
