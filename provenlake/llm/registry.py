@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import op9_token_counts
+from . import op9_token_counts, op10_quality_rules
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -35,3 +35,8 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 def op9_token_counts_two_tier(spark: SparkSession, sf: str) -> DataFrame:
     counts = op9_token_counts.token_counts(table(spark, sf, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
     return counts.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
+
+
+@query()
+def op10_quality_rules_line_first(spark: SparkSession, sf: str) -> DataFrame:
+    return op10_quality_rules.quality(table(spark, sf, "documents"))
