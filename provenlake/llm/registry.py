@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import op1_sum_of_squares_packing as op1_packing
 from . import op9_token_counts, op10_quality_rules
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -40,3 +41,8 @@ def op9_token_counts_two_tier(spark: SparkSession, sf: str) -> DataFrame:
 @query()
 def op10_quality_rules_line_first(spark: SparkSession, sf: str) -> DataFrame:
     return op10_quality_rules.quality(table(spark, sf, "documents"))
+
+
+@query()
+def op1_sum_of_squares_packing(spark: SparkSession, sf: str) -> DataFrame:
+    return op1_packing.pack_documents(table(spark, sf, "documents"), public_tokenizers.path("word_bpe_49k.json"))
