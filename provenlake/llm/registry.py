@@ -9,13 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import op1_sum_of_squares_packing as op1_packing
-from . import op9_token_counts, op10_quality_rules
+from . import op7_kd_shards, op9_token_counts, op10_quality_rules
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 #: Longest document that is not over the limit, in tokens.
 TOKEN_LIMIT = 1024
+SHARDS = 16
 
 
 def query(sql: str | None = None):
@@ -46,3 +47,11 @@ def op10_quality_rules_line_first(spark: SparkSession, sf: str) -> DataFrame:
 @query()
 def op1_sum_of_squares_packing(spark: SparkSession, sf: str) -> DataFrame:
     return op1_packing.pack_documents(table(spark, sf, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query()
+def op7_kd_tree_shards(spark: SparkSession, sf: str) -> DataFrame:
+    shards = op7_kd_shards.kd_shards(table(spark, sf, "documents"), n_shards=SHARDS)
+    return shards.select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
+    )
