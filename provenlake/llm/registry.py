@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import op1_sum_of_squares_packing as op1_packing
+from . import op6_multi_index_hamming as op6_multi_index_hamming_join
 from . import op7_kd_shards, op9_token_counts, op10_quality_rules
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -55,3 +56,8 @@ def op7_kd_tree_shards(spark: SparkSession, sf: str) -> DataFrame:
     return shards.select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
     )
+
+
+@query()
+def op6_multi_index_hamming(spark: SparkSession, sf: str) -> DataFrame:
+    return op6_multi_index_hamming_join.near_duplicates(table(spark, sf, "documents"))

@@ -57,7 +57,8 @@ def slices(batch: pa.RecordBatch, column: str, limit: int = BATCH_BYTES) -> Iter
 
 
 def map_texts(
-    df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch]], schema: str, column: str = "text"
+    df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch]], schema: str, column: str = "text",
+    limit: int = BATCH_BYTES,
 ) -> DataFrame:
     """Map bounded Arrow batches; ``make`` runs once per task and returns the batch function."""
     small_batches(df.sparkSession)
@@ -65,7 +66,7 @@ def map_texts(
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         apply = make()
         for batch in batches:
-            for part in slices(batch, column):
+            for part in slices(batch, column, limit):
                 yield apply(part)
 
     return df.mapInArrow(run, schema)
