@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import op1_sum_of_squares_packing as op1_packing
+from . import op2_language_crf as op2_language
 from . import op3_pii_crf as op3_pii
 from . import op6_multi_index_hamming as op6_multi_index_hamming_join
 from . import op7_kd_shards, op9_token_counts, op10_quality_rules
@@ -67,3 +68,8 @@ def op6_multi_index_hamming(spark: SparkSession, sf: str) -> DataFrame:
 @query()
 def op3_pii_crf(spark: SparkSession, sf: str) -> DataFrame:
     return op3_pii.find(table(spark, sf, "documents"))
+
+
+@query()
+def op2_language_crf(spark: SparkSession, sf: str) -> DataFrame:
+    return op2_language.identified(table(spark, sf, "documents"))
