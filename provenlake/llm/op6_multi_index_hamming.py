@@ -31,7 +31,7 @@ from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
@@ -46,6 +46,8 @@ FAR = 45
 PERCENT = 85
 #: A block of a family: rows, and bytes of shingle sets.
 BLOCK_ROWS, BLOCK_BYTES = 1_500, 24 << 20
+#: Bits of the broadcast filter of family members (16 MB); with more members it only lets more texts pass.
+FILTER_BITS = 1 << 27
 #: Bytes of text that are turned into shingles at once.
 SLICE_BYTES = 1 << 20
 
@@ -173,12 +175,13 @@ def _families(classes: DataFrame) -> DataFrame:
     return found.select(F.col("vertex").alias("rep"), F.col("component").alias("family"))
 
 
-def _blocked(members: DataFrame, payload_bytes: Column) -> DataFrame:
-    """Members of each family dealt to blocks, and to every pair of blocks that holds them.
+def _blocked(members: DataFrame) -> DataFrame:
+    """(rep, set_a, n_shingles, family, block, low, high): each member in every pair of blocks that holds its own.
 
     A small family is one block and one task's group.
     """
-    sizes = members.groupBy("family").agg(F.count(F.lit(1)).alias("_n"), F.sum(payload_bytes).alias("_bytes"))
+    size = F.col("n_shingles") * 8
+    sizes = members.groupBy("family").agg(F.count(F.lit(1)).alias("_n"), F.sum(size).alias("_bytes"))
     blocks = sizes.select(
         "family", F.greatest(F.ceil(F.col("_n") / BLOCK_ROWS), F.ceil(F.col("_bytes") / BLOCK_BYTES), F.lit(1)).cast("int").alias("_blocks")
     )
@@ -252,12 +255,11 @@ def groups(batches: Iterable[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Ta
         yield pa.Table.from_batches(held)
 
 
-def _verified(members: DataFrame, percent: int) -> DataFrame:
+def _verified(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """(a, b): links between class representatives, confirmed on full sets; a spanning forest per block pair."""
     kind = members.schema["rep"].dataType.simpleString()
-    dealt = _blocked(members, F.octet_length("set"))
-    n = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    placed = dealt.repartition(n, "family", "low", "high").sortWithinPartitions("family", "low", "high", "rep")
+    dealt = _blocked(members).join(sets, ["rep", "set_a", "n_shingles"])
+    placed = dealt.repartition("family", "low", "high").sortWithinPartitions("family", "low", "high", "rep")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in groups(batches, ["family", "low", "high"]):
@@ -273,33 +275,51 @@ def _verified(members: DataFrame, percent: int) -> DataFrame:
     return placed.mapInArrow(run, f"a {kind}, b {kind}")
 
 
+def _bits(members: DataFrame) -> np.ndarray:
+    """One bit per hash of a member's id, in ``FILTER_BITS`` bits whatever the number of members."""
+    bit = F.pmod(F.xxhash64("rep"), F.lit(FILTER_BITS))
+    words = members.groupBy(F.shiftright(bit, 6).alias("word")).agg(
+        F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), bit.bitwiseAND(F.lit(63)).cast("int"))).alias("bits")
+    ).toArrow()
+    out = np.zeros(FILTER_BITS >> 6, np.uint64)
+    out[words.column("word").to_numpy()] = words.column("bits").to_numpy().view(np.uint64)
+    return out
+
+
 def _sets_of(docs: DataFrame, members: DataFrame, id_column: str, text_column: str) -> DataFrame:
-    """Family members with signature and full shingle set, from the texts of the representatives only."""
-    texts = docs.select(F.col(id_column).alias("rep"), F.col(text_column).cast("string").alias("text")).where("text IS NOT NULL")
-    rows = texts.join(members, "rep")
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in members.schema)
-    names = members.columns
+    """(rep, set_a, n_shingles, sig, set) of the texts whose ids may be members', computed where they are read.
+
+    A filter of fixed size is broadcast, so texts are not shuffled; the join with
+    the members decides, and the filter only spares work.
+    """
+    hit = F.pmod(F.xxhash64(F.col(id_column)), F.lit(FILTER_BITS))
+    rows = docs.where(F.col(id_column).isNotNull() & F.col(text_column).isNotNull()).select(
+        F.col(id_column).alias("rep"), F.col(text_column).cast("string").alias("text"), hit.alias("bit")
+    )
+    shared = docs.sparkSession.sparkContext.broadcast(_bits(members))
+    kind = rows.schema["rep"].dataType.simpleString()
 
     def make() -> Callable[[pa.RecordBatch], pa.RecordBatch]:
+        bits = shared.value
+
         def apply(batch: pa.RecordBatch) -> pa.RecordBatch:
-            values, counts = shingle_sets(batch.column("text"))
-            ends = np.cumsum(counts)
-            # A row of the same id with another text is not the representative.
-            own = counts == batch.column("n_shingles").to_numpy()
-            if own.any():
-                has = counts > 0
-                own[has] &= digests(values, (ends - counts)[has])[:, 0] == batch.column("set_a").to_numpy()[has]
-            at = np.flatnonzero(own & (counts > 0))
-            sets = [values[ends[i] - counts[i] : ends[i]] for i in at]
-            sig = [signatures(s, np.zeros(1, np.int64)).tobytes() for s in sets]
-            kept = [batch.column(c).take(pa.array(at)) for c in names]
+            bit = batch.column("bit").to_numpy()
+            chosen = np.flatnonzero((bits[bit >> 6] >> (bit & 63).astype(np.uint64)) & np.uint64(1))
+            own = batch.take(pa.array(chosen))
+            values, counts = shingle_sets(own.column("text"))
+            has = np.flatnonzero(counts > 0)
+            starts = (np.cumsum(counts) - counts)[has]
+            sets = [values[a : a + n].tobytes() for a, n in zip(starts, counts[has], strict=True)]
+            sig = [row.tobytes() for row in signatures(values, starts)] if len(has) else []
+            digest = digests(values, starts)[:, 0] if len(has) else np.zeros(0, np.int64)
             return pa.RecordBatch.from_arrays(
-                [*kept, pa.array(sig, pa.binary()), pa.array([s.tobytes() for s in sets], pa.binary())], [*names, "sig", "set"]
+                [own.column("rep").take(pa.array(has)), pa.array(digest), pa.array(counts[has], pa.int64()), pa.array(sig, pa.binary()), pa.array(sets, pa.binary())],
+                ["rep", "set_a", "n_shingles", "sig", "set"],
             )
 
         return apply
 
-    return map_texts(rows.select("text", *names), make, f"{schema}, sig binary, set binary", limit=SLICE_BYTES)
+    return map_texts(rows, make, f"rep {kind}, set_a long, n_shingles long, sig binary, set binary", limit=SLICE_BYTES)
 
 
 def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", percent: int = PERCENT) -> DataFrame:
@@ -310,8 +330,8 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
         usable.groupBy("set_a", "set_b", "n_shingles").agg(F.min("_id").alias("rep"), F.min("sig").alias("sig")), "classes"
     )
     families = _families(classes)
-    members = classes.join(families, "rep").select("rep", "family", "set_a", "n_shingles")
-    links = _verified(_sets_of(docs, staged(members, "members"), id_column, text_column), percent)
+    members = staged(classes.join(families, "rep").select("rep", "family", "set_a", "n_shingles"), "members")
+    links = _verified(members, _sets_of(docs, members, id_column, text_column), percent)
     labels = components(links)
     of_class = classes.join(labels, F.col("vertex") == F.col("rep"), "left").select(
         "set_a", "set_b", "n_shingles", F.coalesce("component", "rep").alias("component_id")
