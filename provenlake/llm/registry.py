@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from . import op1_sum_of_squares_packing as op1_packing
 from . import op2_language_crf as op2_language
 from . import op3_pii_crf as op3_pii
+from . import op4_hnsw_links as op4_hnsw
 from . import op6_multi_index_hamming as op6_multi_index_hamming_join
 from . import op7_kd_shards, op9_token_counts, op10_quality_rules
 
@@ -73,3 +74,8 @@ def op3_pii_crf(spark: SparkSession, sf: str) -> DataFrame:
 @query()
 def op2_language_crf(spark: SparkSession, sf: str) -> DataFrame:
     return op2_language.identified(table(spark, sf, "documents"))
+
+
+@query()
+def op4_hnsw_links(spark: SparkSession, sf: str) -> DataFrame:
+    return op4_hnsw.near_vectors(table(spark, sf, "embeddings"))
