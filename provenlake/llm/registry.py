@@ -12,6 +12,7 @@ from . import op1_sum_of_squares_packing as op1_packing
 from . import op2_language_crf as op2_language
 from . import op3_pii_crf as op3_pii
 from . import op4_hnsw_links as op4_hnsw
+from . import op5_warc_revisits as op5_revisits
 from . import op6_multi_index_hamming as op6_multi_index_hamming_join
 from . import op7_kd_shards, op9_token_counts, op10_quality_rules
 
@@ -79,3 +80,69 @@ def op2_language_crf(spark: SparkSession, sf: str) -> DataFrame:
 @query()
 def op4_hnsw_links(spark: SparkSession, sf: str) -> DataFrame:
     return op4_hnsw.near_vectors(table(spark, sf, "embeddings"))
+
+
+def page_captures(pages: DataFrame) -> DataFrame:
+    """Archive records of the pages: each page is a response at its id, and is visited again later.
+
+    Of the second visits most send the page's entity tag, some only its date, some
+    another tag or none; every ninth comes before the page itself.
+    """
+    tag, date = F.concat(F.lit('"'), F.md5("html"), F.lit('"')), F.concat(F.lit("day "), (F.col("page_id") % 28).cast("string"))
+    n = F.col("page_id")
+    response = pages.select(
+        (n * 2).alias("record_id"), F.lit("response").alias("warc_type"), "url", (n * 10).alias("ts"), F.when(n % 13 == 5, 206).otherwise(200).alias("status"),
+        F.create_map(
+            F.lit("ETag"), tag, F.lit("Last-Modified"), date, F.lit("Content-Length"), F.octet_length("html").cast("string"),
+            F.lit("Date"), (n * 10).cast("string"), F.lit("Content-Type"), F.lit("text/html"),
+        ).alias("headers"),
+    )
+    sent = F.when(n % 7 == 3, F.lit('"other"')).when(n % 7 != 4, F.concat(F.lit("W/"), tag))
+    later = F.when(n % 9 == 2, n * 10 - 5).otherwise(n * 10 + 1_000_000)
+    revisit = pages.select(
+        (n * 2 + 1).alias("record_id"), F.lit("revisit").alias("warc_type"), "url", later.alias("ts"), F.lit(304).alias("status"),
+        F.map_filter(
+            F.create_map(F.lit("etag"), sent, F.lit("last-modified"), F.when(n % 21 != 4, date), F.lit("date"), later.cast("string"), F.lit("content-length"), F.lit("0")),
+            lambda k, v: v.isNotNull(),
+        ).alias("headers"),
+    )
+    return response.unionByName(revisit)
+
+
+@query(r"""
+WITH urls AS (
+  SELECT page_id n, md5(html) tag, octet_length(encode(html)) len,
+         regexp_replace(regexp_replace(trim(url), '#.*$', ''), '^[A-Za-z][A-Za-z0-9+.-]*://', '') rest FROM pages),
+p AS (
+  SELECT n, tag, len, concat(
+    regexp_replace(regexp_replace(lower(regexp_extract(rest, '^([^/?]*)', 1)), '^www[.]', ''), ':(80|443)$', ''),
+    regexp_replace(regexp_extract(rest, '^[^/?]*([^?]*)', 1), '/+$', ''),
+    CASE WHEN len(q) > 0 THEN '?' || array_to_string(q, '&') ELSE '' END) url
+  FROM (SELECT *, list_sort(list_filter(string_split(regexp_extract(rest, '^[^?]*[?](.*)$', 1), '&'),
+          lambda x: x <> '' AND NOT regexp_matches(x, '^(utm_[a-z]+|ref|gclid|fbclid|sessionid)(=|$)'))) q FROM urls)),
+resp AS (SELECT n, url, n * 10 ts, '"' || tag || '"' tag, 'day ' || (n % 28) AS day, len FROM p WHERE n % 13 <> 5),
+rev AS (
+  SELECT n, url, CASE WHEN n % 9 = 2 THEN n * 10 - 5 ELSE n * 10 + 1000000 END ts,
+         CASE WHEN n % 7 = 3 THEN '"other"' WHEN n % 7 <> 4 THEN '"' || tag || '"' END tag,
+         CASE WHEN n % 21 <> 4 THEN 'day ' || (n % 28) END AS day FROM p),
+met AS (
+  SELECT v.n, v.url, v.ts, v.tag, v.day, max(r.ts) found FROM rev v LEFT JOIN resp r ON r.url = v.url AND r.ts < v.ts GROUP BY ALL),
+judged AS (
+  SELECT m.*, r.n rn, r.len, r.day rday, r.tag rtag, CASE
+    WHEN r.n IS NULL THEN 'no_response'
+    WHEN m.tag IS NOT NULL THEN CASE WHEN m.tag = r.tag THEN 'resolved' ELSE 'changed' END
+    WHEN m.day IS NOT NULL THEN CASE WHEN m.day = r.day THEN 'resolved' ELSE 'changed' END
+    ELSE 'no_validator' END state
+  FROM met m LEFT JOIN resp r ON r.url = m.url AND r.ts = m.found)
+SELECT n * 2 + 1 AS record_id, url, ts, state, CASE WHEN state = 'resolved' THEN rn * 2 END AS refers_to,
+  CASE WHEN state = 'resolved'
+    THEN concat('content-length=', len, '\ncontent-type=text/html\ndate=', ts, '\netag=', CASE WHEN tag IS NULL THEN rtag ELSE 'W/' || tag END,
+                '\nlast-modified=', rday)
+    ELSE concat('content-length=0\ndate=', ts, CASE WHEN tag IS NOT NULL THEN concat('\netag=', CASE WHEN tag = '"other"' THEN tag ELSE 'W/' || tag END) ELSE '' END,
+                CASE WHEN day IS NOT NULL THEN concat('\nlast-modified=', day) ELSE '' END) END AS headers
+FROM judged
+""".replace("\\n", "' || chr(10) || '"))
+def op5_warc_revisits(spark: SparkSession, sf: str) -> DataFrame:
+    found = op5_revisits.resolve_revisits(page_captures(table(spark, sf, "pages")))
+    lines = F.transform(F.array_sort(F.map_entries("headers")), lambda e: F.concat(e["key"], F.lit("="), e["value"]))
+    return found.withColumn("headers", F.array_join(lines, "\n"))
