@@ -14,7 +14,7 @@ from . import op3_pii_crf as op3_pii
 from . import op4_hnsw_links as op4_hnsw
 from . import op5_warc_revisits as op5_revisits
 from . import op6_multi_index_hamming as op6_multi_index_hamming_join
-from . import op7_kd_shards, op9_token_counts, op10_quality_rules
+from . import op7_kd_shards, op8_sentencepiece, op9_token_counts, op10_quality_rules
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -146,3 +146,8 @@ def op5_warc_revisits(spark: SparkSession, sf: str) -> DataFrame:
     found = op5_revisits.resolve_revisits(page_captures(table(spark, sf, "pages")))
     lines = F.transform(F.array_sort(F.map_entries("headers")), lambda e: F.concat(e["key"], F.lit("="), e["value"]))
     return found.withColumn("headers", F.array_join(lines, "\n"))
+
+
+@query()
+def op8_sentencepiece_ids(spark: SparkSession, sf: str) -> DataFrame:
+    return op8_sentencepiece.measured(table(spark, sf, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
