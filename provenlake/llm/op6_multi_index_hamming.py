@@ -31,7 +31,7 @@ from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
@@ -94,9 +94,11 @@ def digests(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
     return out
 
 
-def fingerprints(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
-    """(_id, n_shingles, set_a, set_b, sig): set size, 128-bit digest of the set, signature (null when empty)."""
-    rows = docs.select(F.col(id_column).alias("_id"), F.col(text_column).cast("string").alias("text"))
+def fingerprints(docs: DataFrame, id_column: str, text_column: str, row_mark: Column | None = None) -> DataFrame:
+    """(_id, row_mark, n_shingles, set_a, set_b, sig): set size, 128-bit digest of the set, signature (null when empty)."""
+    rows = docs.select(F.col(id_column).alias("_id"), F.col(text_column).cast("string").alias("text")).withColumn(
+        "row_mark", F.lit(0).cast("long") if row_mark is None else row_mark
+    )
     kind = rows.schema["_id"].dataType.simpleString()
 
     def make() -> Callable[[pa.RecordBatch], pa.RecordBatch]:
@@ -111,13 +113,13 @@ def fingerprints(docs: DataFrame, id_column: str, text_column: str) -> DataFrame
                 for i, row in zip(np.flatnonzero(has), signatures(values, starts), strict=True):
                     sig[i] = row.tobytes()
             return pa.RecordBatch.from_arrays(
-                [batch.column("_id"), pa.array(counts, pa.int64()), pa.array(ids[:, 0]), pa.array(ids[:, 1]), pa.array(sig, pa.binary())],
-                ["_id", "n_shingles", "set_a", "set_b", "sig"],
+                [batch.column("_id"), batch.column("row_mark"), pa.array(counts, pa.int64()), pa.array(ids[:, 0]), pa.array(ids[:, 1]), pa.array(sig, pa.binary())],
+                ["_id", "row_mark", "n_shingles", "set_a", "set_b", "sig"],
             )
 
         return apply
 
-    return map_texts(rows, make, f"_id {kind}, n_shingles long, set_a long, set_b long, sig binary", limit=SLICE_BYTES)
+    return map_texts(rows, make, f"_id {kind}, row_mark long, n_shingles long, set_a long, set_b long, sig binary", limit=SLICE_BYTES)
 
 
 def chunk_keys(classes: DataFrame) -> DataFrame:
@@ -322,9 +324,38 @@ def _sets_of(docs: DataFrame, members: DataFrame, id_column: str, text_column: s
     return map_texts(rows, make, f"rep {kind}, set_a long, n_shingles long, sig binary, set binary", limit=SLICE_BYTES)
 
 
-def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", percent: int = PERCENT) -> DataFrame:
-    """(id, n_shingles, component_id, kept) of every row of ``docs``."""
-    marks = staged(fingerprints(docs, id_column, text_column), "fingerprints")
+def deduplicated(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", percent: int = PERCENT) -> DataFrame:
+    """``docs`` with one document of each group: the one of the smallest id; all columns stay.
+
+    Rows that repeat an id with its text are one document.  Rows without an id all stay.
+    """
+    names = docs.columns
+    text_hash = F.xxhash64(F.col(text_column).cast("string"))
+    marks = near_duplicates(docs.select(id_column, text_column), id_column, text_column, percent, F.xxhash64("text"))
+    kept = staged(
+        marks.where(F.col("kept") & F.col(id_column).isNotNull()).groupBy(F.col(id_column).alias("_id"), F.col("row_mark").alias("_mark"))
+        .agg(F.count(F.lit(1)).alias("_copies")), "kept",
+    )
+    marked = docs.withColumn("_mark", text_hash)
+    on = (F.col(id_column) == F.col("_kept._id")) & F.col("_docs._mark").eqNullSafe(F.col("_kept._mark"))
+    once = marked.alias("_docs").join(kept.where("_copies = 1").alias("_kept"), on, "left_semi")
+    parts = [once.select(*names), docs.where(F.col(id_column).isNull())]
+    repeated = kept.where("_copies > 1")
+    if not repeated.isEmpty():
+        again = marked.alias("_docs").join(repeated.alias("_kept"), on, "left_semi")
+        parts.append(again.dropDuplicates([id_column, "_mark"]).select(*names))
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
+def near_duplicates(
+    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", percent: int = PERCENT,
+    row_mark: Column | None = None,
+) -> DataFrame:
+    """(id, n_shingles, component_id, kept) of every row of ``docs``, and ``row_mark`` (of ``text``) when one is given."""
+    marks = staged(fingerprints(docs, id_column, text_column, row_mark), "fingerprints")
     usable = marks.where("n_shingles > 0 AND _id IS NOT NULL")
     classes = staged(
         usable.groupBy("set_a", "set_b", "n_shingles").agg(F.min("_id").alias("rep"), F.min("sig").alias("sig")), "classes"
@@ -339,5 +370,6 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
     joined = marks.join(of_class, ["set_a", "set_b", "n_shingles"], "left")
     component = F.when(F.col("_id").isNull(), F.lit(None)).otherwise(F.coalesce("component_id", "_id"))
     return joined.select(
-        F.col("_id").alias(id_column), "n_shingles", component.alias("component_id"), component.eqNullSafe(F.col("_id")).alias("kept")
+        F.col("_id").alias(id_column), "n_shingles", component.alias("component_id"), component.eqNullSafe(F.col("_id")).alias("kept"),
+        *(["row_mark"] if row_mark is not None else []),
     )
