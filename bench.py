@@ -19,7 +19,7 @@ from provenlake.session import local_session  # noqa: E402
 
 HEADLINE = [
     "coverage_by_key", "coverage_report", "referential_integrity", "exact_dedup", "provenance_rows", "fd_conflicts",
-    "duplicate_keys_first_seen", "canonical_json_ids", "canonical_order", "ordered_digest", "path_pairing",
+    "duplicate_keys_first_seen", "canonical_json_ids", "canonical_order", "multiset_digest", "path_pairing",
     "claims_from_json", "claim_reconciliation", "array_reference", "exactly_one_pairing", "catalog_reconcile",
     "molecule_canonical", "string_sets", "text_serialization", "compile_outputs", "decode_solutions",
     "normalize_solutions", "decode_puzzles", "priority_selection", "attempt_rollup", "run_report", "rebuild_diff",

@@ -217,24 +217,18 @@ def multiset_difference(left: DataFrame, right: DataFrame) -> DataFrame:
     )
 
 
-# Longest list packed into one row.  Links beyond it stay in their long table.
-PACK_LIMIT = 100_000
-
-
 def packed(links: DataFrame, keys: Sequence[str], value: str, name: str) -> DataFrame:
-    """(keys, name): the sorted distinct values of each key as one array.
+    """(keys, name): all distinct values of each key as one sorted array.
 
-    Links are reduced to distinct pairs and counted before anything is
-    collected.  A key with more than ``PACK_LIMIT`` values keeps its row with a
-    null array, which the release rules report; its links remain complete in
-    ``links``.
+    For rows whose published form is a list.  Links are reduced to distinct pairs
+    before anything is collected; what only needs a flag or a count takes it from
+    the links (``link_counts``), not from the list.
     """
-    pairs = links.select(*keys, F.col(value).alias("_value")).distinct()
-    counts = pairs.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    small = counts.where(F.col("_n") <= PACK_LIMIT)
-    lists = (
-        pairs.join(small, list(keys), "left_semi").groupBy(*keys)
-        .agg(F.sort_array(F.collect_list("_value")).alias(name))
-    )
-    too_long = counts.where(F.col("_n") > PACK_LIMIT)
-    return lists.unionByName(too_long.select(*keys, F.lit(None).cast(lists.schema[name].dataType).alias(name)))
+    pairs = links.select(*keys, F.col(value).alias("_value")).where("_value IS NOT NULL").distinct()
+    return pairs.groupBy(*keys).agg(F.sort_array(F.collect_list("_value")).alias(name))
+
+
+def link_counts(links: DataFrame, keys: Sequence[str], value: str, name: str) -> DataFrame:
+    """(keys, name): the number of distinct values of each key."""
+    pairs = links.select(*keys, F.col(value).alias("_value")).where("_value IS NOT NULL").distinct()
+    return pairs.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.canonical import collection_split  # noqa: F401  (re-exported projection)
-from .checks import packed, set_difference, union_all, violations_where
+from .checks import link_counts, packed, set_difference, union_all, violations_where
 
 
 def coverage_state(candidates: Column, verified: Column) -> Column:
@@ -82,9 +82,12 @@ def puzzle_coverage(
 ) -> DataFrame:
     """Three independent axes per inventory puzzle: semantic, exact bytes, ready.
 
-    The packed sets are the artifact ids and source ids of one puzzle.
+    The lists are the artifact ids and source ids of one puzzle; the flags come from
+    the counted links, not from the lists.
     """
-    ids = packed(artifacts, ["puzzle_id"], "artifact_id", "artifact_ids")
+    ids = packed(artifacts, ["puzzle_id"], "artifact_id", "artifact_ids").join(
+        link_counts(artifacts, ["puzzle_id"], "artifact_id", "_artifacts"), "puzzle_id"
+    )
     exact = packed(provenance.where("source_role = 'artifact'"), ["puzzle_id"], "source_id", "exact_source_ids")
     rows = inventory.select("puzzle_id").join(ids, "puzzle_id", "left").join(exact, "puzzle_id", "left")
     if definitions is None:
@@ -100,13 +103,14 @@ def puzzle_coverage(
         "puzzle_id",
         "puzzle_definition_id",
         *[F.coalesce(c, empty).alias(c) for c in ("artifact_ids", "semantic_source_ids", "exact_source_ids")],
+        F.coalesce("_artifacts", F.lit(0)).alias("_artifacts"),
     )
     return rows.select(
         "*",
         F.col("puzzle_definition_id").isNotNull().alias("semantic_covered"),
-        (F.size("artifact_ids") > 0).alias("artifact_covered"),
-        (F.size("artifact_ids") == 1).alias("verifier_ready"),
-    )
+        (F.col("_artifacts") > 0).alias("artifact_covered"),
+        (F.col("_artifacts") == 1).alias("verifier_ready"),
+    ).drop("_artifacts")
 
 
 def not_ready(coverage: DataFrame) -> DataFrame:

@@ -1,108 +1,40 @@
-"""Digests that identify a table by its canonical rows."""
+"""Digests that identify a table by the multiset of its canonical rows."""
 
 from __future__ import annotations
 
-import hashlib
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.canonical import canonical_json
 
-# The serial digest is one SHA-256 over all rows in order and cannot be merged,
-# so it is offered only for tables below this many canonical bytes.
-SERIAL_DIGEST_LIMIT = 256 * 1024 * 1024
-FAN_IN = 3  # hex digits folded per level: at most 4096 children per node
+# A SHA-256 is cut into words of 32 bits; their sums over all rows are kept exactly.
+WORDS, HEX_DIGITS = 8, 8
+SUM_TYPE = "decimal(30,0)"
 
 
-def tree_digest(
-    df: DataFrame, columns: Sequence[str] | None = None, leaf_digits: int = 3, row_json: Column | None = None
-) -> DataFrame:
-    """One row (row_count, distinct_rows, digest) identifying the multiset of rows.
+def multiset_digest(df: DataFrame, columns: Sequence[str] | None = None, row_json: Column | None = None, frame: str = "") -> DataFrame:
+    """One row (row_count, digest) identifying the multiset of canonical rows.
 
-    Each row is hashed on its own; equal rows collapse to (hash, copies) before
-    the shuffle.  Leaves are hash prefixes of ``leaf_digits`` hex digits, and each
-    level folds at most 4096 children, so no task ever holds more than one leaf
-    and the result does not depend on order, partitioning or retries.  Raise
-    ``leaf_digits`` with the table: 3 suits millions of rows, 6 suits 10^11.
+    Every row is hashed on its own; the words of the hashes are summed, and the
+    digest is the SHA-256 of ``frame``, the number of rows and the sums.  Sums combine in any
+    order and in every task, so one row per task is shuffled at any size, no key is
+    hot, and the result depends neither on order nor on partitioning or retries.
     """
-    hashed = df.select(F.sha2(row_json if row_json is not None else canonical_json(df, columns), 256).alias("h"))
-    rows = hashed.groupBy("h").agg(F.count(F.lit(1)).alias("n"))
-    level = rows.groupBy(F.substring("h", 1, leaf_digits).alias("p")).agg(
-        F.sha2(
-            F.array_join(F.array_sort(F.collect_list(F.concat_ws(":", "h", F.col("n").cast("string")))), "\n"), 256
-        ).alias("d"),
-        F.sum("n").alias("n"),
-        F.count(F.lit(1)).alias("u"),
+    text = row_json if row_json is not None else canonical_json(df, columns)
+    hashed = df.select(F.sha2(text, 256).alias("h"))
+    words = [F.conv(F.substring("h", 1 + i * HEX_DIGITS, HEX_DIGITS), 16, 10).cast("bigint") for i in range(WORDS)]
+    # Halves of 16 bits: a sum of integers stays exact up to 2^47 rows.
+    halves = [h for i in range(WORDS) for h in (
+        F.sum(F.shiftright(F.col(f"w{i}"), 16)).alias(f"high{i}"), F.sum(F.col(f"w{i}").bitwiseAND(F.lit(0xFFFF))).alias(f"low{i}"),
+    )]
+    sums = hashed.select(*[w.alias(f"w{i}") for i, w in enumerate(words)]).agg(F.count(F.lit(1)).alias("row_count"), *halves)
+    none = F.lit(0).cast(SUM_TYPE)
+    parts = [
+        (F.coalesce(F.col(f"high{i}").cast(SUM_TYPE), none) * 65536 + F.coalesce(F.col(f"low{i}").cast(SUM_TYPE), none)).cast(SUM_TYPE).cast("string")
+        for i in range(WORDS)
+    ]
+    return sums.select(
+        "row_count", F.sha2(F.concat_ws(":", F.lit(frame), F.col("row_count").cast("string"), *parts), 256).alias("digest")
     )
-    digits = leaf_digits
-    while digits > FAN_IN:
-        digits -= FAN_IN
-        level = level.groupBy(F.substring("p", 1, digits).alias("p")).agg(
-            _fold().alias("d"), F.sum("n").alias("n"), F.sum("u").alias("u")
-        )
-    return level.agg(
-        F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("row_count"),
-        F.coalesce(F.sum("u"), F.lit(0)).cast("bigint").alias("distinct_rows"),
-        _fold().alias("digest"),
-    )
-
-
-def _fold() -> Column:
-    children = F.array_sort(F.collect_list(F.concat_ws(":", "p", "d")))
-    return F.sha2(F.array_join(children, "\n"), 256)
-
-
-class TooLargeForSerial(ValueError):
-    """The table exceeds the serial digest's size bound."""
-
-
-def serial_sha256(lines: DataFrame, order: Sequence[Column], head: str = "", between: str = "", tail: str = "") -> str:
-    """SHA-256 of ``head`` + the ordered ``line`` values joined by ``between`` + ``tail``.
-
-    The byte size of all lines is measured first; beyond ``SERIAL_DIGEST_LIMIT``
-    the call is refused.  Below it one task folds the sorted stream in constant
-    memory.
-    """
-    keyed = lines.select("line", *[c.alias(f"_o{i}") for i, c in enumerate(order)])
-    size = keyed.agg(F.sum(F.octet_length("line"))).first()[0] or 0
-    if size > SERIAL_DIGEST_LIMIT:
-        raise TooLargeForSerial(f"{size} canonical bytes exceed the serial digest limit; use tree_digest")
-
-    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        digest, first = hashlib.sha256(head.encode("utf-8")), True
-        for batch in batches:
-            for line in batch.column(0):
-                digest.update(("" if first else between).encode("utf-8") + line.as_py().encode("utf-8"))
-                first = False
-        digest.update(tail.encode("utf-8"))
-        yield pa.RecordBatch.from_pydict({"digest": [digest.hexdigest()]})
-
-    ordered = keyed.repartition(1).sortWithinPartitions(*[f"_o{i}" for i in range(len(order))])
-    found = ordered.select("line").mapInArrow(fold, "digest string").collect()
-    return found[0][0] if found else hashlib.sha256((head + tail).encode("utf-8")).hexdigest()
-
-
-def serial_digest(df: DataFrame, order: Sequence[Column], row_json: Column | None = None) -> str:
-    """SHA-256 over canonical rows in order, each followed by a newline.
-
-    The value published manifests carry for tables of bounded size; use
-    ``tree_digest`` beyond it.
-    """
-    text = row_json if row_json is not None else canonical_json(df)
-    return serial_sha256(df.withColumn("line", F.concat(text, F.lit("\n"))), order)
-
-
-def published_digest(lines: DataFrame, order: Sequence[Column], head: str = "", between: str = "", tail: str = "") -> str:
-    """The serial digest of ``line`` values, or beyond its size bound their tree digest.
-
-    A tree digest is marked by its prefix, so the two are never mistaken for each
-    other.
-    """
-    try:
-        return serial_sha256(lines, order, head, between, tail)
-    except TooLargeForSerial:
-        framed = F.concat(F.lit(head + tail + between), F.col("line"))
-        return "tree-6:" + tree_digest(lines, leaf_digits=6, row_json=framed).first()["digest"]

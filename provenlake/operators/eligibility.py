@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import fixed_values as fixed
 from ..functions.canonical import artifact_id, canonical_json, lookup
 from .checks import missing_references, packed, union_all, unique_key_violations, violations_where
-from .digest import published_digest
+from .digest import multiset_digest
 
 
 def source_priority(source_id: Column) -> Column:
@@ -125,10 +125,9 @@ def eligibility_violations(
 def executable_inventory(
     eligibility: DataFrame, inventory_order: DataFrame, collection_id: str, inventory_sha256: str
 ) -> tuple[str, str]:
-    """(sha256, id) of the eligible inventory in inventory order.
+    """(digest, id) of the eligible inventory; every entry is hashed with its place.
 
-    inventory_order: puzzle_id, row_no.  A published single hash over one JSON
-    document while it is of bounded size, a tree digest beyond that.
+    inventory_order: puzzle_id, row_no.
     """
     listed = eligibility.where("eligible").select(
         "puzzle_id", "puzzle_definition_id", "puzzle_type", "selected_puzzle_artifact_id",
@@ -136,11 +135,12 @@ def executable_inventory(
         "selected_puzzle_artifact_rights_status", "selected_source_ids",
     )
     lines = listed.withColumn("line", canonical_json(listed)).join(inventory_order.select("puzzle_id", "row_no"), "puzzle_id")
-    head = (
-        f'{{"collection_id":"{collection_id}","collection_inventory_sha256":"{inventory_sha256}","entries":['
+    frame = (
+        f'{{"collection_id":"{collection_id}","collection_inventory_sha256":"{inventory_sha256}",'
+        f'"profile":"{fixed.ELIGIBILITY_PROFILE}","version":"{fixed.ELIGIBILITY_VERSION}"}}'
     )
-    tail = f'],"profile":"{fixed.ELIGIBILITY_PROFILE}","version":"{fixed.ELIGIBILITY_VERSION}"}}'
-    digest = published_digest(lines, [F.col("row_no")], head, ",", tail)
+    placed = F.concat(F.col("row_no").cast("string"), F.lit(":"), F.col("line"))
+    digest = multiset_digest(lines, row_json=placed, frame=frame).first()["digest"]
     return digest, fixed.BENCHMARK_INVENTORY_PREFIX + digest
 
 

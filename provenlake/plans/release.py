@@ -14,13 +14,16 @@ from ..functions.binary import decode_solutions
 from ..operators import checks, coverage, digest, release, verify
 from ..operators.checks import assert_clean, multiset_difference, union_all
 from ..operators.normalize import normalize_solutions
-from ..operators.ordering import release_order
 from ..session import checkpointed, settled
 from ..sources import sinks
 from ..sources.tables import SCHEMA_DDL, read_release_parquet, release_schema, row_json
 from .facts import coverage_gate, puzzle_facts, solution_facts
 
 
+# How table digests are made, named in the manifest.
+DIGEST_NAME = "sha256-word-sums"
+
+
 def schema_sha256(table: str) -> str:
     return hashlib.sha256(SCHEMA_DDL[table].encode()).hexdigest()
 
@@ -35,15 +38,10 @@ def logical_release_hash(manifest: dict) -> str:
     return hashlib.sha256(text.encode("utf-8")).hexdigest()
 
 
-def table_digest(df: DataFrame, table: str, leaf_digits: int = 3) -> dict:
-    """Row count and tree digest of a table's canonical rows."""
-    row = digest.tree_digest(df, leaf_digits=leaf_digits, row_json=row_json(df, table)).first()
-    return {"row_count": row["row_count"], "records_digest": row["digest"], "digest": f"sha256-tree-{leaf_digits}"}
-
-
-def records_sha256(df: DataFrame, table: str) -> str:
-    """Published serial digest of a table of bounded size, in canonical order."""
-    return digest.serial_digest(df, release_order(table), row_json(df, table))
+def table_digest(df: DataFrame, table: str) -> dict:
+    """Row count and multiset digest of a table's canonical rows."""
+    row = digest.multiset_digest(df, row_json=row_json(df, table)).first()
+    return {"row_count": row["row_count"], "records_digest": row["digest"], "digest": DIGEST_NAME}
 
 
 def shard_digests(spark: SparkSession, folder: str, paths: list[str]) -> dict[str, str]:
@@ -75,7 +73,6 @@ def release_violations(
 def build_release(
     spark: SparkSession, tables: dict[str, DataFrame], inventory: DataFrame, folder: str, collection_id: str,
     metadata: dict, payload_policy: str = "metadata-only", coverage_policy: str = "complete", shards: int | None = None,
-    leaf_digits: int = 3,
 ) -> dict:
     """Check, write and describe a release; returns its manifest.
 
@@ -92,13 +89,13 @@ def build_release(
             "schema_sha256": schema_sha256(table),
             "parquet_paths": paths,
             "parquet_sha256": shard_digests(spark, folder, paths),
-            **table_digest(stored, table, leaf_digits),
+            **table_digest(stored, table),
         }
     solutions, verified = tables["solutions"], F.col("verified")
     by_key = coverage.coverage_by_key(inventory, solutions, "puzzle_id", verified)
     by_key.write.mode("errorifexists").parquet(f"{folder}/coverage")
     totals = coverage.coverage_totals(tables["puzzles"], solutions, verified).first().asDict()
-    inventory_row = digest.tree_digest(inventory.select(*fixed.INVENTORY_HEADER)).first()
+    inventory_row = digest.multiset_digest(inventory.select(*fixed.INVENTORY_HEADER)).first()
     manifest = {
         "format_version": fixed.RELEASE_FORMAT_VERSION,
         "collection_id": collection_id,
@@ -122,7 +119,7 @@ def validate_release(spark: SparkSession, folder: str, inventory: DataFrame, col
         return [("release_manifest_format_unsupported", "release-manifest.json")]
     if manifest["collection_id"] != collection_id:
         found.append(("collection_mismatch", "release-manifest.json"))
-    if manifest["collection_inventory_digest"] != digest.tree_digest(inventory.select(*fixed.INVENTORY_HEADER)).first()["digest"]:
+    if manifest["collection_inventory_digest"] != digest.multiset_digest(inventory.select(*fixed.INVENTORY_HEADER)).first()["digest"]:
         found.append(("collection_hash_mismatch", "release-manifest.json"))
     if set(manifest["tables"]) != set(fixed.RELEASE_TABLES):
         return [*found, ("release_configs_invalid", "release-manifest.json")]
@@ -146,12 +143,12 @@ def validate_release(spark: SparkSession, folder: str, inventory: DataFrame, col
             found.append(("parquet_hash_mismatch", table))
             continue
         stored = read_release_parquet(spark, folder, table)
-        facts = table_digest(stored, table, int(entry["digest"].rsplit("-", 1)[1]))
+        facts = table_digest(stored, table)
         found += [(code, table) for code, key in (("records_hash_mismatch", "records_digest"), ("row_count_mismatch", "row_count")) if facts[key] != entry[key]]
         tables[table] = stored
     if set(tables) == set(fixed.RELEASE_TABLES):
         bad = release_violations(tables, inventory, collection_id, manifest["payload_policy"], manifest["coverage_policy"])
-        found += [(r["code"], r["path"]) for r in bad.select("code", "path").distinct().orderBy("code", "path").take(1000)]
+        found += [(r["code"], r["path"]) for r in bad.select("code", "path").distinct().orderBy("code", "path").toLocalIterator()]
         totals = coverage.coverage_totals(tables["puzzles"], tables["solutions"], F.col("verified")).first().asDict()
         if totals != manifest["release_metadata"].get("coverage"):
             found.append(("release_coverage_mismatch", "release-manifest.json"))
@@ -166,9 +163,8 @@ def derived_metadata(tables: dict[str, DataFrame], verifications: DataFrame) ->
     assert_clean(release.identity_violations(verifications, tables["normalized"]))
     first = verifications.select("verifier_revision", "verifier_sha256", "validation_profile").take(1)
     version = tables["normalized"].select("normalizer_version").take(1)
-    classes = release.source_classes(tables["observations"]).take(10_001)
-    if len(classes) > 10_000:
-        raise ValueError("more source classes than a manifest can list")
+    # One entry per pair of source and role, as the manifest lists them.
+    classes = release.source_classes(tables["observations"]).toLocalIterator()
     return {
         **(first[0].asDict() if first else dict.fromkeys(["verifier_revision", "verifier_sha256", "validation_profile"])),
         "normalizer_version": version[0][0] if version else None,

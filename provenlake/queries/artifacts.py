@@ -9,7 +9,6 @@ from ..operators import checks, digest, ingest, release
 from ..operators.eligibility import select_by_priority
 from ..operators.ordering import global_row_number, text_key
 from ..sources.sinks import plan_receipt_append
-from ..session import spread_scan
 from .common import FOLDED_SQL, RIGHTS_SQL, document_candidates, document_rights, query, table
 
 
@@ -147,33 +146,42 @@ def canonical_order(spark, sf):
     return placed.select("doc_id", F.col("place").cast("bigint").alias("place"))
 
 
-def _tree_sql(name: str, row: str) -> str:
-    return f"""SELECT '{name}' AS table_name, CAST(sum(n) AS BIGINT) AS row_count, CAST(sum(u) AS BIGINT) AS distinct_rows,
-  sha256(string_agg(p || ':' || d, chr(10) ORDER BY p)) AS digest FROM (
-  SELECT substr(h, 1, 3) AS p, sha256(string_agg(h || ':' || n, chr(10) ORDER BY h || ':' || n)) AS d, sum(n) AS n, count(*) AS u
-  FROM (SELECT sha256({row}) AS h, count(*) AS n FROM {name} GROUP BY 1) GROUP BY 1)"""
+def _digest_sql(name: str, row: str) -> str:
+    words = [f"sum(CAST('0x' || substr(h, {1 + 8 * i}, 8) AS BIGINT))" for i in range(8)]
+    sums = " || ':' || ".join(f"CAST(coalesce({w}, 0) AS VARCHAR)" for w in words)
+    return f"""SELECT '{name}' AS table_name, count(*) AS row_count, sha256(':' || count(*) || ':' || {sums}) AS digest
+  FROM (SELECT sha256({row}) AS h FROM {name})"""
 
 
-_ORDERS_ROW = """'{"o_custkey":' || o_custkey || ',"o_orderkey":' || o_orderkey || ',"o_orderpriority":"' || o_orderpriority
-  || '","o_orderstatus":"' || o_orderstatus || '"}'"""
-_LINE_ROW = """'{"l_linenumber":' || l_linenumber || ',"l_linestatus":"' || l_linestatus || '","l_orderkey":' || l_orderkey
-  || ',"l_partkey":' || l_partkey || ',"l_returnflag":"' || l_returnflag || '","l_suppkey":' || l_suppkey || '}'"""
-_DOC_ROW = """'{"doc_id":' || doc_id || ',"lang":"' || lang || '","source":"' || source || '"}'"""
+_CENTS = "CAST(round({0} * 100) AS BIGINT)"
+_ORDERS_ROW = f"""'{{"o_custkey":' || o_custkey || ',"o_orderdate":' || epoch(o_orderdate)::BIGINT || ',"o_orderkey":' || o_orderkey
+  || ',"o_orderpriority":"' || o_orderpriority || '","o_orderstatus":"' || o_orderstatus || '","o_totalprice":' || {_CENTS.format("o_totalprice")} || '}}'"""
+_LINE_ROW = f"""'{{"l_discount":' || {_CENTS.format("l_discount")} || ',"l_extendedprice":' || {_CENTS.format("l_extendedprice")}
+  || ',"l_linenumber":' || l_linenumber || ',"l_linestatus":"' || l_linestatus || '","l_orderkey":' || l_orderkey || ',"l_partkey":' || l_partkey
+  || ',"l_quantity":' || {_CENTS.format("l_quantity")} || ',"l_returnflag":"' || l_returnflag || '","l_shipdate":' || epoch(l_shipdate)::BIGINT
+  || ',"l_suppkey":' || l_suppkey || ',"l_tax":' || {_CENTS.format("l_tax")} || '}}'"""
+_DOC_ROW = """'{"doc_id":' || doc_id || ',"lang":"' || lang || '","n_chars":' || n_chars || ',"source":"' || source || '","text":'
+  || to_json(text)::VARCHAR || '}'"""
 
 
 @query("\nUNION ALL ".join(
-    [_tree_sql("orders", _ORDERS_ROW), _tree_sql("lineitem", _LINE_ROW), _tree_sql("documents", _DOC_ROW)]))
-def ordered_digest(spark, sf):
-    wanted = {
-        "orders": ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"],
-        "lineitem": ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag", "l_linestatus"],
-        "documents": ["doc_id", "lang", "source"],
-    }
+    [_digest_sql("orders", _ORDERS_ROW), _digest_sql("lineitem", _LINE_ROW), _digest_sql("documents", _DOC_ROW)]))
+def multiset_digest(spark, sf):
+    """Identity of three whole tables; amounts in cents, times in seconds."""
+
+    def exact(name):
+        rows = table(spark, sf, name)
+        kinds = dict(rows.dtypes)
+        return rows.select(
+            *[
+                F.round(F.col(c) * 100).cast("bigint").alias(c) if kinds[c] == "double"
+                else F.col(c).cast("timestamp").cast("bigint").alias(c) if kinds[c].startswith("timestamp") else F.col(c)
+                for c in rows.columns
+            ]
+        )
+
     return checks.union_all(
-        [
-            digest.tree_digest(spread_scan(table(spark, sf, t)), cols).select(F.lit(t).alias("table_name"), "*")
-            for t, cols in wanted.items()
-        ]
+        [digest.multiset_digest(exact(t)).select(F.lit(t).alias("table_name"), "*") for t in ("orders", "lineitem", "documents")]
     )
 
 

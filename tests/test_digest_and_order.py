@@ -17,39 +17,20 @@ def sha(text):
     return hashlib.sha256(text.encode()).hexdigest()
 
 
-def test_serial_digest_and_limit(spark, monkeypatch):
-    rows = [(i, f"t{i % 3}\x1f") for i in range(50)]
-    df = spark.createDataFrame(rows, "id int, t string")
-    text = "".join(py_json({"id": i, "t": t}) + "\n" for i, t in rows)
-    assert digest.serial_digest(df.repartition(5), [F.col("id")]) == sha(text)
-    assert digest.serial_digest(df.where("id < 0"), [F.col("id")]) == sha("")
-    lines = df.select("id", F.col("t").alias("line"))
-    assert digest.published_digest(lines, [F.col("id")], "[", ",", "]") == sha("[" + ",".join(t for _, t in rows) + "]")
-    monkeypatch.setattr(digest, "SERIAL_DIGEST_LIMIT", 10)
-    assert digest.published_digest(lines, [F.col("id")]).startswith("tree-6:")
-
-
-def tree(rows, digits):
-    level = {}
-    for h, n in Counter(sha(py_json(r)) for r in rows).items():
-        level.setdefault(h[:digits], []).append(f"{h}:{n}")
-    level = {p: sha("\n".join(sorted(v))) for p, v in level.items()}
-    while digits > 3:
-        digits -= 3
-        up = {}
-        for p, d in level.items():
-            up.setdefault(p[:digits], []).append(f"{p}:{d}")
-        level = {p: sha("\n".join(sorted(v))) for p, v in up.items()}
-    return sha("\n".join(sorted(f"{p}:{d}" for p, d in level.items())))
-
-
-def test_tree_digest_is_a_multiset_identity(spark):
+def word_sums(rows, frame=""):
+    hashes = [sha(py_json(r)) for r in rows]
+    sums = [sum(int(h[8 * i : 8 * i + 8], 16) for h in hashes) for i in range(8)]
+    return sha(":".join([frame, str(len(rows)), *map(str, sums)]))
+
+
+def test_digest_is_a_multiset_identity(spark):
     rows = [{"a": i % 40, "b": f"x{i % 7}"} for i in range(300)] + [{"a": 1, "b": "hot"}] * 200
     df = spark.createDataFrame(rows, "a int, b string")
-    for digits in (3, 5, 6):
-        got = digest.tree_digest(df.repartition(7), leaf_digits=digits).first()
-        assert (got.row_count, got.digest) == (500, tree(rows, digits))
-    assert digest.tree_digest(df.limit(499)).first().digest != tree(rows, 3)
+    for placed in (df.repartition(7), df.orderBy("b"), df.repartition(3, "b")):
+        assert tuple(digest.multiset_digest(placed).first()) == (500, word_sums(rows))
+    assert digest.multiset_digest(df, frame="f").first().digest == word_sums(rows, "f")
+    assert digest.multiset_digest(df.limit(499)).first().digest != word_sums(rows)
+    assert tuple(digest.multiset_digest(df.limit(0)).first()) == (0, word_sums([]))
 
 
 def test_global_positions_with_a_hot_key(spark):
@@ -108,10 +89,20 @@ def test_running_folds_split_a_hot_group(spark):
     assert all(sums[(g, x)] == (sum(y2 for g2, x2, y2 in rows if g2 == g and x2 < x) or (None if x == min(x2 for g2, x2, _ in rows if g2 == g) else 0)) for g, x, _ in rows)
 
 
-def test_packing_keeps_long_lists_out_of_rows(spark, monkeypatch):
-    links = spark.createDataFrame([("a", "2"), ("a", "1"), ("a", "1"), ("b", "1"), ("b", "2"), ("b", "3")], "k string, v string")
-    monkeypatch.setattr(checks, "PACK_LIMIT", 2)
-    assert {r.k: r.vs for r in checks.packed(links, ["k"], "v", "vs").collect()} == {"a": ["1", "2"], "b": None}
+def test_packing_and_counts_of_links(spark):
+    links = spark.createDataFrame([("a", "2"), ("a", "1"), ("a", "1"), ("b", None)] + [("c", str(i)) for i in range(3000)], "k string, v string")
+    got = {r.k: r.vs for r in checks.packed(links, ["k"], "v", "vs").collect()}
+    assert got == {"a": ["1", "2"], "c": sorted(str(i) for i in range(3000))}
+    assert {r.k: r.n for r in checks.link_counts(links, ["k"], "v", "n").collect()} == {"a": 2, "c": 3000}
+
+
+def test_coverage_of_a_crowded_puzzle(spark):
+    artifacts = spark.createDataFrame([("p", f"a{i:04d}") for i in range(2000)] + [("q", "a")], "puzzle_id string, artifact_id string")
+    seen = spark.createDataFrame([("p", f"s{i}", "artifact") for i in range(900)] + [("p", "m", "metadata")], "puzzle_id string, source_id string, source_role string")
+    inventory = spark.createDataFrame([("p",), ("q",), ("r",)], "puzzle_id string")
+    rows = {r.puzzle_id: r for r in coverage.puzzle_coverage(inventory, artifacts, seen).collect()}
+    assert len(rows["p"].artifact_ids) == 2000 and len(rows["p"].exact_source_ids) == 900
+    assert [(rows[k].artifact_covered, rows[k].verifier_ready) for k in "pqr"] == [(True, False), (True, True), (False, False)]
 
 
 def test_coverage_policies(spark):
