@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import hashlib
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -38,3 +40,26 @@ def multiset_digest(df: DataFrame, columns: Sequence[str] | None = None, row_jso
     return sums.select(
         "row_count", F.sha2(F.concat_ws(":", F.lit(frame), F.col("row_count").cast("string"), *parts), 256).alias("digest")
     )
+
+
+def published_sha256(lines: DataFrame, order: Sequence[Column], head: str = "", between: str = "", tail: str = "") -> str:
+    """SHA-256 of ``head`` + the ordered ``line`` values joined by ``between`` + ``tail``.
+
+    Only for the two published identities of an evaluation, which are defined as one
+    hash over one document with an entry per inventory puzzle.  Such a hash cannot be merged: one task streams the
+    sorted lines in constant memory.  Tables are identified by ``multiset_digest``.
+    """
+
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        digest, first = hashlib.sha256(head.encode("utf-8")), True
+        for batch in batches:
+            for line in batch.column(0):
+                digest.update(("" if first else between).encode("utf-8") + line.as_py().encode("utf-8"))
+                first = False
+        digest.update(tail.encode("utf-8"))
+        yield pa.RecordBatch.from_pydict({"digest": [digest.hexdigest()]})
+
+    keyed = lines.select("line", *[c.alias(f"_o{i}") for i, c in enumerate(order)])
+    ordered = keyed.repartition(1).sortWithinPartitions(*[f"_o{i}" for i in range(len(order))])
+    found = ordered.select("line").mapInArrow(fold, "digest string").collect()
+    return found[0][0] if found else hashlib.sha256((head + tail).encode("utf-8")).hexdigest()

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import fixed_values as fixed
 from ..functions.canonical import artifact_id, canonical_json, lookup
 from .checks import missing_references, packed, union_all, unique_key_violations, violations_where
-from .digest import multiset_digest
+from .digest import published_sha256
 
 
 def source_priority(source_id: Column) -> Column:
@@ -125,9 +125,9 @@ def eligibility_violations(
 def executable_inventory(
     eligibility: DataFrame, inventory_order: DataFrame, collection_id: str, inventory_sha256: str
 ) -> tuple[str, str]:
-    """(digest, id) of the eligible inventory; every entry is hashed with its place.
+    """(sha256, id) of the eligible inventory in inventory order.
 
-    inventory_order: puzzle_id, row_no.
+    inventory_order: puzzle_id, row_no.  The published identity at every size.
     """
     listed = eligibility.where("eligible").select(
         "puzzle_id", "puzzle_definition_id", "puzzle_type", "selected_puzzle_artifact_id",
@@ -135,12 +135,11 @@ def executable_inventory(
         "selected_puzzle_artifact_rights_status", "selected_source_ids",
     )
     lines = listed.withColumn("line", canonical_json(listed)).join(inventory_order.select("puzzle_id", "row_no"), "puzzle_id")
-    frame = (
-        f'{{"collection_id":"{collection_id}","collection_inventory_sha256":"{inventory_sha256}",'
-        f'"profile":"{fixed.ELIGIBILITY_PROFILE}","version":"{fixed.ELIGIBILITY_VERSION}"}}'
+    head = (
+        f'{{"collection_id":"{collection_id}","collection_inventory_sha256":"{inventory_sha256}","entries":['
     )
-    placed = F.concat(F.col("row_no").cast("string"), F.lit(":"), F.col("line"))
-    digest = multiset_digest(lines, row_json=placed, frame=frame).first()["digest"]
+    tail = f'],"profile":"{fixed.ELIGIBILITY_PROFILE}","version":"{fixed.ELIGIBILITY_VERSION}"}}'
+    digest = published_sha256(lines, [F.col("row_no")], head, ",", tail)
     return digest, fixed.BENCHMARK_INVENTORY_PREFIX + digest
 
 

@@ -111,7 +111,10 @@ def running_before(
     spans partitions carries the fold of its earlier pieces, so no group has to
     fit in one task.
     """
-    placed = _ranged(df, [group, order], partitions)
+    # A struct is never null, so rows without a group are a group like any other.
+    keyed = df.withColumn("_group", F.struct(F.col(group).alias("v")))
+    group = "_group"
+    placed = _ranged(keyed, [group, order], partitions)
     pieces = placed.groupBy("_part", group).agg(fold(value).alias("_piece"))
     # Only the first and last group of a partition can continue elsewhere.
     edges = placed.groupBy("_part").agg(F.min(group).alias("_first"), F.max(group).alias("_last"))

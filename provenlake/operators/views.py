@@ -109,7 +109,8 @@ def metric_quantiles(solutions: DataFrame, group: str, metric: str, quantiles: S
     wanted = F.explode(F.array(*[F.lit(float(q)) for q in quantiles])).alias("quantile")
     rank = F.greatest(F.ceil(F.col("quantile") * F.col("_total")), F.lit(1))
     return (
-        placed.join(totals, group).select(group, metric, "n", "_before", "_total", wanted)
+        placed.alias("p").join(totals.alias("t"), F.col(f"p.{group}").eqNullSafe(F.col(f"t.{group}")))
+        .select(F.col(f"p.{group}").alias(group), metric, "n", "_before", "_total", wanted)
         .where((F.col("_before") < rank) & (rank <= F.col("_before") + F.col("n")))
         .select(group, "quantile", F.col(metric).alias("value"))
     )

@@ -14,7 +14,7 @@ from ..functions.canonical import canonical_json
 from ..operators import evaluation as ev
 from ..operators import verify
 from ..operators.checks import assert_clean, multiset_difference, union_all
-from ..operators.digest import multiset_digest
+from ..operators.digest import published_sha256
 from ..operators.eligibility import derive_eligibility, eligibility_violations, executable_inventory, required_bytes_violations
 from ..session import checkpointed
 
@@ -115,6 +115,7 @@ def evaluate_outputs(
             ]
         )
     )
-    digest = multiset_digest(results).first()["digest"]
+    lines = results.select("puzzle_id", F.concat(canonical_json(results), F.lit("\n")).alias("line"))
+    digest = published_sha256(lines, [F.col("puzzle_id")])
     report = ev.report_json(ev.run_report(attempts), identity, runs, digest)
     return Evaluation(eligibility, attempts, results, report)

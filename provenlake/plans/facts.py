@@ -74,18 +74,27 @@ def candidates(
 
 
 def read_mappings(manifests: DataFrame) -> DataFrame:
-    """(revision, snapshot_id, puzzle_id, path) of manifest documents (revision, content)."""
+    """(revision, snapshot_id, puzzle_id, path, error) of manifest documents (revision, content).
+
+    A document that cannot be read gives one row with its error.
+    """
+
+    def entries(revision, content):
+        try:
+            document = tomllib.loads(bytes(content).decode("utf-8"))
+            return [(revision, str(document["snapshot_id"]), str(p["puzzle_id"]), str(p["path"]), None) for p in document["puzzles"]]
+        except (ValueError, KeyError, TypeError, RecursionError) as exc:
+            return [(revision, None, None, None, f"{type(exc).__name__}: {exc}"[:500].encode("utf-8", "replace").decode("utf-8"))]
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = []
             for revision, content in zip(batch["revision"], batch["content"], strict=True):
-                document = tomllib.loads(bytes(content).decode("utf-8"))
-                rows += [(revision, document["snapshot_id"], p["puzzle_id"], p["path"]) for p in document["puzzles"]]
-            yield pd.DataFrame(rows, columns=["revision", "snapshot_id", "puzzle_id", "path"])
+                rows += entries(revision, content)
+            yield pd.DataFrame(rows, columns=["revision", "snapshot_id", "puzzle_id", "path", "error"])
 
     return manifests.select("revision", "content").mapInPandas(
-        read, "revision string, snapshot_id string, puzzle_id string, path string"
+        read, "revision string, snapshot_id string, puzzle_id string, path string, error string"
     )
 
 
@@ -118,7 +127,8 @@ def official_candidates(receipts: DataFrame, objects: DataFrame, inventory: Data
     """Candidates of every cached mapped set with its manifest as evidence, and violations."""
     manifests = receipts.where(F.col("upstream_path") == MANIFEST_NAME)
     with_content = manifests.join(objects.select("sha256", "content"), "sha256")
-    mappings = checkpointed(read_mappings(with_content)).withColumn("upstream_path", pairing.posix(F.col("path")))
+    documents = checkpointed(read_mappings(with_content))
+    mappings = documents.where("error IS NULL").drop("error").withColumn("upstream_path", pairing.posix(F.col("path")))
     mapped = mappings.join(receipts, ["revision", "upstream_path"])
     evidence = manifests.select("revision", _receipt().alias("manifest"))
     rows = candidates(mapped.join(evidence, "revision"), "puzzle", F.col("manifest"), F.col("puzzle_id"))
@@ -133,6 +143,7 @@ def official_candidates(receipts: DataFrame, objects: DataFrame, inventory: Data
     return rows, union_all(
         [
             violations_where(no_manifest, F.lit(True), "manifest_missing", "no cached manifest", path, "revision"),
+            violations_where(documents.where("error IS NOT NULL"), F.lit(True), "manifest_unreadable", F.col("error"), path, "revision"),
             violations_where(lost, F.lit(True), "mapped_file_missing", F.col("upstream_path"), path, "revision"),
             violations_where(extra, F.lit(True), "file_unmapped", F.col("upstream_path"), path, "revision"),
             violations_where(drifted, F.lit(True), "source_revision_mismatch", F.col("expected_revision"), path, "revision"),

@@ -75,14 +75,3 @@ def checkpointed(df: DataFrame) -> DataFrame:
 def settled(*frames: DataFrame) -> list[DataFrame]:
     """A stage boundary: every table written once, plans restart from the files."""
     return [checkpointed(df) for df in frames]
-
-
-def spread_scan(df: DataFrame) -> DataFrame:
-    """A plain scan with enough partitions to keep every core busy.
-
-    For inputs of stages that cost much per row (Python, hashing, whole texts).  A scan that already has as many splits as
-    the cluster has cores is returned as it is, so large inputs are not shuffled;
-    a small one (a single row group) is spread over the cores before the work.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)

@@ -35,9 +35,6 @@ RECEIPT_SCHEMA = T.StructType(
     ]
 )
 
-# Files named one by one from the driver (manifests and what they pin).
-MAX_PINNED = 10_000
-
 
 # --- content objects -------------------------------------------------------------------
 
@@ -48,8 +45,9 @@ def read_objects(spark: SparkSession, root: str) -> DataFrame:
     ``content`` is read only by plans that use it or its digest.
     """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(f"{root}/objects")
+    # The key begins at the last such folder: the root's own path may hold one too.
     return files.select(
-        F.concat(F.lit("objects/"), F.regexp_extract("path", r"/objects/(.+)$", 1)).alias("object_key"),
+        F.concat(F.lit("objects/"), F.regexp_extract("path", r"^.*/objects/(.+)$", 1)).alias("object_key"),
         F.octet_length("content").cast("bigint").alias("byte_length"),
         F.sha2("content", 256).alias("sha256"),
         "content",
@@ -58,12 +56,14 @@ def read_objects(spark: SparkSession, root: str) -> DataFrame:
 
 def file_digest_violations(spark: SparkSession, expected: DataFrame) -> DataFrame:
     """Pinned-hash check of a list of files.  expected: path, sha256; a missing file is a violation too."""
-    paths = [r["path"] for r in expected.select("path").distinct().take(MAX_PINNED + 1)]
-    if len(paths) > MAX_PINNED:
-        raise ValueError("too many pinned files to name one by one; scan their folder with read_objects")
-    files = spark.read.format("binaryFile").load(paths).select(
-        F.regexp_replace("path", r"^file:", "").alias("path"), F.sha2("content", 256).alias("_found")
-    )
+    # Folders are listed once each and joined with the wanted paths; other files in them are pruned before they are read.
+    wanted = expected.select("path").distinct()
+    folders = [r[0] for r in wanted.select(F.regexp_replace("path", "/[^/]*$", "").alias("f")).distinct().toLocalIterator()]
+    if not folders:
+        return violations_where(expected.withColumn("_found", F.lit(None).cast("string")), F.lit(False), "inventory_hash_mismatch", F.lit(""), "files", "path")
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*").load(folders).select(
+        F.regexp_replace("path", r"^file:(//)?(?=/)", "").alias("path"), "content"
+    ).join(wanted, "path", "left_semi").select("path", F.sha2("content", 256).alias("_found"))
     joined = expected.join(files, "path", "left")
     return violations_where(
         joined, ~F.col("_found").eqNullSafe(F.col("sha256")), "inventory_hash_mismatch",
@@ -105,6 +105,16 @@ def read_receipts(spark: SparkSession, root: str, source_id: str = "*", revision
     )
 
 
+def receipt_value_rules() -> dict[str, Column]:
+    """What a receipt's own values must satisfy, wherever it comes from."""
+    return {
+        "source_id is unsafe": component_ok(F.col("source_id")),
+        "revision is unsafe": component_ok(F.col("revision")),
+        "sha256 is invalid": F.col("sha256").rlike(fixed.SHA256_PATTERN),
+        "byte_length is negative": F.col("byte_length") >= 0,
+    }
+
+
 def receipt_violations(receipts: DataFrame) -> DataFrame:
     """Closed schema, key hygiene and the name every receipt file must have."""
     names = sorted(f.name for f in RECEIPT_SCHEMA.fields)
@@ -114,10 +124,7 @@ def receipt_violations(receipts: DataFrame) -> DataFrame:
             "^OBJECT<byte_length: BIGINT, retrieved_at: STRING, revision: STRING, rights_status: STRING, "
             "sha256: STRING, source_id: STRING, upstream_path: STRING>$"
         ),
-        "source_id is unsafe": component_ok(F.col("source_id")),
-        "revision is unsafe": component_ok(F.col("revision")),
-        "sha256 is invalid": F.col("sha256").rlike(fixed.SHA256_PATTERN),
-        "byte_length is negative": F.col("byte_length") >= 0,
+        **receipt_value_rules(),
         "receipt identity does not match its file": (F.col("dir_source") == F.col("source_id"))
         & (F.col("dir_revision") == F.col("revision"))
         & (F.col("file_name") == receipt_file_name(F.col("source_id"), F.col("revision"), F.col("upstream_path"))),
@@ -243,10 +250,7 @@ def read_collections(spark: SparkSession, root: str) -> list[tuple[dict, DataFra
     """(manifest, inventory, violations) of every manifest in a directory, in name order."""
     listing = spark.read.format("binaryFile").load(f"{root}/*.toml").select("path").orderBy("path")
     found = []
-    manifests = listing.take(MAX_PINNED + 1)
-    if len(manifests) > MAX_PINNED:
-        raise ValueError("too many manifests in one folder")
-    for row in manifests:
+    for row in listing.toLocalIterator():
         manifest = read_manifest(spark, row["path"])
         folder = row["path"].rsplit("/", 1)[0]
         csv_path = f"{folder}/{manifest['inventory_file']}"
@@ -268,12 +272,17 @@ def read_collections(spark: SparkSession, root: str) -> list[tuple[dict, DataFra
 # --- landed archives -------------------------------------------------------------------
 
 
+def _quoted(text: str) -> str:
+    """A pattern that matches ``text`` itself."""
+    return "\\Q" + text.replace("\\E", "\\E\\\\E\\Q") + "\\E"
+
+
 def landed_files(spark: SparkSession, root: str) -> DataFrame:
     """(upstream_path, content) of every file below a landing directory."""
     base = root.rstrip("/")
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(base)
     return files.select(
-        F.element_at(F.split("path", base + "/", 2), -1).alias("upstream_path"), "length", "content"
+        F.regexp_extract("path", "^.*?" + _quoted(base) + "/(.*)$", 1).alias("upstream_path"), "length", "content"
     )
 
 

@@ -14,20 +14,14 @@ from ..operators.ordering import release_order
 from ..session import settled
 from .tables import encode_for_parquet, row_json
 
-ROWS_PER_SHARD = 5_000_000
-PRUNED_PARTITIONS = 200  # up to here the partitions of a batch become a literal filter
 FACTS = ["source_id", "revision", "upstream_path", "sha256", "byte_length", "rights_status"]
 
 
-def shard_count(df: DataFrame) -> int:
-    """Shards for a table, from its row count (one action)."""
-    return max(1, -(-df.count() // ROWS_PER_SHARD))
-
-
-def _ordered(df: DataFrame, order, shards: int) -> DataFrame:
+def _ordered(df: DataFrame, order, shards: int | None) -> DataFrame:
+    """Rows in order over ``shards`` ranges; without a number as many as the session's shuffles, joined to sized ones by AQE."""
     keyed = df.select("*", *[c.alias(f"_o{i}") for i, c in enumerate(order)])
     names = [f"_o{i}" for i in range(len(order))]
-    placed = keyed.repartition(1) if shards == 1 else keyed.repartitionByRange(shards, *names)
+    placed = keyed.repartitionByRange(shards, *names) if shards else keyed.repartitionByRange(*names)
     return placed.sortWithinPartitions(*names).drop(*names)
 
 
@@ -51,9 +45,8 @@ def write_release_parquet(df: DataFrame, table: str, folder: str, split: str, sh
     Rows are range-partitioned on the canonical key, so every shard is a
     contiguous, sorted slice and row-group statistics stay tight.
     """
-    n = shards or shard_count(df)
     target = f"{folder}/data/{table}"
-    _ordered(encode_for_parquet(df, table), release_order(table), n).write.mode("errorifexists").option(
+    _ordered(encode_for_parquet(df, table), release_order(table), shards).write.mode("errorifexists").option(
         "compression", "zstd"
     ).parquet(target)
     names = _rename_parts(df.sparkSession, target, split + "-{i:05d}-of-{n:05d}.parquet")
@@ -65,7 +58,7 @@ def write_release_lines(tables: dict[str, DataFrame], folder: str, shards: int |
     if set(tables) != set(fixed.RELEASE_TABLES):
         raise ValueError(f"release tables must be exactly {sorted(fixed.RELEASE_TABLES)}")
     for table, df in tables.items():
-        lines = _ordered(df.withColumn("_line", row_json(df, table)), release_order(table), shards or shard_count(df))
+        lines = _ordered(df.withColumn("_line", row_json(df, table)), release_order(table), shards)
         lines.select(F.col("_line").alias("value")).write.mode("errorifexists").text(f"{folder}/{table}.jsonl")
 
 
@@ -143,14 +136,8 @@ def append_receipts(spark: SparkSession, table_path: str, incoming: DataFrame) -
     exists = path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
     existing = spark.read.schema(schema).parquet(table_path) if exists else spark.createDataFrame([], schema)
     named = incoming.select("source_id", "revision").distinct()
-    few = named.take(PRUNED_PARTITIONS + 1)
-    if len(few) <= PRUNED_PARTITIONS:
-        wanted = F.lit(False)
-        for row in few:
-            wanted = wanted | ((F.col("source_id") == row["source_id"]) & (F.col("revision") == row["revision"]))
-        existing = existing.where(wanted)
-    else:
-        existing = existing.join(named, ["source_id", "revision"], "left_semi")
+    # The join prunes the table's partitions at run time, whatever the number of those named.
+    existing = existing.join(named, ["source_id", "revision"], "left_semi")
     fresh, conflicts = settled(*plan_receipt_append(existing, incoming))
     assert_clean(conflicts)
     fresh.write.mode("append").partitionBy("source_id", "revision").parquet(table_path)

@@ -33,6 +33,13 @@ def test_digest_is_a_multiset_identity(spark):
     assert tuple(digest.multiset_digest(df.limit(0)).first()) == (0, word_sums([]))
 
 
+def test_published_hash(spark):
+    rows = [(i, f"t{i % 3}\x1f") for i in range(50)]
+    lines = spark.createDataFrame(rows, "id int, line string").repartition(5)
+    assert digest.published_sha256(lines, [F.col("id")], "[", ",", "]") == sha("[" + ",".join(t for _, t in rows) + "]")
+    assert digest.published_sha256(lines.where("id < 0"), [F.col("id")], "[", ",", "]") == sha("[]")
+
+
 def test_global_positions_with_a_hot_key(spark):
     rows = [(None if i % 3 else f"k{i % 5}", i) for i in range(400)]
     df = spark.createDataFrame(rows, "k string, i int").repartition(6)
@@ -152,3 +159,14 @@ def test_catalog_and_topology(spark):
     one = '{"atoms":[{"atom_type":"air","q":1,"r":0},{"atom_type":"salt","q":0,"r":0}],"bonds":[{"a_q":0,"a_r":0,"b_q":1,"b_r":0,"bond_types":["triplex-red"]}]}'
     assert claims["reagents"].value_json == f"[{one},{one}]" and len(claims["reagents"].observation_ids) == 2
     assert claims["products"].value_json == '[{"atoms":[{"atom_type":"gold","q":0,"r":0}],"bonds":[]}]'
+
+
+def test_null_groups_that_span_partitions(spark):
+    points = [(None, (i * 7) % 53, (i * 11) % 47) for i in range(150)] + [("g", i % 5, i % 3) for i in range(20)]
+    df = spark.createDataFrame(points, "g string, x int, y int").repartition(5)
+    got = {(r.g, r.x, r.y) for r in views.pareto_pair(df, "g", "x", "y").collect()}
+    assert got == {p for p in points if not any(q[0] == p[0] and q[1] <= p[1] and q[2] <= p[2] and q != p for q in points)}
+    half = {r.g: r.value for r in views.metric_quantiles(df, "g", "y", [0.5]).collect()}
+    for g in (None, "g"):
+        own = sorted(y for h, _, y in points if h == g)
+        assert half[g] == own[-(-len(own) // 2) - 1]

@@ -221,3 +221,21 @@ def test_model_text(spark):
     assert lines[0] == fixed.PUZZLE_TEXT_HEADER and lines[-1] == "" and len(lines) == 12
     assert lines[3] == 'allowed_parts=["arm1"]' and lines[10] == "production_constraints=null"
     assert lines[5] == 'reagents=[{"atoms":[{"atom_type":"salt","q":0,"r":0}],"bonds":[]}]'
+
+
+def test_no_envelope_stops_the_job(spark):
+    body = base64.b64encode(b"x").decode()
+    good = json.dumps({"format": fixed.CANDIDATE_FORMAT, "solution_base64": body})
+    texts = {
+        "plain": good, "swapped": f' {{"solution_base64":"{body}" , "format" : "{fixed.CANDIDATE_FORMAT}"}}\n', "escaped": good.replace("format", "\\u0066ormat"),
+        "surrogate format": '{"format": "\\ud800", "solution_base64": "eA=="}', "surrogate body": '{"format": "%s", "solution_base64": "\\ud800"}' % fixed.CANDIDATE_FORMAT,
+        "non-ascii body": '{"format": "%s", "solution_base64": "é"}' % fixed.CANDIDATE_FORMAT, "many": "{" + ",".join(f'"k{i}":1' for i in range(20000)) + "}",
+        "twice": good[:-1] + ', "format": "x"}', "trailing": good + " x", "vertical tab": good.replace("{", "{\x0b"), "null": None, "empty": "", "list": "[1]",
+    }
+    rows = {r.k: r for r in evaluation.compile_outputs(spark.createDataFrame(list(texts.items()), "k string, raw_output string")).collect()}
+    assert {k: r.compile_error for k, r in rows.items()} == {
+        "plain": None, "swapped": None, "escaped": None, "surrogate format": "unsupported_format", "surrogate body": "invalid_base64",
+        "non-ascii body": "invalid_base64", "many": "invalid_envelope", "twice": "duplicate_field", "trailing": "trailing_material",
+        "vertical tab": "not_json", "null": "not_json", "empty": "not_json", "list": "invalid_envelope",
+    }
+    assert all(bytes(rows[k].solution_bytes) == b"x" for k in ("plain", "swapped", "escaped"))

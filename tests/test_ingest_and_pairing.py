@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from provenlake.functions import fixed_values as fixed
 from provenlake.operators import checks, ingest, pairing
-from provenlake.sources import sinks
+from provenlake.sources import files, sinks
 
 
 def sha(data):
@@ -197,3 +197,44 @@ def test_receipts_land_incrementally(spark, tmp_path):
     (landing / "2.json").write_text(json.dumps(receipt("b")) + "\n" + json.dumps(receipt("a", at="later")))
     land_receipts(spark, str(landing), table, state).awaitTermination(120)
     assert sorted(r.upstream_path for r in spark.read.parquet(table).collect()) == ["a", "b"]
+
+
+def test_broken_receipts_are_quarantined(spark, tmp_path):
+    from provenlake.streaming.receipts import land_receipts
+
+    landing, table = tmp_path / "in", str(tmp_path / "receipts")
+    landing.mkdir()
+    good = {"source_id": "s", "revision": "r", "upstream_path": "p", "sha256": "a" * 64, "byte_length": 1, "rights_status": "unknown", "retrieved_at": "t"}
+    bad = [{**good, "revision": ""}, {**good, "byte_length": -1}, {**good, "rights_status": "mine"}, {k: v for k, v in good.items() if k != "sha256"}, 5]
+    (landing / "a.json").write_text("\n".join(["{oops", *map(json.dumps, bad), json.dumps(good), ""]) + "\n")
+    land_receipts(spark, str(landing), table, str(tmp_path / "state")).awaitTermination(120)
+    assert [r.upstream_path for r in spark.read.parquet(table).collect()] == ["p"]
+    quarantined = spark.read.parquet(table + "-quarantine").collect()
+    assert len(quarantined) == 6 and all(r.broken for r in quarantined)
+
+
+def test_objects_below_a_root_with_the_same_folder_name(spark, tmp_path):
+    root = tmp_path / "objects" / "store (1)+"
+    target = root / "objects" / "sha256" / "ab"
+    target.mkdir(parents=True)
+    (target / "cd").write_bytes(b"x")
+    assert [r.object_key for r in files.read_objects(spark, str(root)).collect()] == ["objects/sha256/ab/cd"]
+    assert [r.upstream_path for r in files.landed_files(spark, str(root)).select("upstream_path").collect()] == ["objects/sha256/ab/cd"]
+
+
+def test_pinned_files(spark, tmp_path):
+    for name, data in (("a", b"1"), ("b", b"2"), ("other", b"3")):
+        (tmp_path / name).write_bytes(data)
+    rows = [(f"{tmp_path}/a", sha(b"1")), (f"{tmp_path}/b", sha(b"0")), (f"{tmp_path}/gone", sha(b"1"))]
+    found = files.file_digest_violations(spark, spark.createDataFrame(rows, "path string, sha256 string"))
+    assert sorted(r.row_key.rsplit("/", 1)[1] for r in found.collect()) == ["b", "gone"]
+    assert files.file_digest_violations(spark, spark.createDataFrame([], "path string, sha256 string")).count() == 0
+
+
+def test_an_unreadable_mapping_does_not_stop_the_job(spark):
+    from provenlake.plans import facts
+
+    good = b'snapshot_id = "s"\n[[puzzles]]\npuzzle_id = "om.puzzle.0001"\npath = "a.puzzle"\n'
+    rows = [("r1", good), ("r2", b"\xff\xfe"), ("r3", b"= nothing"), ("r4", b"snapshot_id = 1\n")]
+    got = facts.read_mappings(spark.createDataFrame([(a, bytearray(b)) for a, b in rows], "revision string, content binary")).collect()
+    assert [(r.revision, r.path, r.error is None) for r in got] == [("r1", "a.puzzle", True), ("r2", None, False), ("r3", None, False), ("r4", None, False)]
