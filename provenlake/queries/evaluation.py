@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import fixed_values as fixed
+from ..operators import coverage
 from ..operators import eligibility as el
 from ..operators import evaluation as ev
 from ..operators import views as vw
@@ -258,3 +259,74 @@ def leaderboard(spark, sf):
     report = ev.run_report(ev.project_attempts(event_attempts(spark, sf)))
     ranked = ev.leaderboard(report, [-F.col("solved_count"), F.col("attempt_count"), F.col("run_id")])
     return ranked.select("run_id", "solved_count", "attempt_count", "rank")
+
+
+@query("""
+WITH a AS (SELECT o_custkey AS k, string_agg(DISTINCT CAST(o_orderkey AS VARCHAR), ',' ORDER BY CAST(o_orderkey AS VARCHAR)) AS ids,
+             count(DISTINCT o_orderkey) AS n FROM orders GROUP BY 1),
+     e AS (SELECT o_custkey AS k, string_agg(DISTINCT o_orderpriority, ',' ORDER BY o_orderpriority) AS src FROM orders WHERE o_orderstatus = 'F' GROUP BY 1),
+     s AS (SELECT user_id AS k, string_agg(DISTINCT event_type, ',' ORDER BY event_type) AS src FROM events GROUP BY 1)
+SELECT CAST(c_custkey AS VARCHAR) AS puzzle_id, CASE WHEN c_mktsegment = 'BUILDING' THEN 'd' || c_custkey END AS puzzle_definition_id,
+  coalesce(a.ids, '') AS artifact_ids, coalesce(e.src, '') AS exact_source_ids, coalesce(s.src, '') AS semantic_source_ids,
+  c_mktsegment = 'BUILDING' AS semantic_covered, coalesce(a.n, 0) > 0 AS artifact_covered, coalesce(a.n, 0) = 1 AS verifier_ready
+FROM customer LEFT JOIN a ON a.k = c_custkey LEFT JOIN e ON e.k = c_custkey LEFT JOIN s ON s.k = c_custkey""")
+def puzzle_coverage(spark, sf):
+    """Customers as puzzles, orders as artifacts seen by their priority, events as semantic sources."""
+    customers, orders = table(spark, sf, "customer"), table(spark, sf, "orders")
+    key = F.col("o_custkey").cast("string").alias("puzzle_id")
+    inventory = customers.select(F.col("c_custkey").cast("string").alias("puzzle_id"))
+    artifacts = orders.select(key, F.col("o_orderkey").cast("string").alias("artifact_id"))
+    seen = orders.select(
+        key, F.when(F.col("o_orderstatus") == "F", "artifact").otherwise("metadata").alias("source_role"), F.col("o_orderpriority").alias("source_id")
+    )
+    definitions = customers.where("c_mktsegment = 'BUILDING'").select(
+        F.col("c_custkey").cast("string").alias("puzzle_id"), F.concat(F.lit("d"), F.col("c_custkey").cast("string")).alias("puzzle_definition_id")
+    )
+    semantic = table(spark, sf, "events").select(F.col("user_id").cast("string").alias("puzzle_id"), F.col("event_type").alias("source_id"))
+    rows = coverage.puzzle_coverage(inventory, artifacts, seen, definitions, semantic)
+    lists = {c: F.array_join(c, ",") for c in ("artifact_ids", "exact_source_ids", "semantic_source_ids")}
+    return rows.withColumns(lists)
+
+
+@query("""
+WITH src AS (SELECT DISTINCT l_partkey AS p, l_suppkey AS s,
+    CASE l_returnflag WHEN 'A' THEN 'official-game' WHEN 'N' THEN 'omsim' ELSE 'archive' END AS source FROM lineitem WHERE l_linestatus = 'F'),
+ art AS (SELECT DISTINCT l_partkey AS p, l_suppkey AS s FROM lineitem),
+ cand AS (SELECT src.p, src.s, CAST(src.p AS VARCHAR) || '-' || CAST(src.s AS VARCHAR) AS id,
+    CASE source WHEN 'official-game' THEN 0 WHEN 'omsim' THEN 1 ELSE 2 END AS rank FROM src WHERE src.s % 5 <> 0),
+ best AS (SELECT p, id, s FROM (SELECT *, row_number() OVER (PARTITION BY p ORDER BY rank, id) AS r FROM cand) WHERE r = 1),
+ names AS (SELECT p, s, string_agg(source, ',' ORDER BY source) AS sources FROM src GROUP BY 1, 2),
+ j AS (SELECT part.p_partkey, p_size, best.id, best.s, names.sources, p_size % 3 <> 0 AS semantic, art.p IS NOT NULL AS covered
+   FROM part LEFT JOIN best ON best.p = p_partkey LEFT JOIN names ON names.p = best.p AND names.s = best.s
+   LEFT JOIN (SELECT DISTINCT p FROM art) art ON art.p = p_partkey)
+SELECT CAST(p_partkey AS VARCHAR) AS puzzle_id, semantic AS semantic_covered, covered AS artifact_covered, id IS NOT NULL AS verifier_ready,
+  CASE WHEN NOT semantic THEN 'missing_semantic_definition' WHEN NOT covered THEN 'missing_exact_artifact'
+       WHEN id IS NULL THEN 'no_verifier_usable_artifact' WHEN p_size % 2 = 0 THEN 'protocol_incompatible' END AS exclusion_reason,
+  id AS selected_puzzle_artifact_id, s AS selected_puzzle_artifact_byte_length, coalesce(sources, '') AS selected_source_ids
+FROM j""")
+def eligibility_rows(spark, sf):
+    """Parts as puzzles, their part-supplier pairs as artifacts, line items as observations of them."""
+    parts, lines = table(spark, sf, "part"), table(spark, sf, "lineitem")
+    puzzle = F.col("l_partkey").cast("string")
+    artifact = F.concat_ws("-", puzzle, F.col("l_suppkey").cast("string"))
+    inventory = parts.select(
+        F.col("p_partkey").cast("string").alias("puzzle_id"), F.when(F.col("p_size") % 2 == 0, "polymer_width").otherwise("normal").alias("puzzle_type")
+    )
+    definitions = parts.where("p_size % 3 <> 0").select(
+        F.col("p_partkey").cast("string").alias("puzzle_id"), F.concat(F.lit("d"), F.col("p_partkey").cast("string")).alias("puzzle_definition_id")
+    )
+    artifacts = lines.select("l_partkey", "l_suppkey").distinct().select(
+        artifact.alias("artifact_id"), puzzle.alias("puzzle_id"),
+        F.when(F.col("l_suppkey") % 5 != 0, "puzzle").otherwise("solution").alias("artifact_format"), F.sha2(artifact, 256).alias("sha256"),
+        F.col("l_suppkey").alias("byte_length"), F.lit("k").alias("object_key"), F.lit("unknown").alias("rights_status"),
+    )
+    flag = F.col("l_returnflag")
+    seen = lines.select(
+        artifact.alias("artifact_id"), F.when(F.col("l_linestatus") == "F", "artifact").otherwise("metadata").alias("source_role"),
+        F.when(flag == "A", "official-game").when(flag == "N", "omsim").otherwise("archive").alias("source_id"),
+    )
+    rows = el.derive_eligibility(inventory, definitions, artifacts, seen)
+    return rows.select(
+        "puzzle_id", "semantic_covered", "artifact_covered", "verifier_ready", "exclusion_reason", "selected_puzzle_artifact_id",
+        "selected_puzzle_artifact_byte_length", F.array_join("selected_source_ids", ",").alias("selected_source_ids"),
+    )

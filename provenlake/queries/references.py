@@ -197,10 +197,10 @@ def parseable_semi(spark, sf):
 @query("""
 WITH p AS (SELECT o_custkey, o_orderpriority, count(*) AS n, min(o_orderkey) AS k FROM orders WHERE o_orderstatus = 'F' GROUP BY 1, 2)
 SELECT o.o_orderkey, CAST(least(coalesce(p.n, 0), 2) AS INT) AS matches, CASE WHEN p.n = 1 THEN p.k END AS puzzle_artifact
-FROM orders o LEFT JOIN p ON p.o_custkey = o.o_custkey AND p.o_orderpriority = o.o_orderpriority WHERE o.o_orderstatus = 'O'""")
+FROM orders o LEFT JOIN p ON p.o_custkey = o.o_custkey AND p.o_orderpriority = o.o_orderpriority WHERE o.o_orderstatus <> 'F'""")
 def exactly_one_pairing(spark, sf):
     orders = table(spark, sf, "orders").withColumn("key", F.concat_ws("|", F.col("o_custkey").cast("string"), "o_orderpriority"))
-    solutions = orders.where("o_orderstatus = 'O'").select("o_orderkey", "key")
+    solutions = orders.where("o_orderstatus <> 'F'").select("o_orderkey", "key")
     puzzles = orders.where("o_orderstatus = 'F'").select("key", F.col("o_orderkey").alias("puzzle_artifact"))
     return verify.pair_exactly_one(solutions, puzzles, "key", ["puzzle_artifact"]).select("o_orderkey", "matches", "puzzle_artifact")
 
@@ -237,17 +237,17 @@ def rollup_counts(spark, sf):
 
 @query("""
 WITH k AS (SELECT o_custkey, min(o_orderpriority) AS segment, CAST(o_custkey % 25 AS INT) AS nation
-           FROM orders WHERE o_orderstatus = 'F' AND o_orderpriority <> '3-MEDIUM' GROUP BY o_custkey)
+           FROM orders GROUP BY o_custkey)
 SELECT c.c_custkey,
   CASE WHEN k.o_custkey IS NULL THEN 'missing' WHEN k.nation <> c.c_nationkey OR k.segment <> '1-URGENT' THEN 'mismatch' ELSE 'match' END AS status,
   CASE WHEN k.o_custkey IS NOT NULL THEN
      concat_ws(',', CASE WHEN k.nation <> c.c_nationkey THEN 'c_nationkey' END, CASE WHEN k.segment <> '1-URGENT' THEN 'segment' END) END AS differing
 FROM customer c LEFT JOIN k ON k.o_custkey = c.c_custkey""")
 def catalog_reconcile(spark, sf):
-    """Customers against a catalog derived from their finished orders."""
+    """Customers against a catalog derived from their orders."""
     inventory = table(spark, sf, "customer").select("c_custkey", "c_nationkey", F.lit("1-URGENT").alias("segment"))
     catalog = (
-        table(spark, sf, "orders").where("o_orderstatus = 'F' AND o_orderpriority <> '3-MEDIUM'")
+        table(spark, sf, "orders")
         .groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.min("o_orderpriority").alias("found_segment"))
         .withColumn("found_nation", (F.col("c_custkey") % 25).cast("int"))
     )
@@ -258,7 +258,7 @@ def catalog_reconcile(spark, sf):
 
 def coverage_inputs(spark, sf):
     inventory = table(spark, sf, "customer").select("c_custkey")
-    solutions = table(spark, sf, "orders").where("o_orderpriority = '1-URGENT'").select(
+    solutions = table(spark, sf, "orders").select(
         F.col("o_custkey").alias("c_custkey"), "o_orderstatus"
     )
     return inventory, solutions, F.col("o_orderstatus") == "F"
@@ -269,7 +269,7 @@ _STATE = """CASE WHEN v > 1 THEN 'multi_solution' WHEN v = 1 THEN 'verified' WHE
 
 @query(f"""
 WITH a AS (SELECT c.c_custkey, count(o.o_orderkey) AS n, count(CASE WHEN o.o_orderstatus = 'F' THEN 1 END) AS v
-  FROM customer c LEFT JOIN orders o ON o.o_custkey = c.c_custkey AND o.o_orderpriority = '1-URGENT' GROUP BY c.c_custkey)
+  FROM customer c LEFT JOIN orders o ON o.o_custkey = c.c_custkey GROUP BY c.c_custkey)
 SELECT c_custkey, n AS candidate_solution_count, v AS verified_solution_count, n - v AS rejected_solution_count, {_STATE} AS state FROM a""")
 def coverage_by_key(spark, sf):
     inventory, solutions, verified = coverage_inputs(spark, sf)
@@ -280,7 +280,7 @@ def coverage_by_key(spark, sf):
 SELECT (SELECT count(*) FROM customer) AS puzzle_count, count(*) AS candidate_solution_count,
   count(CASE WHEN o_orderstatus = 'F' THEN 1 END) AS verified_solution_count,
   count(*) - count(CASE WHEN o_orderstatus = 'F' THEN 1 END) AS rejected_solution_count
-FROM orders WHERE o_orderpriority = '1-URGENT'""")
+FROM orders""")
 def coverage_totals(spark, sf):
     inventory, solutions, verified = coverage_inputs(spark, sf)
     return coverage.coverage_totals(inventory, solutions, verified)
@@ -288,7 +288,7 @@ def coverage_totals(spark, sf):
 
 @query(f"""
 WITH a AS (SELECT c.c_custkey, count(o.o_orderkey) AS n, count(CASE WHEN o.o_orderstatus = 'F' THEN 1 END) AS v
-  FROM customer c LEFT JOIN orders o ON o.o_custkey = c.c_custkey AND o.o_orderpriority = '1-URGENT' GROUP BY c.c_custkey)
+  FROM customer c LEFT JOIN orders o ON o.o_custkey = c.c_custkey GROUP BY c.c_custkey)
 SELECT {_STATE} AS state, count(*) AS customers, CAST(sum(n) AS BIGINT) AS candidates FROM a GROUP BY 1""")
 def coverage_report(spark, sf):
     inventory, solutions, verified = coverage_inputs(spark, sf)
@@ -299,15 +299,14 @@ def coverage_report(spark, sf):
 
 
 @query("""
-WITH e AS (SELECT DISTINCT c_custkey AS k FROM customer WHERE c_mktsegment IN ('BUILDING', 'MACHINERY')),
-     a AS (SELECT DISTINCT o_custkey AS k FROM orders WHERE o_orderstatus = 'F' AND o_orderpriority = '2-HIGH')
+WITH e AS (SELECT DISTINCT o_custkey AS k FROM orders),
+     a AS (SELECT DISTINCT user_id AS k FROM events)
 SELECT coalesce(e.k, a.k) AS c_custkey, CASE WHEN a.k IS NULL THEN 'missing' ELSE 'unexpected' END AS side
 FROM e FULL OUTER JOIN a ON e.k = a.k WHERE e.k IS NULL OR a.k IS NULL""")
 def missing_unexpected(spark, sf):
-    expected = table(spark, sf, "customer").where(F.col("c_mktsegment").isin("BUILDING", "MACHINERY")).select("c_custkey")
-    actual = table(spark, sf, "orders").where("o_orderstatus = 'F' AND o_orderpriority = '2-HIGH'").select(
-        F.col("o_custkey").alias("c_custkey")
-    )
+    """Customers that have orders against users that have events."""
+    expected = table(spark, sf, "orders").select(F.col("o_custkey").alias("c_custkey"))
+    actual = table(spark, sf, "events").select(F.col("user_id").alias("c_custkey"))
     return checks.set_difference(expected, actual, "c_custkey")
 
 
