@@ -7,7 +7,7 @@ links reaches ``AUDIT_RECALL``.  Graphs are written to the shared folder.  Every
 then queries every shard, in blocks; hits are confirmed by cosine in double
 precision, and links are united to components.
 
-A beam holds only so many hits.  A query whose widened beam is full of links is
+A beam holds only so many hits.  A query whose beam is full of links is
 dense: all dense queries are compared exactly, in blocks, with every shard, which
 counts their links and gives back a spanning forest among dense ones instead of all
 their pairs.  So nothing is capped, and pairs are emitted only for queries with fewer
@@ -39,7 +39,7 @@ from .staging import small_batches, staged
 COSINE = 0.9
 #: Classes per shard, and shards below that size as long as each has ``LEAST_ROWS``.
 SHARD_ROWS, SHARDS, LEAST_ROWS = 200_000, 6, 256
-#: Beams: at first, and what a full or badly audited one is widened to at most.
+#: Beams: at first, and what a badly audited one is widened to at most.
 BEAM, WIDEST = 24, 192
 AUDIT_QUERIES, AUDIT_RECALL = 128, 0.98
 #: Queries in one block, and blocks that one task compares with one shard.
@@ -209,28 +209,22 @@ def _opened(payload: bytes, beam: int) -> tuple:
 
 
 def _search(shard: tuple, q_rep: np.ndarray, q_copies: np.ndarray, q_raw: np.ndarray) -> tuple:
-    """Hits of a block in one shard: confirmed pairs, or a mark for each query whose widest beam is full."""
+    """Hits of a block in one shard: confirmed pairs, or a mark for each query whose beam is full of links."""
     (rep, copies, raw, graph), beam = shard
     unit = _unit(_scaled(q_raw)).astype(np.float32)
-    todo, out = np.arange(len(unit)), []
-    while len(todo):
-        scores, ids = graph.search(unit[todo], beam)
-        full = (scores[:, -1] >= COSINE - SLACK) & (beam < len(rep))
-        done = ~full | (beam >= WIDEST)
-        dense = todo[full & done]
-        if len(dense):
-            zero = np.zeros(len(dense), np.int64)
-            out.append(_rows(_DENSE, q_rep[dense], zero, q_copies[dense], zero))
-        near = (scores >= COSINE - SLACK) & (ids >= 0) & (done & ~full)[:, None]
-        r, c = np.nonzero(near)
-        q, x = todo[r], ids[r, c]
-        good = rep[x] != q_rep[q]
-        q, x = q[good], x[good]
-        good = _cosines(q_raw[q], raw[x]) >= COSINE
-        q, x = q[good], x[good]
-        out.append(_rows(_PAIR, q_rep[q], rep[x], q_copies[q], copies[x]))
-        todo, beam = todo[~done], beam * 4
-    return tuple(np.concatenate(c) for c in zip(*out, strict=True))
+    scores, ids = graph.search(unit, beam)
+    dense = np.flatnonzero((scores[:, -1] >= COSINE - SLACK) & (beam < len(rep)))
+    zero = np.zeros(len(dense), np.int64)
+    near = (scores >= COSINE - SLACK) & (ids >= 0)
+    near[dense] = False
+    q, c = np.nonzero(near)
+    x = ids[q, c]
+    good = rep[x] != q_rep[q]
+    q, x = q[good], x[good]
+    good = _cosines(q_raw[q], raw[x]) >= COSINE
+    q, x = q[good], x[good]
+    marks, pairs = _rows(_DENSE, q_rep[dense], zero, q_copies[dense], zero), _rows(_PAIR, q_rep[q], rep[x], q_copies[q], copies[x])
+    return tuple(np.concatenate(c) for c in zip(marks, pairs, strict=True))
 
 
 def _exact(shard: tuple, q_rep: np.ndarray, q_copies: np.ndarray, q_raw: np.ndarray) -> tuple:
