@@ -161,7 +161,7 @@ def missing_references(
     child: DataFrame, child_key: str, parent: DataFrame, parent_key: str
 ) -> DataFrame:
     """Child rows whose key has no parent; a null key never has one."""
-    known = parent.select(F.col(parent_key).alias("_known")).distinct()
+    known = parent.select(F.col(parent_key).alias("_known"))
     return child.join(known, child[child_key] == F.col("_known"), "left_anti")
 
 

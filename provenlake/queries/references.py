@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import checks, coverage, pairing, reconcile, verify
+from ..operators import checks, coverage, pairing, reconcile, release, verify
 from ..operators.ordering import number_in_buckets, sequence_violations
 from .common import query, table
 
@@ -165,16 +165,37 @@ def conditional_reference(spark, sf):
 
 
 @query("""
-WITH n AS (SELECT l_orderkey, max(l_linenumber) AS m FROM lineitem GROUP BY l_orderkey),
-     w AS (SELECT l_orderkey, unnest(generate_series(1, m)) AS line FROM n)
-SELECT CAST(w.l_orderkey AS BIGINT) AS l_orderkey, CAST(w.line AS INT) AS l_linenumber FROM w
-WHERE NOT EXISTS (SELECT 1 FROM lineitem l WHERE l.l_orderkey = w.l_orderkey AND l.l_linenumber = w.line)""")
+WITH n AS (SELECT l_orderkey AS k, max(l_linenumber) AS m FROM lineitem GROUP BY 1),
+     w AS (SELECT k, unnest(generate_series(1, m)) AS line FROM n)
+SELECT 'definition_observation_missing' AS code, k || ':' || line AS detail, CAST(k AS VARCHAR) AS row_key FROM w
+WHERE NOT EXISTS (SELECT 1 FROM lineitem l WHERE l.l_orderkey = w.k AND l.l_linenumber = w.line)
+UNION ALL SELECT 'definition_observation_other_puzzle', k || ':' || line, CAST(k AS VARCHAR)
+FROM w JOIN lineitem l ON l.l_orderkey = w.k AND l.l_linenumber = w.line WHERE l.l_suppkey % 50 = 0
+UNION ALL SELECT 'artifact_unbound', CAST(o_orderkey AS VARCHAR), 'a' || o_orderkey FROM orders WHERE o_orderstatus <> 'F'
+UNION ALL SELECT 'artifact_unobserved', 'no observation', 'a' || o_orderkey FROM orders
+WHERE NOT EXISTS (SELECT 1 FROM lineitem l WHERE l.l_orderkey = o_orderkey AND l.l_linestatus = 'F')""")
 def array_reference(spark, sf):
-    """Each order declares lines 1..max as an array; elements without a line item are broken references."""
-    lines = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber")
-    declared = lines.groupBy("l_orderkey").agg(F.sequence(F.lit(1), F.max("l_linenumber")).alias("declared"))
-    links = declared.select("l_orderkey", F.explode("declared").alias("l_linenumber"))
-    return links.join(lines, ["l_orderkey", "l_linenumber"], "left_anti")
+    """Orders declare their lines 1..max and, when finished, an artifact; line items are the observations."""
+    lines, orders = table(spark, sf, "lineitem"), table(spark, sf, "orders")
+    order = F.col("l_orderkey").cast("string")
+    declared = lines.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.max("l_linenumber").alias("m"))
+    key = F.col("o_orderkey").cast("string")
+    artifact = F.concat(F.lit("a"), key)
+    none = F.array().cast("array<string>")
+    definitions = orders.select("o_orderkey", "o_orderstatus").join(declared, "o_orderkey", "full").select(
+        key.alias("puzzle_id"),
+        F.when(F.col("m").isNull(), none).otherwise(
+            F.transform(F.sequence(F.lit(1), F.col("m")), lambda i: F.concat_ws(":", key, i.cast("string")))
+        ).alias("source_observation_ids"),
+        F.when(F.col("o_orderstatus") == "F", F.array(artifact)).otherwise(none).alias("puzzle_artifact_ids"),
+    )
+    observations = lines.select(
+        F.concat_ws(":", order, F.col("l_linenumber").cast("string")).alias("observation_id"),
+        F.when(F.col("l_suppkey") % 50 == 0, "other").otherwise(order).alias("puzzle_id"),
+        F.when(F.col("l_linestatus") == "F", F.concat(F.lit("a"), order)).alias("artifact_id"),
+    )
+    artifacts = orders.select(artifact.alias("artifact_id"), key.alias("puzzle_id"))
+    return release.provenance_violations(definitions, observations, artifacts).select("code", "detail", "row_key")
 
 
 @query("""
