@@ -44,7 +44,40 @@ def op9_token_counts_two_tier(spark: SparkSession, sf: str) -> DataFrame:
     return counts.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
 
 
-@query()
+_SPACE, _SYMBOL = op10_quality_rules.SPACE, op10_quality_rules.SYMBOLS
+_PHRASES = " OR ".join(f"contains(lower(line), '{p}')" for p in op10_quality_rules.BOILERPLATE)
+
+
+@query(rf"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+words AS (SELECT r, list_filter(string_split_regex(t, '[{_SPACE}]+'), lambda x: x <> '') AS ws FROM d),
+placed AS (SELECT r, unnest(ws) AS w, generate_subscripts(ws, 1) AS i FROM words),
+grams AS (
+  SELECT r, i, concat_ws(' ', w, lead(w, 1) OVER o, lead(w, 2) OVER o, lead(w, 3) OVER o, lead(w, 4) OVER o) AS g, lead(w, 4) OVER o AS closing
+  FROM placed WINDOW o AS (PARTITION BY r ORDER BY i)),
+twice AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, g) AS n FROM grams WHERE closing IS NOT NULL) WHERE n > 1),
+repeated AS (SELECT r, sum(step) AS n FROM (
+  SELECT r, least(5, coalesce(lead(i) OVER (PARTITION BY r ORDER BY i) - i, 5)) AS step FROM twice) GROUP BY r),
+lines AS (
+  SELECT r, line, i, len(list_filter(string_split_regex(line, '[{_SPACE}]+'), lambda x: x <> '')) AS n,
+    row_number() OVER (PARTITION BY r, line ORDER BY i) AS copy
+  FROM (SELECT r, unnest(ls) AS line, generate_subscripts(ls, 1) AS i FROM (SELECT r, string_split(t, chr(10)) AS ls FROM d))
+  WHERE regexp_matches(line, '[^{_SPACE}]')),
+judged AS (
+  SELECT r, n, copy, copy > 1 OR {_PHRASES}
+    OR len(regexp_extract_all(line, '(?:^|[{_SPACE}]){_SYMBOL}|{_SYMBOL}(?:$|[{_SPACE}])')) > n * {op10_quality_rules.MAX_SYMBOL_WORDS}
+    OR (n >= {op10_quality_rules.MIN_SHOUT} AND len(regexp_extract_all(line, '!!(?:$|[{_SPACE}])')) > n * {op10_quality_rules.MAX_SHOUT_WORDS})
+    OR (n >= {op10_quality_rules.MIN_UNPUNCTUATED} AND NOT regexp_matches(line, '{op10_quality_rules.SENTENCE_MARKS}')) AS bad
+  FROM lines),
+counted AS (
+  SELECT r, count(*) FILTER (WHERE copy > 1) AS dup, count(*) FILTER (WHERE bad) AS bad, coalesce(sum(n) FILTER (WHERE bad), 0) AS lost FROM judged GROUP BY r),
+base AS (
+  SELECT d.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(length(regexp_replace(t, '[{_SPACE}]+', '', 'g')) AS BIGINT) AS word_chars,
+    CAST(length(t) - length(regexp_replace(t, '{_SYMBOL}+', '', 'g')) AS BIGINT) AS n_symbols, CAST(coalesce(dup, 0) AS BIGINT) AS n_dup_lines,
+    CAST(coalesce(repeated.n, 0) AS BIGINT) AS n_repeat_words, CAST(coalesce(bad, 0) AS BIGINT) AS n_bad_lines, CAST(coalesce(lost, 0) AS BIGINT) AS n_lost_words
+  FROM d JOIN words USING (r) LEFT JOIN counted USING (r) LEFT JOIN repeated USING (r)),
+failed AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM base)
+SELECT *, NOT base_failed AND n_lost_words <= {op10_quality_rules.MAX_LOST_WORDS} * n_words AS kept FROM failed""")
 def op10_quality_rules_line_first(spark: SparkSession, sf: str) -> DataFrame:
     return op10_quality_rules.quality(table(spark, sf, "documents"))
 

@@ -3,8 +3,10 @@ from collections import Counter
 
 import duckdb
 from cases import documents, empty
+from oracle import compare, connect
 
 from provenlake.llm import op10_quality_rules as op
+from provenlake.llm import registry
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -61,6 +63,12 @@ def test_lines_are_removed_and_documents_rejected(spark):
     assert 1 not in rows and rows[2].text == texts[2]
 
 
+def test_query_equals_its_sql(spark):
+    name = "op10_quality_rules_line_first"
+    rows, problems = compare(spark, connect("0.01"), name, registry.QUERIES[name], registry.ORACLES[name], "0.01")
+    assert rows == 1000 and problems == []
+
+
 def test_main_path_has_no_python(spark):
     plan = op.quality(documents(spark))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Exchange" not in plan
