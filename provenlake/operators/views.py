@@ -88,6 +88,21 @@ def one_per_group(solutions: DataFrame, group: str, order: Sequence[str]) -> Dat
     return first.select(group, "r.*")
 
 
+def origin_views(solutions: DataFrame, observations: DataFrame, generated_sources: Sequence[str], key: str = "solution_id") -> DataFrame:
+    """Labelled rows of the two origin views: observed from people, and baselines that a generator made.
+
+    observations: artifact_id, source_id.  A solution with sources of both kinds is in
+    both views, one without an observation in neither.  Sources are folded to two flags
+    before the shuffle, so a solution that is seen often is one row per task.
+    """
+    made = F.col("source_id").isin(*generated_sources)
+    origins = observations.where(F.col("artifact_id").isNotNull() & F.col("source_id").isNotNull()).groupBy(
+        F.col("artifact_id").alias(key)
+    ).agg(F.max(~made).alias("_human"), F.max(made).alias("_generated"))
+    labels = F.array_compact(F.array(F.when(F.col("_human"), F.lit("human-observed")), F.when(F.col("_generated"), F.lit("generated-baseline"))))
+    return solutions.join(origins, key).select(F.explode(labels).alias("view"), *solutions.columns)
+
+
 def view_input_violations(solutions: DataFrame) -> DataFrame:
     """Solution rows a view may not be derived from: rows breaking the release rules, repeated ids."""
     from .release import table_rules

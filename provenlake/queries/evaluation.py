@@ -330,3 +330,14 @@ def eligibility_rows(spark, sf):
         "puzzle_id", "semantic_covered", "artifact_covered", "verifier_ready", "exclusion_reason", "selected_puzzle_artifact_id",
         "selected_puzzle_artifact_byte_length", F.array_join("selected_source_ids", ",").alias("selected_source_ids"),
     )
+
+
+@query("""
+WITH o AS (SELECT l_orderkey AS k, bool_or(l_returnflag <> 'R') AS human, bool_or(l_returnflag = 'R') AS made FROM lineitem GROUP BY 1)
+SELECT 'human-observed' AS view, o_orderkey AS solution_id, o_orderstatus FROM orders JOIN o ON k = o_orderkey WHERE human
+UNION ALL SELECT 'generated-baseline', o_orderkey, o_orderstatus FROM orders JOIN o ON k = o_orderkey WHERE made""")
+def origin_views(spark, sf):
+    """Orders as solutions, their line items as observations; returned ones come from a generator."""
+    solutions = table(spark, sf, "orders").select(F.col("o_orderkey").alias("solution_id"), "o_orderstatus")
+    seen = table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("artifact_id"), F.col("l_returnflag").alias("source_id"))
+    return vw.origin_views(solutions, seen, ["R"])
