@@ -178,29 +178,30 @@ def measured(text: Column) -> Column:
 VERDICTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_bad_lines", "n_lost_words"]
 
 
-def judged(docs: DataFrame, text_column: str = "text") -> DataFrame:
-    """``docs`` with the struct ``_quality`` (counts, ``base_failed``, ``kept``, ``clean_text``)."""
-    counted = docs.withColumn("_measured", measured(F.col(text_column)))
-    m = F.col("_measured")
-    failed = (m["n_words"] < MIN_WORDS) | (100 * m["n_repeat_words"] > MAX_REPEAT_PERCENT * m["n_words"])
-    kept = ~failed & (m["n_lost_words"] <= MAX_LOST_WORDS * m["n_words"])
-    fields = [m[c].alias(c) for c in VERDICTS]
-    return counted.withColumn(
-        "_quality", F.struct(*fields, failed.alias("base_failed"), kept.alias("kept"), m["clean_text"].alias("clean_text"))
-    ).drop("_measured")
+def base_failed(m: Column) -> Column:
+    """Whether the measures break a base rule."""
+    return (m["n_words"] < MIN_WORDS) | (100 * m["n_repeat_words"] > MAX_REPEAT_PERCENT * m["n_words"])
+
+
+def kept(m: Column) -> Column:
+    """The verdict on a document with these measures."""
+    return ~base_failed(m) & (m["n_lost_words"] <= MAX_LOST_WORDS * m["n_words"])
 
 
 def quality(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """Counts and verdict of every document, without its text."""
-    rows = docs.select(F.col(id_column), F.col(text_column).alias("_text"))
-    return judged(rows, "_text").select(
-        F.col(id_column), *[F.col("_quality")[c].alias(c) for c in [*VERDICTS, "base_failed", "kept"]]
+    rows = docs.select(F.col(id_column), measured(F.col(text_column)).alias("_measured"))
+    m = F.col("_measured")
+    return rows.select(
+        F.col(id_column), *[m[c].alias(c) for c in VERDICTS], base_failed(m).alias("base_failed"), kept(m).alias("kept")
     )
 
 
 def clean_documents(docs: DataFrame, text_column: str = "text", length_column: str = "n_chars") -> DataFrame:
     """The kept documents with the failed lines removed; the columns stay those of ``docs``."""
-    rows = judged(docs, text_column).where("_quality.kept").withColumn(text_column, F.col("_quality.clean_text"))
+    # A generator evaluates its list once; a filter on a computed column would compute it again.
+    good = F.filter(F.array(measured(F.col(text_column))), kept)
+    rows = docs.select("*", F.explode(good).alias("_measured")).withColumn(text_column, F.col("_measured.clean_text"))
     if length_column in docs.columns:
         rows = rows.withColumn(length_column, F.length(text_column).cast(docs.schema[length_column].dataType))
     return rows.select(*docs.columns)
