@@ -23,6 +23,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .staging import free_name
+
 #: Fixed values of the contract.
 SPACE = r"\x20\x09-\x0D"
 SYMBOLS = "[#*$%&|<>]"
@@ -201,7 +203,8 @@ def clean_documents(docs: DataFrame, text_column: str = "text", length_column: s
     """The kept documents with the failed lines removed; the columns stay those of ``docs``."""
     # A generator evaluates its list once; a filter on a computed column would compute it again.
     good = F.filter(F.array(measured(F.col(text_column))), kept)
-    rows = docs.select("*", F.explode(good).alias("_measured")).withColumn(text_column, F.col("_measured.clean_text"))
+    name = free_name(docs, "_measured")
+    rows = docs.select("*", F.explode(good).alias(name)).withColumn(text_column, F.col(name)["clean_text"])
     if length_column in docs.columns:
         rows = rows.withColumn(length_column, F.length(text_column).cast(docs.schema[length_column].dataType))
     return rows.select(*docs.columns)

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from . import crf
 from .shingles import _bytes_of
-from .staging import map_texts
+from .staging import free_name, map_texts
 
 UNKNOWN = "und"
 #: Bounds of the training sample.
@@ -249,9 +249,12 @@ def learned(docs: DataFrame, allowed: Column, text_column: str = "text", lang_co
     return fit(sorted((r["lang"], r["text"]) for r in sample))
 
 
-def languages(docs: DataFrame, model: Model, keep: list[str], text_column: str = "text") -> DataFrame:
-    """The columns ``keep`` of every row, with ``lang_pred`` and ``score``."""
-    rows = docs.select(*keep, F.col(text_column).cast("string").alias("_text"))
+def languages(
+    docs: DataFrame, model: Model, keep: list[str], text_column: str = "text", names: tuple[str, str] = ("lang_pred", "score")
+) -> DataFrame:
+    """The columns ``keep`` of every row, with the predicted language and its score under ``names``."""
+    own_text = free_name(docs, "_text")
+    rows = docs.select(*keep, F.col(text_column).cast("string").alias(own_text))
     shared = docs.sparkSession.sparkContext.broadcast(model)
     schema = ", ".join(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in keep)
 
@@ -259,13 +262,13 @@ def languages(docs: DataFrame, model: Model, keep: list[str], text_column: str =
         own = shared.value
 
         def apply(batch: pa.RecordBatch) -> pa.RecordBatch:
-            names, score = label(own, batch.column("_text"))
+            found, score = label(own, batch.column(own_text))
             columns = [batch.column(i) for i in range(len(keep))]
-            return pa.RecordBatch.from_arrays([*columns, pa.array(names, pa.string()), pa.array(score)], [*keep, "lang_pred", "score"])
+            return pa.RecordBatch.from_arrays([*columns, pa.array(found, pa.string()), pa.array(score)], [*keep, *names])
 
         return apply
 
-    return map_texts(rows, make, f"{schema}, lang_pred string, score double", "_text", SLICE_BYTES)
+    return map_texts(rows, make, f"{schema}, `{names[0]}` string, `{names[1]}` double", own_text, SLICE_BYTES)
 
 
 def held_out(id_column: str = "doc_id") -> Column:
@@ -290,6 +293,7 @@ def recognized(docs: DataFrame, text_column: str = "text", lang_column: str = "l
     if not model.languages:
         return docs
     names = docs.columns
-    rows = languages(docs, model, names, text_column)
-    clear = rows.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= MIN_SCORE))
-    return clear.withColumn(lang_column, F.coalesce(lang_column, "lang_pred")).select(*names)
+    language, score = free_name(docs, "lang_pred"), free_name(docs, "score")
+    rows = languages(docs, model, names, text_column, (language, score))
+    clear = rows.where((F.col(language) != UNKNOWN) & (F.col(score) >= MIN_SCORE))
+    return clear.withColumn(lang_column, F.coalesce(lang_column, language)).select(*names)

@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from .components import components
 from .shingles import shingle_sets
-from .staging import map_texts, staged
+from .staging import free_name, map_texts, staged
 
 #: The signature: 15 chunks of 6 symbols of 16 bits.
 CHUNKS, CHUNK, ERRORS = 15, 6, 1
@@ -336,14 +336,15 @@ def deduplicated(docs: DataFrame, id_column: str = "doc_id", text_column: str =
         marks.where(F.col("kept") & F.col(id_column).isNotNull()).groupBy(F.col(id_column).alias("_id"), F.col("row_mark").alias("_mark"))
         .agg(F.count(F.lit(1)).alias("_copies")), "kept",
     )
-    marked = docs.withColumn("_mark", text_hash)
-    on = (F.col(id_column) == F.col("_kept._id")) & F.col("_docs._mark").eqNullSafe(F.col("_kept._mark"))
+    mark = free_name(docs, "_mark")
+    marked = docs.withColumn(mark, text_hash)
+    on = (F.col(f"_docs.{id_column}") == F.col("_kept._id")) & F.col(f"_docs.{mark}").eqNullSafe(F.col("_kept._mark"))
     once = marked.alias("_docs").join(kept.where("_copies = 1").alias("_kept"), on, "left_semi")
     parts = [once.select(*names), docs.where(F.col(id_column).isNull())]
     repeated = kept.where("_copies > 1")
     if not repeated.isEmpty():
         again = marked.alias("_docs").join(repeated.alias("_kept"), on, "left_semi")
-        parts.append(again.dropDuplicates([id_column, "_mark"]).select(*names))
+        parts.append(again.dropDuplicates([id_column, mark]).select(*names))
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)

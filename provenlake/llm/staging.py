@@ -31,6 +31,13 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with underscores before it until no column of ``df`` has it."""
+    while name in df.columns:
+        name = "_" + name
+    return name
+
+
 def release(spark: SparkSession) -> None:
     """Delete every staged table of this application (results that read them must be written before)."""
     path = spark._jvm.org.apache.hadoop.fs.Path(folder(spark))

@@ -102,3 +102,17 @@ def test_stages_settle_awkward_rows(spark):
     assert kept == set()
     kept = pipeline.near_dedup(spark, docs, "").collect()
     assert sorted(r.doc_id for r in kept if r.doc_id in (2, 3)) == [2]
+
+
+def test_clashing_columns_pass_through_the_stages(spark):
+    good = "A proper sentence of more than ten words, which every stage should simply keep."
+    rows = [(i, f"{good} It is number {i}, and mail a{i}@b.co is in it, as in text {i * 7} of the set {i * 13}.", "en", "s", 0, *["own"] * 8) for i in range(3)]
+    clash = ["_measured", "_mark", "_text", "lang_pred", "score", "_id", "text_hash", "kept"]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"{c} string" for c in clash))
+    at = docs
+    for _, stage in pipeline.STAGES[:-1]:
+        at = stage(spark, at, "")
+        assert at.columns == docs.columns
+    kept = at.collect()
+    assert kept and all(r[c] == "own" for r in kept for c in clash) and all("[EMAIL]" in r.text for r in kept)
+    assert {r.doc_id for r in pipeline.packing(spark, at, "").collect()} == {r.doc_id for r in kept}
