@@ -1,11 +1,13 @@
 """Embedding near duplicates by navigable small-world graphs, one per shard.
 
 Equal vectors are one class with a count.  Classes are dealt to shards by hash; a
-task builds each shard's graph and audits it: a sample of its vectors is compared
-with brute force, and the search beam is widened until the audited recall of
-links reaches ``AUDIT_RECALL``.  Graphs are written to the shared folder.  Every class
-then queries every shard, in blocks; hits are confirmed by cosine in double
-precision, and links are united to components.
+task builds each shard's graph and audits it: samples of its vectors, of those of all
+shards and of made vectors that have a link are compared with brute force (hits on
+oneself left out), and the search beam is widened until the audited recall of links
+reaches ``AUDIT_RECALL``.  A shard that fails at the widest beam too is compared exactly
+with all queries.  Graphs are written to the shared folder.  Every class then
+queries every shard, in blocks; hits are confirmed by cosine in double precision, and
+links are united to components.
 
 A beam holds only so many hits.  A query whose beam is full of links is
 dense: all dense queries are compared exactly, in blocks, with every shard, which
@@ -14,7 +16,8 @@ their pairs.  So nothing is capped, and pairs are emitted only for queries with
 links than a beam holds.
 
 Bounds: a shard has about ``SHARD_ROWS`` classes (its graph is one task's memory);
-links of ordinary queries number below classes x shards x beam.
+links of ordinary queries number below classes x shards x beam.  Shards that fail the
+audit cost queries x classes.
 
 Defined cases: vectors that are null, zero, or hold a null or non-finite component link
 with nothing and are their own component.  Vectors of different lengths link
@@ -39,11 +42,14 @@ from .staging import small_batches, staged
 COSINE = 0.9
 #: Classes per shard, and shards below that size as long as each has ``LEAST_ROWS``.
 SHARD_ROWS, SHARDS, LEAST_ROWS = 200_000, 6, 256
-#: Beams: at first, and what a badly audited one is widened to at most.
-BEAM, WIDEST = 24, 192
-AUDIT_QUERIES, AUDIT_RECALL = 128, 0.98
+#: Beams: at first, and what a badly audited one is widened to at most; the mark of a shard that no beam serves.
+BEAM, WIDEST, EXACT = 24, 192, 0
+#: Audit queries of each kind and how many are compared at once, and the mean recall of a query's links that passes.
+AUDIT_QUERIES, AUDIT_BLOCK, AUDIT_RECALL = 512, 128, 0.98
 #: Queries in one block, and blocks that one task compares with one shard.
 BLOCK_ROWS, BLOCKS = 512, 256
+#: Members of a shard without a beam that a block is compared with at once.
+COMPARED = 16_384
 #: Float scores this close below the threshold are confirmed in double precision too.
 SLACK = 1e-4
 
@@ -91,23 +97,60 @@ def classes_of(vectors: DataFrame, id_column: str, vector_column: str) -> tuple[
     return rows.drop("_v"), same
 
 
-def build(rep: np.ndarray, copies: np.ndarray, raw: np.ndarray) -> tuple[bytes, int]:
-    """A shard's graph with its vectors, and the beam that passed the audit."""
+def audit_set(rep: np.ndarray, unit: np.ndarray, other_rep: np.ndarray, other: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(queries, the member that each is, or -1): members, vectors of any shard, and made ones that have a link here.
+
+    Made queries lie within the threshold of a random member, so a shard is
+    measured on links even where a sample of real vectors has none.
+    """
+    rng = np.random.default_rng(3)
+    own = rng.permutation(len(unit))[:AUDIT_QUERIES]
+    foreign = other[~np.isin(other_rep, rep)]
+    near = unit[rng.permutation(len(unit))[:AUDIT_QUERIES]].astype(np.float64)
+    away = rng.normal(size=near.shape)
+    away -= (away * near).sum(1, keepdims=True) * near
+    away /= np.maximum(np.linalg.norm(away, axis=1, keepdims=True), 1e-30)
+    c = rng.uniform(COSINE, 1, (len(near), 1))
+    made = _unit(c * near + np.sqrt(1 - c * c) * away).astype(np.float32)
+    return np.concatenate([unit[own], foreign, made]), np.concatenate([own, np.full(len(foreign) + len(made), -1)])
+
+
+def recalls(graph: Graph, queries: np.ndarray, member: np.ndarray, beam: int) -> np.ndarray:
+    """Recall of links by query, itself left out; nan for queries without links and for those whose beam is full of them."""
+    out = np.full(len(queries), np.nan)
+    for i in range(0, len(queries), AUDIT_BLOCK):
+        q, self_ = queries[i : i + AUDIT_BLOCK], member[i : i + AUDIT_BLOCK, None]
+        true = q @ graph.v.T >= COSINE
+        rows = np.flatnonzero(self_[:, 0] >= 0)
+        true[rows, self_[rows, 0]] = False
+        scores, ids = graph.search(q, beam)
+        hits = (scores >= COSINE) & (ids >= 0)
+        wanted, full = true.sum(1), hits[:, -1] & (beam < len(graph.v))
+        got = (hits & (ids != self_)).sum(1)
+        judged = (wanted > 0) & ~full
+        out[i : i + AUDIT_BLOCK][judged] = np.minimum(got[judged] / wanted[judged], 1)
+    return out
+
+
+def passing_beam(graph: Graph, queries: np.ndarray, member: np.ndarray, n_made: int) -> int:
+    """The smallest beam whose recall of links reaches ``AUDIT_RECALL`` on real and on made queries; ``EXACT`` when none does."""
+    beam = BEAM
+    while True:
+        found = recalls(graph, queries, member, beam)
+        if all(not len(x) or x.mean() >= AUDIT_RECALL for x in (part[~np.isnan(part)] for part in np.split(found, [len(found) - n_made]))):
+            return beam
+        if beam >= WIDEST:
+            return EXACT
+        beam = min(2 * beam, WIDEST)
+
+
+def build(rep: np.ndarray, copies: np.ndarray, raw: np.ndarray, other_rep: np.ndarray, other: np.ndarray) -> tuple[bytes, int]:
+    """A shard's graph with its vectors, and the beam that passed the audit (``EXACT``: none did)."""
     unit = _unit(_scaled(raw)).astype(np.float32)
     graph = Graph(unit)
-    audit = np.random.default_rng(3).permutation(len(unit))[:AUDIT_QUERIES]
-    true = unit[audit] @ unit.T >= COSINE
-    beam = BEAM
-    while beam < WIDEST:
-        scores, ids = graph.search(unit[audit], beam)
-        hits = scores >= COSINE
-        # Full beams are left to the exact path, so only the others are audited.
-        open_rows = ~hits[:, -1]
-        wanted = true[open_rows].sum()
-        if not wanted or hits[open_rows].sum() >= AUDIT_RECALL * wanted:
-            break
-        beam *= 2
-    return _pack(rep, copies, raw, graph.state()), beam
+    queries, member = audit_set(rep, unit, other_rep, other)
+    beam = passing_beam(graph, queries, member, min(AUDIT_QUERIES, len(unit)))
+    return _pack(rep, copies, raw, graph.state() if beam != EXACT else None), beam
 
 
 def _sharded(rows: DataFrame, n_shards: int) -> DataFrame:
@@ -136,10 +179,15 @@ def graphs(classes: DataFrame, n_shards: int) -> DataFrame:
     """(shard, length, beam, payload): one graph per shard and vector length."""
     dealt = _sharded(classes, n_shards).repartition(n_shards, "shard").sortWithinPartitions("shard", "length", "rep")
 
+    sample = classes.orderBy(F.xxhash64(F.lit(7), "rep"), "rep").limit(AUDIT_QUERIES).select("length", "rep", "vector").collect()
+    shared = classes.sparkSession.sparkContext.broadcast([(r.length, r.rep, r.vector) for r in sample])
+
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for (shard, length), held in _held(batches):
             rep, copies, raw = (np.concatenate(x) for x in zip(*[_matrix(b) for b in held], strict=True))
-            payload, beam = build(rep, copies, raw)
+            others = [(r, v) for n, r, v in shared.value if n == length]
+            other = np.array([v for _, v in others], np.float64).reshape(-1, length)
+            payload, beam = build(rep, copies, raw, np.array([r for r, _ in others], np.int64), _unit(_scaled(other)).astype(np.float32))
             yield pa.RecordBatch.from_pylist([{"shard": shard, "length": length, "beam": beam, "payload": payload}], schema=schema)
 
     schema = pa.schema([("shard", pa.int32()), ("length", pa.int32()), ("beam", pa.int32()), ("payload", pa.binary())])
@@ -205,20 +253,35 @@ def _rows(kind: int, a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndar
 
 def _opened(payload: bytes, beam: int) -> tuple:
     rep, copies, raw, state = pickle.loads(payload)
-    return (rep, copies, raw, Graph.restored(state)), beam
+    return (rep, copies, raw, Graph.restored(state) if beam != EXACT else _unit(_scaled(raw)).astype(np.float32)), beam
+
+
+def _compared(unit: np.ndarray, members: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(dense queries, query and member of each hit of the others) of a shard without a beam: all members are compared."""
+    q, x = [], []
+    for i in range(0, len(members), COMPARED):
+        near_q, near_x = np.nonzero(unit @ members[i : i + COMPARED].T >= COSINE - SLACK)
+        q.append(near_q)
+        x.append(near_x + i)
+    q, x = np.concatenate(q), np.concatenate(x)
+    dense = np.bincount(q, minlength=len(unit)) > BEAM
+    return np.flatnonzero(dense), q[~dense[q]], x[~dense[q]]
 
 
 def _search(shard: tuple, q_rep: np.ndarray, q_copies: np.ndarray, q_raw: np.ndarray) -> tuple:
     """Hits of a block in one shard: confirmed pairs, or a mark for each query whose beam is full of links."""
     (rep, copies, raw, graph), beam = shard
     unit = _unit(_scaled(q_raw)).astype(np.float32)
-    scores, ids = graph.search(unit, beam)
-    dense = np.flatnonzero((scores[:, -1] >= COSINE - SLACK) & (beam < len(rep)))
+    if beam == EXACT:
+        dense, q, x = _compared(unit, graph)
+    else:
+        scores, ids = graph.search(unit, beam)
+        dense = np.flatnonzero((scores[:, -1] >= COSINE - SLACK) & (beam < len(rep)))
+        near = (scores >= COSINE - SLACK) & (ids >= 0)
+        near[dense] = False
+        q, c = np.nonzero(near)
+        x = ids[q, c]
     zero = np.zeros(len(dense), np.int64)
-    near = (scores >= COSINE - SLACK) & (ids >= 0)
-    near[dense] = False
-    q, c = np.nonzero(near)
-    x = ids[q, c]
     good = rep[x] != q_rep[q]
     q, x = q[good], x[good]
     good = _cosines(q_raw[q], raw[x]) >= COSINE

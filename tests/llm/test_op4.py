@@ -77,3 +77,63 @@ def test_graph_finds_the_nearest():
     scores, ids = Graph(v).search(v, 24)
     true = np.sort(v @ v.T, axis=1)[:, ::-1][:, :5]
     assert (np.abs(scores[:, :5] - true) < 1e-4).mean() > 0.97 and (ids[:, 0] >= 0).all()
+
+
+class Leaky(Graph):
+    """Loses the links of every fifth vector, and no hit of a vector on itself."""
+
+    def search(self, queries, beam, block=256):
+        scores, ids = super().search(queries, beam, block)
+        lost = (ids % 5 == 0) & (scores < 0.9999)
+        return np.where(lost, -2, scores).astype(np.float32), np.where(lost, -1, ids)
+
+
+def shard_of_pairs():
+    """500 vectors in pairs and their neighbours in other shards."""
+    raw = clusters([3] * 250, 0.15, 7).astype(np.float64).reshape(250, 3, -1)
+    own, other = raw[:, :2].reshape(500, -1), raw[:, 2]
+    unit = (other / np.linalg.norm(other, axis=1, keepdims=True)).astype(np.float32)
+    return np.arange(500), np.ones(500, np.int64), own, np.arange(500, 750), unit
+
+
+def test_audit_sees_lost_links_past_the_hits_on_oneself(monkeypatch):
+    assert op.build(*shard_of_pairs())[1] == op.BEAM
+    monkeypatch.setattr(op, "Graph", Leaky)
+    assert op.build(*shard_of_pairs())[1] == op.EXACT
+    # The widest beam is audited too.
+    monkeypatch.setattr(op, "WIDEST", op.BEAM)
+    assert op.build(*shard_of_pairs())[1] == op.EXACT
+
+
+def test_audit_measures_a_shard_without_links(monkeypatch):
+    v = clusters([1] * 300, 0.0, 3).astype(np.float64)
+    monkeypatch.setattr(op, "Graph", Leaky)
+    assert op.build(np.arange(300), np.ones(300, np.int64), v, np.zeros(0, np.int64), np.zeros((0, 24), np.float32))[1] == op.EXACT
+
+
+def test_a_failed_shard_is_compared_exactly(monkeypatch):
+    monkeypatch.setattr(op, "Graph", Leaky)
+    monkeypatch.setattr(op, "COMPARED", 64)
+    rep, copies, raw, *others = shard_of_pairs()
+    raw[:40] = raw[0] + 1e-3 * np.arange(40)[:, None]
+    payload, beam = op.build(rep, copies, raw, *others)
+    kind, a, b, *_ = op._search(op._opened(payload, beam), rep, copies, raw)
+    unit = raw / np.linalg.norm(raw, axis=1, keepdims=True)
+    near = unit @ unit.T >= 0.9
+    dense = near.sum(1) > op.BEAM
+    np.fill_diagonal(near, False)
+    assert beam == op.EXACT and 40 <= dense.sum() < 60
+    assert set(a[kind == op._DENSE].tolist()) == set(np.flatnonzero(dense).tolist())
+    assert {(x, y) for k, x, y in zip(kind, a, b) if k == op._PAIR} == {(x, y) for x, y in zip(*np.nonzero(near)) if not dense[x]}
+
+
+def test_recall_of_vectors_with_few_links(spark):
+    df = spark.read.parquet("/root/testdata/check_s/embeddings.parquet")
+    rows = df.collect()
+    v = np.array([r.embedding for r in rows], np.float64)
+    v /= np.linalg.norm(v, axis=1, keepdims=True)
+    want = np.concatenate([(v[i : i + 500] @ v.T >= 0.9).sum(1) for i in range(0, len(v), 500)]) - 1
+    got = {r.vec_id: r.n_links for r in op.near_vectors(df).collect()}
+    few = [got[r.vec_id] / n for r, n in zip(rows, want.tolist()) if 0 < n < op.BEAM]
+    print(f"{len(few)} vectors with fewer than {op.BEAM} links: mean recall {np.mean(few):.5f}, least {min(few):.3f}")
+    assert len(few) > 500 and np.mean(few) >= 0.98
