@@ -16,7 +16,7 @@ and no pair is emitted only to be thrown away.
 
 Bounds: a family with n rows costs (n / BLOCK_ROWS)^2 / 2 block pairs; nothing is
 capped.  The expected loss is that of the signature: a pair at exactly the threshold
-(0.85) shares no key with probability below 1e-5.
+shares no key with probability below ``LOST``; thresholds at which it could are refused.
 
 Defined cases: a null or wordless text has an empty set and is linked with nothing;
 fewer than five words make one shingle; rows with a null id cannot be fetched again
@@ -28,6 +28,7 @@ Other columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -41,9 +42,9 @@ from .staging import free_name, map_texts, staged
 #: The signature: 15 chunks of 6 symbols of 16 bits.
 CHUNKS, CHUNK, ERRORS = 15, 6, 1
 SYMBOLS = CHUNKS * CHUNK
-#: Pairs farther apart than this cannot be links: at a similarity of 0.85 fewer than 1 pair in 10^9 is.
-FAR = 45
 PERCENT = 85
+#: Shares of pairs at exactly the threshold that the index may lose, and that may lie farther apart than ``far``.
+LOST, TOO_FAR = 1e-5, 1e-15
 #: A block of a family: rows, and bytes of shingle sets.
 BLOCK_ROWS, BLOCK_BYTES = 1_500, 24 << 20
 #: Bits of the broadcast filter of family members (16 MB); with more members it only lets more texts pass.
@@ -54,6 +55,22 @@ SLICE_BYTES = 1 << 20
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
+def lost_share(percent: int) -> float:
+    """Probability that a pair at a similarity of exactly ``percent`` shares no key: every chunk has too many wrong symbols."""
+    p = 1 - percent / 100
+    return (1 - sum(comb(CHUNK, i) * p**i * (1 - p) ** (CHUNK - i) for i in range(ERRORS + 1))) ** CHUNKS
+
+
+def far(percent: int) -> int:
+    """Pairs whose signatures differ in more symbols are no links: at ``percent`` fewer than ``TOO_FAR`` of all are."""
+    p, tail = 1 - percent / 100, 0.0
+    for n in range(SYMBOLS, 0, -1):
+        tail += comb(SYMBOLS, n) * p**n * (1 - p) ** (SYMBOLS - n)
+        if tail >= TOO_FAR:
+            return n
+    return 0
+
+
 def _multipliers(n: int) -> np.ndarray:
     return np.random.default_rng(20_240).integers(1, 1 << 63, n, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -227,8 +244,9 @@ def forest(sig: np.ndarray, sets: list[np.ndarray], side: np.ndarray, percent: i
     n = len(sets)
     tree, out = _Forest(n), []
     sizes = np.array([len(s) for s in sets])
+    most = far(percent)
     for i in range(n - 1):
-        near = (sig[i + 1 :] != sig[i]).sum(1) <= FAR
+        near = (sig[i + 1 :] != sig[i]).sum(1) <= most
         near &= 100 * np.minimum(sizes[i], sizes[i + 1 :]) >= percent * np.maximum(sizes[i], sizes[i + 1 :])
         if side[i] >= 0:
             near &= side[i + 1 :] != side[i]
@@ -356,6 +374,8 @@ def near_duplicates(
     row_mark: Column | None = None,
 ) -> DataFrame:
     """(id, n_shingles, component_id, kept) of every row of ``docs``, and ``row_mark`` (of ``text``) when one is given."""
+    if lost_share(percent) > LOST:
+        raise ValueError(f"the index would lose more than {LOST:g} of the pairs at {percent} %")
     marks = staged(fingerprints(docs, id_column, text_column, row_mark), "fingerprints")
     usable = marks.where("n_shingles > 0 AND _id IS NOT NULL")
     classes = staged(

@@ -103,3 +103,42 @@ def test_awkward_rows(spark):
     assert {(r.n_shingles, r.component_id, r.kept) for r in rows if r.doc_id in (0, 1, 2)} == {(0, i, True) for i in range(3)}
     assert all(r.component_id == 5 for r in rows if r.doc_id in (5, 6))
     assert op.near_duplicates(empty(spark)).count() == 0
+
+
+def linked_at(percent, rows):
+    """Component per id over all pairs at ``percent``."""
+    sets = {i: shingles(t) for i, t in rows}
+    label = {i: i for i in sets}
+    changed = True
+    near = [(x, y) for x in sets for y in sets if x < y and 100 * len(sets[x] & sets[y]) >= percent * len(sets[x] | sets[y])]
+    while changed:
+        changed = False
+        for x, y in near:
+            least = min(label[x], label[y])
+            changed |= label[x] != label[y]
+            label[x] = label[y] = least
+    return label
+
+
+def test_lower_threshold_by_brute_force(spark):
+    rng = random.Random(8)
+    rows = list(enumerate(t for _ in range(12) for t in copies(rng, 6, 250, 9)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in op.near_duplicates(docs, percent=80).collect()}
+    assert got == linked_at(80, rows) != linked_at(85, rows)
+    assert {r.doc_id for r in op.deduplicated(docs, percent=80).collect()} == {i for i, c in got.items() if i == c}
+
+
+def test_distances_follow_the_threshold():
+    assert op.far(90) < op.far(85) < op.far(80) and op.far(85) >= 45 and op.far(100) == 0
+    a, b = np.arange(90, dtype=np.uint64), np.arange(10, 100, dtype=np.uint64)
+    sig = np.zeros((2, op.SYMBOLS), np.uint16)
+    sig[1, : op.far(80)] = 1
+    assert op.forest(sig, [a, b], np.full(2, -1), 80) == [(0, 1)]
+    assert op.lost_share(80) < op.LOST < op.lost_share(60)
+
+
+def test_thresholds_that_the_index_cannot_hold_are_refused(spark):
+    docs = spark.createDataFrame([(1, "a b c")], "doc_id long, text string")
+    with pytest.raises(ValueError, match="60"):
+        op.near_duplicates(docs, percent=60)
