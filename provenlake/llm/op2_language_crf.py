@@ -34,6 +34,8 @@ from .staging import free_name, map_texts
 UNKNOWN = "und"
 #: Bounds of the training sample.
 SAMPLE_ROWS, SAMPLE_WORDS = 250, 160
+#: Languages that are learned: the most frequent values of the label column.
+MAX_LANGUAGES = 128
 #: Chains made by joining lines of two languages.
 SWITCHED = 600
 ROUNDS = 30
@@ -221,9 +223,10 @@ def label(model: Model, texts: pa.Array) -> tuple[list[str], np.ndarray]:
     shares[has] = np.add.reduceat(post, (np.cumsum(words) - words)[has], dtype=np.float64) / words[has][:, None]
     best, score = shares.argmax(1), np.minimum(shares.max(1), 1.0)
     names = [model.languages[i] for i in best.tolist()]
-    # A text whose only word bytes are signs of other scripts may still have no letter.
-    for i in np.flatnonzero(~has | (words <= 64)).tolist():
-        if not has[i] or not any(c.isalpha() for c in texts[i].as_py()):
+    # A text without an ASCII letter may have word bytes (signs of other scripts, emoji, dashes) and still no letter.
+    plain = pa.compute.fill_null(pa.compute.match_substring_regex(texts, "[A-Za-z]"), False).to_numpy(zero_copy_only=False)
+    for i in np.flatnonzero(~has | ~plain).tolist():
+        if not has[i] or not any(map(str.isalpha, texts[i].as_py())):
             names[i], score[i] = UNKNOWN, 0.0
     return names, score
 
@@ -231,20 +234,22 @@ def label(model: Model, texts: pa.Array) -> tuple[list[str], np.ndarray]:
 def learned(docs: DataFrame, allowed: Column, text_column: str = "text", lang_column: str = "lang", id_column: str = "doc_id") -> Model:
     """The model learned from a bounded sample of the allowed rows with text and language.
 
-    Counts per language come first (one row per language reaches the driver); the
-    sample then takes about ``SAMPLE_ROWS`` rows of each by a hash, and never more
-    than twice that.
+    Counts per language come first (at most ``MAX_LANGUAGES`` rows reach the driver:
+    the most frequent values of the column are the languages); the sample then takes
+    about ``SAMPLE_ROWS`` rows of each by a hash of id and text, and never more than
+    twice that.
     """
     rows = docs.where(allowed & F.col(lang_column).isNotNull() & F.col(text_column).isNotNull()).select(
         F.col(lang_column).cast("string").alias("lang"), F.col(text_column).cast("string").alias("text"), F.col(id_column).alias("_id")
     )
-    sizes = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
+    counted = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES)
+    sizes = {r["lang"]: r["count"] for r in counted.collect()}
     if not sizes:
         return fit([])
     chance = F.lit(0.0)
     for lang, n in sizes.items():
         chance = F.when(F.col("lang") == lang, F.lit(min(1.0, SAMPLE_ROWS / n))).otherwise(chance)
-    picked = rows.where(F.pmod(F.xxhash64("_id", F.lit(3)), F.lit(1 << 20)) < chance * (1 << 20)).select("lang", "text")
+    picked = rows.where(F.pmod(F.xxhash64("_id", "text", F.lit(3)), F.lit(1 << 20)) < chance * (1 << 20)).select("lang", "text")
     sample = picked.limit(2 * SAMPLE_ROWS * len(sizes)).collect()
     return fit(sorted((r["lang"], r["text"]) for r in sample))
 

@@ -6,10 +6,9 @@ score or unigram scores, and byte fallback.  Batches are encoded multithreaded.
 
 Where no piece crosses from text into a marker, a text is the concatenation of its
 space-led chunks, so workers remember chunks; new ones are encoded in one batch.
-Each new chunk is also encoded by the sentencepiece library and decoded
-again: parity and the round trip are checked for everything that occurs,
-and where the two libraries differ the ids of sentencepiece stand and are
-counted.
+The ids are those of the rebuilt tokenizer.  Each new chunk is also encoded by the
+sentencepiece library and decoded again: parity and the round trip are checked for
+everything that occurs, and chunks for which the two libraries differ are counted.
 
 Defined cases: a null text has null ids (``encoded``) and counts as empty in
 ``measured``; an empty text has no ids.  Characters outside the vocabulary become
@@ -193,10 +192,9 @@ class Encoder:
         for chunk, a, b, text in zip(new, ours, theirs, back, strict=True):
             if a != b:
                 self.differing.add(chunk)
-                text = self.library.decode(b)
             if text != chunk:
                 self.lossy.add(chunk)
-            self.known[chunk] = np.array(b, "<u4").tobytes()
+            self.known[chunk] = np.array(a, "<u4").tobytes()
 
     def encode(self, texts: list[str | None]) -> list[tuple[bytes, int, bool]]:
         """(ids, chunks that differ between the libraries, whether decoding gives the text back) of each text."""

@@ -15,6 +15,7 @@ from . import op4_hnsw_links as op4_hnsw
 from . import op5_warc_revisits as op5_revisits
 from . import op6_multi_index_hamming as op6_multi_index_hamming_join
 from . import op7_kd_shards, op8_sentencepiece, op9_token_counts, op10_quality_rules
+from . import op11_token_alignment as op11_alignment
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -184,3 +185,9 @@ def op5_warc_revisits(spark: SparkSession, sf: str) -> DataFrame:
 @query()
 def op8_sentencepiece_ids(spark: SparkSession, sf: str) -> DataFrame:
     return op8_sentencepiece.measured(table(spark, sf, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query()
+def op11_token_alignment(spark: SparkSession, sf: str) -> DataFrame:
+    a, b = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    return op11_alignment.alignments(table(spark, sf, "documents"), a, b)

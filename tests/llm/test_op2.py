@@ -64,3 +64,21 @@ def test_recognized_keeps_clear_documents(spark, table):
     )
     kept = {r.doc_id for r in op.recognized(docs).collect()}
     assert not kept & {5000, 5001} and len(kept) > 0.99 * len(table[0])
+
+
+def test_signs_of_any_number_are_no_language():
+    model = op.fit([("en", "the cat sat on the mat"), ("fr", "le chat sur la table")])
+    texts = [mark * n if n < 66 else " ".join([mark] * n) for mark in ("😀", "—", "１") for n in (1, 64, 65, 1_000, 100_000)]
+    names, score = op.label(model, pa.array(texts))
+    assert set(names) == {"und"} and not score.any()
+    # One letter far behind makes a text.
+    assert op.label(model, pa.array(["— " * 1_000 + "é", "😀 " * 70 + "the"]))[0] != ["und", "und"]
+
+
+def test_sample_of_rows_without_ids_and_with_many_labels(spark, monkeypatch):
+    monkeypatch.setattr(op, "SAMPLE_ROWS", 20)
+    monkeypatch.setattr(op, "MAX_LANGUAGES", 2)
+    rows = [(None, f"the cat number {i} sat on the mat", "en") for i in range(300)] + [(0, f"le chat {i} est sur la table", "fr") for i in range(300)]
+    rows += [(i, f"rare {i}", f"x{i}") for i in range(50)]
+    model = op.learned(spark.createDataFrame(rows, "doc_id long, text string, lang string"), ~op.held_out())
+    assert sorted(model.languages) == ["en", "fr"]

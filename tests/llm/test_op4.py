@@ -128,12 +128,13 @@ def test_a_failed_shard_is_compared_exactly(monkeypatch):
 
 
 def test_recall_of_vectors_with_few_links(spark):
-    df = spark.read.parquet("/root/testdata/check_s/embeddings.parquet")
-    rows = df.collect()
-    v = np.array([r.embedding for r in rows], np.float64)
-    v /= np.linalg.norm(v, axis=1, keepdims=True)
-    want = np.concatenate([(v[i : i + 500] @ v.T >= 0.9).sum(1) for i in range(0, len(v), 500)]) - 1
-    got = {r.vec_id: r.n_links for r in op.near_vectors(df).collect()}
-    few = [got[r.vec_id] / n for r, n in zip(rows, want.tolist()) if 0 < n < op.BEAM]
-    print(f"{len(few)} vectors with fewer than {op.BEAM} links: mean recall {np.mean(few):.5f}, least {min(few):.3f}")
+    rng = np.random.default_rng(11)
+    centres = rng.normal(size=(700, 1, 32))
+    v = np.concatenate([(centres + 0.28 * rng.normal(size=(700, 3, 32))).reshape(-1, 32), rng.normal(size=(2500, 32))]).astype(np.float32)
+    order = rng.permutation(len(v))
+    ids, v = np.arange(len(v)), v[order]
+    unit = v.astype(np.float64) / np.linalg.norm(v.astype(np.float64), axis=1, keepdims=True)
+    want = (unit @ unit.T >= 0.9).sum(1) - 1
+    got = run(spark, ids, v)
+    few = [got[i][0] / n for i, n in enumerate(want.tolist()) if 0 < n < op.BEAM]
     assert len(few) > 500 and np.mean(few) >= 0.98
