@@ -16,6 +16,7 @@ from . import op5_warc_revisits as op5_revisits
 from . import op6_multi_index_hamming as op6_multi_index_hamming_join
 from . import op7_kd_shards, op8_sentencepiece, op9_token_counts, op10_quality_rules
 from . import op11_token_alignment as op11_alignment
+from . import op12_one_bit_search as op12_search
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -23,6 +24,8 @@ ORACLES: dict[str, str] = {}
 #: Longest document that is not over the limit, in tokens.
 TOKEN_LIMIT = 1024
 SHARDS = 16
+#: Rows with an id divisible by this are the queries of the vector search.
+SEARCH_STEP = 20
 
 
 def query(sql: str | None = None):
@@ -191,3 +194,9 @@ def op8_sentencepiece_ids(spark: SparkSession, sf: str) -> DataFrame:
 def op11_token_alignment(spark: SparkSession, sf: str) -> DataFrame:
     a, b = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
     return op11_alignment.alignments(table(spark, sf, "documents"), a, b)
+
+
+@query()
+def op12_one_bit_search(spark: SparkSession, sf: str) -> DataFrame:
+    vectors = table(spark, sf, "embeddings")
+    return op12_search.nearest(vectors, op12_search.every(vectors, SEARCH_STEP))
