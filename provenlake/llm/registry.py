@@ -17,6 +17,7 @@ from . import op6_multi_index_hamming as op6_multi_index_hamming_join
 from . import op7_kd_shards, op8_sentencepiece, op9_token_counts, op10_quality_rules
 from . import op11_token_alignment as op11_alignment
 from . import op12_one_bit_search as op12_search
+from . import op13_collocations
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -200,3 +201,38 @@ def op11_token_alignment(spark: SparkSession, sf: str) -> DataFrame:
 def op12_one_bit_search(spark: SparkSession, sf: str) -> DataFrame:
     vectors = table(spark, sf, "embeddings")
     return op12_search.nearest(vectors, op12_search.every(vectors, SEARCH_STEP))
+
+
+@query(r"""
+WITH p AS (
+  SELECT row_number() OVER () AS p, lang, unnest(string_split_regex(t, '[.,;:!?\x0A-\x0D]')) AS piece FROM (
+    SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents)),
+w AS (
+  SELECT p, lang, unnest(ws) AS word, generate_subscripts(ws, 1) AS i
+  FROM (SELECT row_number() OVER () AS p, lang, list_filter(string_split_regex(piece, '[ \t]+'), lambda x: x <> '') AS ws FROM p)),
+g AS (
+  SELECT lang, word AS w1, lead(word, 1) OVER o AS w2, lead(word, 2) OVER o AS w3, lead(word, 3) OVER o AS w4
+  FROM w WINDOW o AS (PARTITION BY p ORDER BY i)),
+f AS (
+  SELECT lang, ws, count(*) AS f FROM (
+    SELECT lang, [w1] AS ws FROM g UNION ALL SELECT lang, [w1, w2] FROM g WHERE w2 IS NOT NULL
+    UNION ALL SELECT lang, [w1, w2, w3] FROM g WHERE w3 IS NOT NULL UNION ALL SELECT lang, [w1, w2, w3, w4] FROM g WHERE w4 IS NOT NULL)
+  GROUP BY lang, ws HAVING count(*) >= 30),
+c AS (SELECT lang, ws, f AS a FROM f WHERE len(ws) > 1),
+covered AS (
+  SELECT DISTINCT c.lang, c.ws FROM (
+    SELECT lang, ws[i : i + m - 1] AS ws, a AS longer FROM c, range(1, 4) s(i), range(2, 4) t(m) WHERE m < len(ws) AND i + m - 1 <= len(ws)) b
+  JOIN c ON c.lang = b.lang AND c.ws = b.ws WHERE 100 * longer >= 80 * a),
+cuts AS (
+  SELECT c.lang, c.ws, c.a, l.f AS l, r.f AS r, CAST(2000000 * a::HUGEINT // (l.f::HUGEINT + r.f) AS BIGINT) AS score, k
+  FROM (SELECT lang, ws, a, k FROM c, range(1, 4) s(k) WHERE k < len(ws)) c
+  JOIN f l ON l.lang = c.lang AND l.ws = c.ws[1 : k] JOIN f r ON r.lang = c.lang AND r.ws = c.ws[k + 1 :]),
+weakest AS (
+  SELECT lang, array_to_string(ws, ' ') AS phrase, a, l, r, score FROM (SELECT *, row_number() OVER (PARTITION BY lang, ws ORDER BY score, k) AS o FROM cuts)
+  WHERE o = 1 AND (lang, ws) NOT IN (SELECT (lang, ws) FROM covered)),
+totals AS (SELECT lang, count(*) AS n FROM w GROUP BY lang)
+SELECT lang, rank, phrase, a, l, r, n, score
+FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM weakest) JOIN totals USING (lang) WHERE rank <= 2000
+""")
+def op13_collocations_external_streams(spark: SparkSession, sf: str) -> DataFrame:
+    return op13_collocations.collocations(table(spark, sf, "documents"))
