@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import fixed_values as fixed
 from .checks import rule_violations, unique_key_violations
 from .ordering import running_before
+from .skyline import pareto_frontier  # noqa: F401
 
 
 def is_true(column: Column) -> Column:

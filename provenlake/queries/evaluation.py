@@ -202,6 +202,38 @@ def pareto_frontier(spark, sf):
     return vw.pareto_pair(order_metrics(spark, sf), "o_custkey", "cycles", "cost")
 
 
+def _not_dominated(group: str, metrics: list[str]) -> str:
+    at_most = " AND ".join(f"b.{m} <= a.{m}" for m in metrics)
+    less = " OR ".join(f"b.{m} < a.{m}" for m in metrics)
+    names = ", ".join(metrics)
+    return f"""
+WITH m AS (
+  SELECT {group}, CAST(round(l_extendedprice * 100) AS BIGINT) AS cost, CAST(l_quantity AS BIGINT) AS area, 100 - CAST(round(l_discount * 100) AS BIGINT) AS effort,
+    CAST(epoch(l_shipdate) AS BIGINT) // 86400 AS cycles FROM lineitem),
+t AS (SELECT {group}, {names}, count(*) AS rows FROM m GROUP BY ALL)
+SELECT * FROM t a WHERE NOT EXISTS (SELECT 1 FROM t b WHERE a.{group} = b.{group} AND {at_most} AND ({less}))"""
+
+
+def _line_metrics(spark, sf):
+    cents = lambda c: F.round(F.col(c) * 100).cast("bigint")
+    return table(spark, sf, "lineitem").select(
+        "l_suppkey", "l_returnflag", cents("l_extendedprice").alias("cost"), F.col("l_quantity").cast("bigint").alias("area"),
+        (F.lit(100) - cents("l_discount")).cast("bigint").alias("effort"),
+        F.floor(F.col("l_shipdate").cast("timestamp").cast("bigint") / 86400).alias("cycles"),
+    )
+
+
+@query(_not_dominated("l_returnflag", ["cost", "effort", "cycles"]))
+def pareto_frontier_three_metrics(spark, sf):
+    """Three groups that hold all line items."""
+    return vw.pareto_frontier(_line_metrics(spark, sf), "l_returnflag", ["cost", "effort", "cycles"])
+
+
+@query(_not_dominated("l_suppkey", ["cost", "area", "effort", "cycles"]))
+def pareto_frontier_four_metrics(spark, sf):
+    return vw.pareto_frontier(_line_metrics(spark, sf), "l_suppkey", ["cost", "area", "effort", "cycles"])
+
+
 @query("""
 WITH m AS (SELECT o_custkey, CAST(round(o_totalprice * 100) AS BIGINT) AS cost FROM orders WHERE o_orderstatus = 'F')
 SELECT o_custkey, CAST(0.5 AS DOUBLE) AS quantile, quantile_disc(cost, 0.5) AS value FROM m GROUP BY o_custkey
