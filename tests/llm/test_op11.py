@@ -94,9 +94,10 @@ def test_whole_table_by_brute_force(spark):
 
 def test_ends_inside_characters():
     # A character of four bytes in three tokens: the spans only tell that they share it.
-    assert op.ends([(0, 1), (1, 5), (1, 5), (1, 5), (5, 6)], [b" ", b"\xf0\x9f", b"\x98", b"\x80", b"x"]) == [1, 3, 4, 5, 6]
-    groups, links = op.align([1, 2, 3], [2, 3, 5], [7, 8], [3, 5])
-    assert groups == [([1, 2], [7]), ([3], [8])] and links == [(1, 7), (2, 7), (3, 8)]
+    spans = np.array([(0, 1), (1, 5), (1, 5), (1, 5), (5, 6), (6, 9), (6, 9)])
+    lengths = np.array([1, 2, 1, 1, 1, 1, 2])
+    first, base = np.array([0, 0, 0, 0, 0, 5, 5]), np.array([0, 0, 0, 0, 0, 6, 6])
+    assert op.ends(spans, lengths, first, base).tolist() == [1, 3, 4, 5, 6, 7, 9]
 
 
 def test_empty_table(spark):
@@ -108,15 +109,22 @@ def test_a_full_memo_starts_anew(monkeypatch):
     monkeypatch.setattr(op, "LONGEST", 6)
     texts = [t for t in [*TEXTS, *MORE] if t is None or len(t) < 10_000] * 2
     batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], ["_id", "text"])
-    parts = [p.to_pydict() for p in op._counted(op.Aligner(A, B), [batch])]
-    counts = Counter()
-    for p in parts:
-        counts.update(dict(zip(p["pair"], p["n"])))
+    monkeypatch.setattr(op, "SLICE_BYTES", 100)
+    aligner = op.Aligner(A, B)
+    rows, counts, flushes, before = [], Counter(), 0, False
+    for part in op._aligned(aligner, [batch], pa.int64()):
+        pairs = part.column("_row").null_count > 0
+        flushes, before = flushes + (pairs and not before), pairs
+        if pairs:
+            for pair, n in zip(part.column("pair").to_pylist(), part.column("n").to_pylist()):
+                counts[pair] += n
+        else:
+            rows.append(part)
     keys = np.array(sorted(counts))
     n = np.array([counts[k] for k in keys.tolist()])
     best = {}
     for k, c in counts.items():
         best[k & 0xFFFFFFFF] = max(best.get(k & 0xFFFFFFFF, 0), c)
-    scores = op._Scores(op.Aligner(A, B), keys, n, np.array([counts[k] == best[k & 0xFFFFFFFF] for k in keys.tolist()]))
-    (got,) = op._measured(scores, [batch])
-    assert [tuple(r[c] for c in [*op._COLUMNS, "groups_sha256"]) for r in got.to_pylist()] == brute(texts) and len(parts) > 2
+    rated = op._rated(rows, aligner.kind, keys, n, np.array([counts[k] == best[k & 0xFFFFFFFF] for k in keys.tolist()]))
+    names = ["n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"]
+    assert [tuple(r[c] for c in names) for p in rated for r in p.to_pylist()] == brute(texts) and flushes > 2
