@@ -46,7 +46,7 @@ from .staging import small_batches, staged
 LONGEST, LEAST, COVER, TOP = 4, 30, 80, 2_000
 UNKNOWN = "und"
 #: Bytes of text whose phrases are summed together.
-GATHERED = 16 << 20
+GATHERED = 4 << 20
 #: Bits of the broadcast filter of frequent phrases (16 MB); with more phrases it only lets more pass.
 FILTER_BITS = 1 << 27
 #: Rows of a stream that one task holds.
