@@ -363,7 +363,8 @@ def opcode_name(opcode: Column) -> Column:
 
 
 def ordinal_name(prefix: str, index: Column) -> Column:
-    return F.format_string(f"{prefix}-%04d", index)
+    digits = index.cast("string")
+    return F.concat(F.lit(f"{prefix}-"), F.when(index < 10_000, F.lpad(digits, 4, "0")).otherwise(digits))
 
 
 # --- text forms ----------------------------------------------------------------------

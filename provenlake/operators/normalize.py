@@ -42,15 +42,44 @@ def _by_cycle(steps: Column) -> Column:
     )
 
 
-def histogram(items: Column) -> Column:
-    """Map of each distinct item to its count, in key order."""
-    keys = F.array_sort(F.array_distinct(items))
-    return F.map_from_entries(
-        F.transform(
-            keys,
-            lambda k: F.struct(k.alias("key"), F.size(F.filter(items, lambda x: x == k)).cast("bigint").alias("value")),
+def _let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once, however often the body uses it."""
+    return F.transform(F.array(value), body)[0]
+
+
+def runs(items: Column) -> Column:
+    """Entries (key, value) of each distinct item and its count, in key order; null items are not counted.
+
+    One pass over the sorted list marks where runs begin, one over the runs measures them.
+    """
+    def of_runs(ordered: Column, starts: Column) -> Column:
+        stop = lambda k: F.coalesce(F.get(starts, k + 1), F.size(ordered) + 1)
+        return F.transform(
+            starts, lambda at, k: F.struct(F.element_at(ordered, at).alias("key"), (stop(k) - at).cast("bigint").alias("value"))
         )
-    )
+
+    def counted(ordered: Column) -> Column:
+        places = F.when(F.size(ordered) > 0, F.sequence(F.lit(1), F.size(ordered))).otherwise(F.array().cast("array<int>"))
+        opens = lambda at: (at == 1) | (F.element_at(ordered, at) != F.element_at(ordered, F.greatest(at - 1, F.lit(1))))
+        return _let(F.filter(places, opens), lambda starts: of_runs(ordered, starts))
+
+    return _let(F.array_sort(F.filter(items, lambda x: x.isNotNull())), counted)
+
+
+def histogram(items: Column) -> Column:
+    """Map of each distinct item to its count, in key order; null items are not counted."""
+    return F.when(items.isNotNull(), F.map_from_entries(runs(items)))
+
+
+def opcode_histogram(opcodes: Column) -> Column:
+    """Map of instruction names to counts: opcodes are counted as numbers, and named once each."""
+    first: dict[str, int] = {}
+    for symbol, name in fixed.OPCODE_NAMES.items():
+        first.setdefault(name, ord(symbol))
+    # Symbols of one instruction are counted as its first one.
+    one = lambda op: F.coalesce(*[F.when(op == ord(s), F.lit(first[n])) for s, n in fixed.OPCODE_NAMES.items() if ord(s) != first[n]], op)
+    named = F.transform(runs(F.transform(opcodes, one)), lambda e: F.struct(opcode_name(e["key"]).alias("key"), e["value"].alias("value")))
+    return F.map_from_entries(F.array_sort(named))
 
 
 def grouped_histogram(rows: DataFrame, group: str, item: str, name: str = "histogram") -> DataFrame:
@@ -111,26 +140,29 @@ def normalize_solutions(
             ordinal_name("part", e["i"]).alias("arm_id"), _by_cycle(e["p"]["instructions"]).alias("instructions")
         ),
     )
+    # Counts are taken from the decoded structure, so that no normalized column is worked out twice.
+    raw = F.col("parsed.parts")
+    is_track = lambda p: p["name"] == "track"
+    opcodes = F.flatten(F.transform(raw, lambda p: F.transform(p["instructions"], lambda s: s["opcode"])))
+    total = lambda size: F.aggregate(raw, F.lit(0).cast("bigint"), lambda a, p: a + size(p))
+    summaries = F.struct(
+        F.size(raw).cast("bigint").alias("part_count"),
+        F.size(F.filter(raw, is_track)).cast("bigint").alias("track_count"),
+        total(lambda p: F.when(is_track(p), F.size(p["track_offsets"])).otherwise(0)).alias("track_hex_count"),
+        F.size(F.filter(raw, lambda p: F.size(p["instructions"]) > 0)).cast("bigint").alias("program_count"),
+        total(lambda p: F.size(p["instructions"])).alias("instruction_count"),
+        histogram(F.transform(raw, lambda p: p["name"])).alias("part_type_histogram"),
+        opcode_histogram(opcodes).alias("opcode_histogram"),
+    )
     rows = rows.select(
         F.col(solution_id).alias("solution_id"),
         F.col(puzzle_id).alias("puzzle_id"),
         parts.alias("parts"),
         tracks.alias("tracks"),
         programs.alias("programs"),
+        summaries.alias("summaries"),
         normalization_error(F.col("parsed")).alias("error"),
     )
-    opcodes = F.flatten(F.transform("programs", lambda p: F.transform(p["instructions"], lambda s: s["opcode"])))
-    summaries = F.struct(
-        F.size("parts").cast("bigint").alias("part_count"),
-        F.size("tracks").cast("bigint").alias("track_count"),
-        F.aggregate(
-            "tracks", F.lit(0).cast("bigint"), lambda a, t: a + F.size(t["coordinates"])
-        ).alias("track_hex_count"),
-        F.size("programs").cast("bigint").alias("program_count"),
-        F.size(opcodes).cast("bigint").alias("instruction_count"),
-        histogram(F.transform("parts", lambda p: p["type"])).alias("part_type_histogram"),
-        histogram(opcodes).alias("opcode_histogram"),
-    )
     return rows.select(
         normalized_id(F.col("solution_id"), F.col("puzzle_id"), F.lit(version)).alias("normalized_solution_id"),
         "solution_id",
@@ -139,7 +171,7 @@ def normalize_solutions(
         "parts",
         "tracks",
         "programs",
-        summaries.alias("summaries"),
+        "summaries",
         "error",
     )
 

@@ -18,13 +18,15 @@ SESSION_CONF = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.parquet.compression.codec": "zstd",
+    # The JVM never compiles methods of more bytecode; plans beyond it run faster in split projections.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Turn on the adaptive settings in a session that was made elsewhere."""
+    """Turn on the adaptive and code generation settings in a session that was made elsewhere."""
     for key, value in SESSION_CONF.items():
-        if key.startswith("spark.sql.adaptive."):
+        if key.startswith(("spark.sql.adaptive.", "spark.sql.codegen.")):
             spark.conf.set(key, value)
     return spark
 
