@@ -52,7 +52,7 @@ STAGES = [
     ("packing", packing),
 ]
 
-#: Fields, graphs and packing cannot be said in SQL; tests/llm/test_pipeline.py holds the stages against brute force.
+#: Fields, graphs and packing cannot be said in SQL; tests/llm/test_corpus_pipeline.py holds the stages against brute force.
 ORACLE_SQL = None
 
 
