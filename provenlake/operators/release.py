@@ -11,7 +11,6 @@ from ..functions import fixed_values as fixed
 from ..functions.canonical import normalized_id, row_id
 from .checks import (
     missing_references,
-    reference_violations,
     rule_violations,
     set_difference,
     single_valued,
@@ -19,6 +18,7 @@ from .checks import (
     unique_key_violations,
     violations_where,
 )
+from .presence import parent, presence_violations, reference, references
 from .verify import artifact_violations, verification_rules
 
 METRICS = ["cost", "cycles", "area", "instructions"]
@@ -147,6 +147,20 @@ def observation_violations(
         **table_rules("observations"),
         "observation_id does not match its body": F.col("observation_id") == F.col("_id"),
     }
+    path, key = "observations", "observation_id"
+    return union_all(
+        [
+            rule_violations(typed, rules, path, key, "observation_invalid"),
+            unique_key_violations(observations, key, path),
+            observation_reference_violations(observations, inventory, puzzle_artifacts, solution_artifacts),
+        ]
+    )
+
+
+def observation_reference_violations(
+    observations: DataFrame, inventory: DataFrame, puzzle_artifacts: DataFrame, solution_artifacts: DataFrame
+) -> DataFrame:
+    """The artifact of an observation, in the table that its kind names, of its puzzle and its bytes; else its puzzle."""
     known = (
         puzzle_artifacts.select(F.lit("puzzle").alias("artifact_kind"), "artifact_id", "puzzle_id", "sha256")
         .unionByName(
@@ -160,8 +174,6 @@ def observation_violations(
     path, key = "observations", "observation_id"
     return union_all(
         [
-            rule_violations(typed, rules, path, key, "observation_invalid"),
-            unique_key_violations(observations, key, path),
             violations_where(bound, F.col("_sha").isNull(), "observation_unknown_artifact", F.col("artifact_id"), path, key),
             violations_where(
                 bound, F.col("_sha").isNotNull() & ~F.col("puzzle_id").eqNullSafe(F.col("_puzzle")),
@@ -177,24 +189,26 @@ def observation_violations(
 
 
 def provenance_violations(definitions: DataFrame, observations: DataFrame, puzzle_artifacts: DataFrame) -> DataFrame:
-    """Definition provenance (array reference), artifact binding and unobserved puzzle artifacts."""
+    """Definition provenance (array reference), artifact binding and unobserved puzzle artifacts, in one shuffle."""
     links = definitions.select("puzzle_id", F.explode("source_observation_ids").alias("observation_id"))
-    facts = observations.select("observation_id", F.col("puzzle_id").alias("_puzzle"), F.lit(True).alias("_known"))
-    joined = links.join(facts, "observation_id", "left")
-    bound = definitions.select("puzzle_id", F.explode("puzzle_artifact_ids").alias("artifact_id"), F.lit(True).alias("_bound"))
-    owned = puzzle_artifacts.select("artifact_id", "puzzle_id").join(bound, ["puzzle_id", "artifact_id"], "left")
-    unseen = missing_references(puzzle_artifacts, "artifact_id", observations.where("artifact_id IS NOT NULL"), "artifact_id")
-    return union_all(
+    bound = definitions.select("puzzle_id", F.explode("puzzle_artifact_ids").alias("artifact_id"))
+    pair = F.to_json(F.struct("puzzle_id", "artifact_id"))
+    return presence_violations(
         [
-            violations_where(joined, F.col("_known").isNull(), "definition_observation_missing", F.col("observation_id"), "definitions", "puzzle_id"),
-            violations_where(
-                joined, F.col("_known") & ~F.col("_puzzle").eqNullSafe(F.col("puzzle_id")),
-                "definition_observation_other_puzzle", F.col("observation_id"), "definitions", "puzzle_id",
-            ),
-            violations_where(owned, F.col("_bound").isNull(), "artifact_unbound", F.col("puzzle_id"), "puzzle_artifacts", "artifact_id"),
-            violations_where(unseen, F.lit(True), "artifact_unobserved", "no observation", "puzzle_artifacts", "artifact_id"),
-        ]
-    )
+            parent(observations, "observation", "observation_id", "puzzle_id"), parent(bound, "bound", pair),
+            parent(observations, "observed", "artifact_id"),
+        ],
+        [
+            references(links, "definitions", "puzzle_id", [reference(
+                "observation", "observation_id", ("definition_observation_missing", F.col("observation_id")), "puzzle_id",
+                ("definition_observation_other_puzzle", F.col("observation_id")), every=True,
+            )]),
+            references(puzzle_artifacts, "puzzle_artifacts", "artifact_id", [
+                reference("bound", pair, ("artifact_unbound", F.col("puzzle_id"))),
+                reference("observed", "artifact_id", ("artifact_unobserved", "no observation")),
+            ]),
+        ],
+    )
 
 
 def solution_lineage_violations(
@@ -409,25 +423,32 @@ def collection_violations(tables: Mapping[str, DataFrame], collection_id: str) -
 
 
 def integrity_violations(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """The six reference rules between the release tables, and the same-puzzle rule."""
+    """The six reference rules between the release tables, and the same-puzzle rule, in one shuffle."""
+    def unknown(label: str, column: str) -> tuple[str, Column]:
+        shown = F.coalesce(F.col(column).cast("string"), F.lit("None"))
+        return "referential_integrity", F.concat(F.lit(f"references unknown {label} "), shown)
+
     puzzles, solutions = tables["puzzles"], tables["solutions"]
     artifacts = puzzles.select("puzzle_id", F.explode("puzzle_artifact_ids").alias("artifact_id"))
-    seen = tables["observations"].where("NOT (source_role <=> 'metadata' AND artifact_id IS NULL)")
-    other = solutions.join(
-        artifacts.select(F.col("artifact_id").alias("puzzle_artifact_id"), F.col("puzzle_id").alias("_owner")).distinct(),
-        "puzzle_artifact_id",
-    ).groupBy("solution_id", "puzzle_id").agg(F.max(F.col("_owner") == F.col("puzzle_id")).alias("own"))
-    return union_all(
+    other = ("puzzle_artifact_other_puzzle", "artifact belongs to another puzzle")
+    bare = F.coalesce((F.col("source_role") == "metadata") & F.col("artifact_id").isNull(), F.lit(False))
+    return presence_violations(
+        [parent(puzzles, "puzzle", "puzzle_id"), parent(artifacts, "artifact", "artifact_id", "puzzle_id"), parent(solutions, "solution", "solution_id")],
         [
-            reference_violations(solutions, "puzzle_id", puzzles, "puzzle_id", "puzzle", "solutions", "solution_id"),
-            reference_violations(solutions, "puzzle_artifact_id", artifacts, "artifact_id", "puzzle artifact", "solutions", "solution_id"),
-            reference_violations(tables["normalized"], "solution_id", solutions, "solution_id", "solution", "normalized", "normalized_solution_id"),
-            reference_violations(tables["normalized"], "puzzle_id", puzzles, "puzzle_id", "puzzle", "normalized", "normalized_solution_id"),
-            reference_violations(seen.where("artifact_kind = 'solution'"), "artifact_id", solutions, "solution_id", "solution", "observations", "observation_id"),
-            reference_violations(seen.where("artifact_kind = 'puzzle'"), "artifact_id", artifacts, "artifact_id", "puzzle artifact", "observations", "observation_id"),
-            violations_where(other, ~F.col("own"), "puzzle_artifact_other_puzzle", "artifact belongs to another puzzle", "solutions", "solution_id"),
-        ]
-    )
+            references(solutions, "solutions", "solution_id", [
+                reference("puzzle", "puzzle_id", unknown("puzzle", "puzzle_id")),
+                reference("artifact", "puzzle_artifact_id", unknown("puzzle artifact", "puzzle_artifact_id"), "puzzle_id", other),
+            ]),
+            references(tables["normalized"], "normalized", "normalized_solution_id", [
+                reference("solution", "solution_id", unknown("solution", "solution_id")),
+                reference("puzzle", "puzzle_id", unknown("puzzle", "puzzle_id")),
+            ]),
+            references(tables["observations"].where(~bare), "observations", "observation_id", [
+                reference("solution", "artifact_id", unknown("solution", "artifact_id"), when=F.col("artifact_kind") == "solution"),
+                reference("artifact", "artifact_id", unknown("puzzle artifact", "artifact_id"), when=F.col("artifact_kind") == "puzzle"),
+            ]),
+        ],
+    )
 
 
 def identity_violations(verifications: DataFrame, normalized: DataFrame) -> DataFrame:

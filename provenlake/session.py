@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -77,3 +78,15 @@ def checkpointed(df: DataFrame) -> DataFrame:
 def settled(*frames: DataFrame) -> list[DataFrame]:
     """A stage boundary: every table written once, plans restart from the files."""
     return [checkpointed(df) for df in frames]
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once as Parquet to the shared folder and read back.
+
+    Unlike a checkpoint the result has a measured size, so a small one is broadcast by
+    Spark's own threshold without shuffling what it is joined with.
+    """
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/stored-{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
