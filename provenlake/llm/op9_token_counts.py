@@ -5,74 +5,90 @@ once; tier two is a memo in each Python worker, filled by encoding what the tabl
 misses.  Pre-tokens never leave the task that reads their text: the only thing
 that moves is the table, whose size is a parameter.
 
-The table only saves time.  It is counted on at most ``SAMPLE_ROWS`` documents;
-every text is counted whole, and a pre-token that the table lacks is encoded by
-the library's model.
+The table only saves time: a pre-token that it lacks is encoded by the library's model.
+It is counted over all documents without a shuffle of their pre-tokens.  Every task keeps
+a summary of bounded size: counts of what it has seen, of which the rare half goes
+whenever there are ``SEEN`` different ones (lossy counting, so a frequent pre-token is
+never lost).  It gives back its ``TABLE_SIZE`` most frequent ones, and Spark sums these.
+
+Characters outside a tested repertoire (``SAFE``), and special strings, go to the library
+with the chunk that holds them: a text is cut at single spaces between other signs, where
+no pre-token ends or begins otherwise, and only the chunks concerned leave the two tiers.
+Their counts are remembered too.
 
 Defined cases: null or empty text: 0 bytes, 0 tokens.  Special strings inside a
 text count as the library's default does (one token).  Repeated rows and repeated
-or null ids: one result row each.  Characters outside a tested repertoire: the
-library encodes that text whole.  Other columns are ignored.
+or null ids: one result row each.  Other columns are ignored.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Callable
+from collections import Counter
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .staging import map_texts
+from .staging import map_texts, small_batches
 from .tokens import UNSAFE, stand_in, tokenizer
 
 #: Longest table that is broadcast (pre-tokens); at about 12 characters each it stays below 1 MB.
 TABLE_SIZE = 32_768
-SAMPLE_ROWS = 2_000
-#: Pre-tokens that one worker remembers.
-MEMO_SIZE = 500_000
+#: Different pre-tokens that a task's summary holds at most.
+SEEN = 262_144
+#: Pre-tokens that one worker remembers, and chunks for the library of at most ``LONGEST`` characters.
+MEMO_SIZE, LONGEST = 500_000, 64
 
 #: Fixed value: the pre-token pattern of byte-level BPE, for texts of safe characters.
 PRE_TOKEN = r"'s|'t|'re|'ve|'m|'ll|'d| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+"
+#: A single space between two other signs: both sides are pre-tokens of their own, the space belongs to the second.
+_CUT = re.compile(r"(?<=\S) (?=\S)")
 
 
 def special_strings(path: str) -> list[str]:
     return sorted(t.content for t in tokenizer(path).get_added_tokens_decoder().values())
 
 
-def frequent_lengths(docs: DataFrame, path: str, size: int = TABLE_SIZE, rows: int = SAMPLE_ROWS) -> dict[str, int]:
-    """Lengths of the most frequent pre-tokens of a bounded sample, counted in Spark.
-
-    The sample is spread by hash over the table; counts are combined before the
-    shuffle and only the ``size`` most frequent reach the driver.
-    """
-    total = docs.count()
-    if not total:
-        return {}
-    # Twice the expected share passes the filter, so that ``limit`` decides and the bound holds.
-    share = int(min(1.0, 2 * rows / total) * (1 << 32))
-    sample = docs.where(F.pmod(F.xxhash64("_id"), F.lit(1 << 32)) < share).select("text").limit(rows)
-
-    pattern = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{Nd}+| ?[^\s\p{L}\p{Nd}]+|\s"
-    common = (
-        sample.select(F.explode(F.regexp_extract_all("text", F.lit(pattern), F.lit(0))).alias("piece"))
-        .groupBy("piece").count()
-        .orderBy(F.desc("count"), "piece").limit(size)
-    )
-    model, pre = tokenizer(path).model, re.compile(PRE_TOKEN)
-    table = {}
-    for (piece,) in common.select("piece").collect():
-        # Only what the helper's own pattern would cut out in one piece may enter the table.
-        if not UNSAFE.search(piece) and pre.fullmatch(piece):
-            table[piece] = len(model.tokenize(stand_in(piece)))
-    return table
+def _frequent(texts: Iterable[str | None], size: int, seen: int) -> Counter:
+    """The most frequent pre-tokens of the texts' safe chunks, from a summary of at most ``seen`` counts."""
+    cut, counts = re.compile(PRE_TOKEN).findall, Counter()
+    for text in texts:
+        if text:
+            counts.update(cut(text if not UNSAFE.search(text) else "".join(_chunks(text)[0])))
+            if len(counts) > seen:
+                counts = Counter(dict(counts.most_common(seen // 2)))
+    return Counter(dict(counts.most_common(size)))
+
+
+def frequent_lengths(docs: DataFrame, path: str, size: int = TABLE_SIZE, seen: int = SEEN) -> dict[str, int]:
+    """Lengths of the most frequent pre-tokens of all documents (``text``); at most ``size`` rows a task are shuffled or reach the driver."""
+    small_batches(docs.sparkSession)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = _frequent((t for b in batches for t in b.column("text").to_pylist()), size, seen)
+        yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.string()), pa.array(list(found.values()), pa.int64())], ["piece", "n"])
+
+    common = docs.select("text").mapInArrow(run, "piece string, n long").groupBy("piece").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "piece").limit(size)
+    model = tokenizer(path).model
+    return {piece: len(model.tokenize(stand_in(piece))) for piece in common.select("piece").toArrow().column("piece").to_pylist()}
+
+
+def _chunks(text: str, specials: tuple[str, ...] = ()) -> tuple[list[str], list[str]]:
+    """(safe chunks, chunks for the library) of a text; every chunk but the first begins with its space."""
+    parts = _CUT.split(text)
+    safe, hard = [], []
+    for chunk in [parts[0], *[" " + p for p in parts[1:]]]:
+        (hard if UNSAFE.search(chunk) or any(s in chunk for s in specials) else safe).append(chunk)
+    return safe, hard
 
 
 def counter(path: str, table: dict[str, int]) -> Callable[[str], int]:
     """The function that counts one text, with its own memo above ``table``."""
     library = tokenizer(path)
-    model, specials = library.model, special_strings(path)
+    model, specials = library.model, tuple(special_strings(path))
+    chunk_lengths: dict[str, int] = {}
     cut = re.compile(PRE_TOKEN).findall
 
     class Lengths(dict):
@@ -88,10 +104,22 @@ def counter(path: str, table: dict[str, int]) -> Callable[[str], int]:
     def count(text: str | None) -> int:
         if not text:
             return 0
-        if UNSAFE.search(text) or any(s in text for s in specials):
-            return len(library.encode(text, add_special_tokens=False).ids)
-        return sum(map(length, cut(text)))
-
+        if not UNSAFE.search(text) and not any(s in text for s in specials):
+            return sum(map(length, cut(text)))
+        safe, hard = _chunks(text, specials)
+        # Chunks end where pre-tokens do, so those that are safe are one text again.
+        total = sum(map(length, cut("".join(safe))))
+        new = list(dict.fromkeys(c for c in hard if c not in chunk_lengths))
+        own = {c: len(e.ids) for c, e in zip(new, library.encode_batch(new, add_special_tokens=False), strict=True)}
+        count.sent += sum(map(len, new))
+        total += sum(own[c] if c in own else chunk_lengths[c] for c in hard)
+        if len(chunk_lengths) + len(own) > MEMO_SIZE:
+            chunk_lengths.clear()
+        chunk_lengths.update((c, n) for c, n in own.items() if len(c) <= LONGEST)
+        return total
+
+    #: Characters that went to the library whole.
+    count.sent = 0
     return count
 
 

@@ -1,3 +1,6 @@
+import re
+from collections import Counter
+
 import public_tokenizers
 from cases import TEXTS, documents, empty
 from tokenizers import Tokenizer
@@ -34,3 +37,33 @@ def test_table_does_not_change_counts():
 
 def test_empty_table(spark):
     assert op.token_counts(empty(spark), PATH).count() == 0
+
+
+def test_only_chunks_of_other_scripts_go_to_the_library(spark):
+    library = Tokenizer.from_file(PATH)
+    rows = [r.text for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").limit(200).collect()]
+    marks = ["10 €", "Brand™", "Москва", "東京", "日本 語", "😀", "a<|endoftext|>b", "  —  x", "\u3000y", "naïve ²", "ﬁ's"]
+    texts = []
+    for i, t in enumerate(rows):
+        words = t.split(" ")
+        for k in range(i % 40, len(words), 40):
+            words.insert(k, marks[(i + k) % len(marks)])
+        texts.append(" ".join(words))
+    count = op.counter(PATH, {})
+    assert [count(t) for t in texts] == [len(library.encode(t, add_special_tokens=False).ids) for t in texts]
+    share = count.sent / sum(map(len, texts))
+    print(f"{share:.4f} of the characters went to the library")
+    assert 0 < share < 0.05
+
+
+def test_table_counts_all_documents(spark, monkeypatch):
+    texts = ["alpha beta beta", "beta gamma Москва beta", None, ""] * 50 + [f"rare{i} word{i}" for i in range(300)] + ["delta " * 400]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string").repartition(3)
+    want = Counter(x for t in texts if t for x in re.findall(op.PRE_TOKEN, t.replace(" Москва", "")))
+    table = op.frequent_lengths(docs, PATH, size=5)
+    assert set(table) == {p for p, _ in want.most_common(5)} or len(table) == 5
+    assert {" beta", " delta", "alpha"} <= set(table)
+    # A summary that is cut many times still holds what is frequent.
+    assert {" beta", " delta"} <= set(op.frequent_lengths(docs, PATH, size=4, seen=40))
+    library = Tokenizer.from_file(PATH)
+    assert all(n == len(library.encode(p, add_special_tokens=False).ids) for p, n in table.items())
