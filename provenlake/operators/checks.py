@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import stored
+
 VIOLATION = T.StructType(
     [
         T.StructField("code", T.StringType()),
@@ -133,17 +135,30 @@ def unique_key_violations(df: DataFrame, key: str, path: str, tolerate_identical
     return invalid.unionByName(repeated)
 
 
+def _digests(columns: Sequence[str]) -> list[Column]:
+    """128 bits of a tuple as two longs; a null differs from every value, also by its place."""
+    parts = [x for c in columns for x in (F.col(c), F.col(c).isNull())]
+    return [F.xxhash64(F.lit(salt), *parts) for salt in (0, 1)]
+
+
 def dependency_conflicts(df: DataFrame, keys: Sequence[str], dependents: Sequence[str]) -> DataFrame:
     """Keys whose rows disagree on the dependent columns; null is a key value.
 
-    The lowest and the highest dependent tuple differ exactly when there is more
-    than one, so two combined aggregates replace a distinct count.
+    Agreement is settled by a hash aggregate, combined in the tasks: the extremes of two
+    64-bit hashes of the dependent tuple are equal when there is one tuple.  Only the keys
+    that disagree are written, and their rows met again for the exact lowest and highest
+    tuple; a table that holds its dependencies is neither sorted nor shuffled twice.
     """
-    tuple_ = F.struct(*[F.col(c) for c in dependents])
-    return (
-        df.groupBy(*keys)
-        .agg(F.min(tuple_).alias("lowest"), F.max(tuple_).alias("highest"), F.count(F.lit(1)).alias("n"))
-        .where(~F.col("lowest").eqNullSafe(F.col("highest")))
+    ends = [f(h).alias(f"_{n}{i}") for i, h in enumerate(_digests(dependents)) for n, f in (("low", F.min), ("high", F.max))]
+    found = df.groupBy(*keys).agg(*ends, F.count(F.lit(1)).alias("n")).where("_low0 <> _high0 OR _low1 <> _high1")
+    found = stored(found.select(*[F.col(k).alias(f"_key{i}") for i, k in enumerate(keys)], "n"), "conflicts")
+    same = F.lit(True)
+    for i, k in enumerate(keys):
+        same = same & F.col(f"_rows.{k}").eqNullSafe(F.col(f"_found._key{i}"))
+    met = df.select(*keys, *[c for c in dependents if c not in keys]).alias("_rows").join(found.alias("_found"), same)
+    tuple_ = F.struct(*[F.col(f"_rows.{c}") for c in dependents])
+    return met.groupBy(*[F.col(f"_rows.{k}") for k in keys]).agg(
+        F.min(tuple_).alias("lowest"), F.max(tuple_).alias("highest"), F.max("n").alias("n")
     )
 
 

@@ -4,7 +4,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from provenlake.operators import release
+from provenlake.operators import checks, release
 from provenlake.operators.presence import parent, presence_violations, reference, references
 
 
@@ -77,3 +77,25 @@ def test_scopes(spark):
     each = references(children, "t", "k", [reference("s", "id", ("missing", F.col("id")), "scope", ("other", F.col("scope")), every=True)])
     got = sorted((r.row_key, r.code) for r in presence_violations([parent(parents, "s", "id", "scope")], [each]).collect())
     assert got == sorted([("1", "other"), ("2", "other"), *[("3", "other")] * 2, *[("4", "other")] * 2, ("6", "other"), ("7", "missing"), ("8", "missing")])
+
+
+def test_dependencies_are_settled_without_sorting(spark):
+    rng = random.Random(3)
+    rows = [(rng.choice([None, *range(40)]), rng.randrange(3), None if k % 9 == 0 else "x", rng.choice(["a", "a", "b", None]) if k % 4 == 0 else "a") for k in range(600)]
+    df = spark.createDataFrame(rows, "k int, j int, x string, y string").repartition(4)
+    by_key = {}
+    for k, j, x, y in rows:
+        by_key.setdefault((k, j), []).append((x, y))
+    want = {key: len(ts) for key, ts in by_key.items() if len(set(ts)) > 1}
+    found = checks.dependency_conflicts(df, ["k", "j"], ["x", "y"])
+    got = found.collect()
+    assert {(r.k, r.j): r.n for r in got} == want and 0 < len(want) < len(by_key)
+    order = lambda t: tuple((v is not None, v or "") for v in t)
+    for r in got:
+        ts = sorted(by_key[r.k, r.j], key=order)
+        assert (tuple(r.lowest), tuple(r.highest)) == (ts[0], ts[-1])
+    # Rows of keys that agree are not shuffled again: the written keys are broadcast.
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    swapped = spark.createDataFrame([(1, None, "a"), (1, "a", None)], "k int, x string, y string")
+    assert checks.dependency_conflicts(swapped, ["k"], ["x", "y"]).count() == 1
