@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,6 +29,28 @@ def schema_sha256(table: str) -> str:
     return hashlib.sha256(SCHEMA_DDL[table].encode()).hexdigest()
 
 
+def json_sha256(value: object) -> str:
+    """Hash of the canonical JSON of a small value."""
+    text = json.dumps(value, sort_keys=True, separators=(",", ":"), ensure_ascii=False, default=str)
+    return hashlib.sha256(text.encode("utf-8")).hexdigest()
+
+
+def source_digest(spark: SparkSession, path: str) -> str:
+    """Identity of a file or folder of lines: the multiset of (file name, line).
+
+    Lines are hashed where they are read, so files of any size are split over tasks;
+    the order of lines, which no release table depends on, does not count.
+    """
+    lines = spark.read.text(path).select(F.col("_metadata.file_name").alias("name"), "value")
+    return digest.multiset_digest(lines, row_json=F.concat("name", F.lit("\u0000"), "value")).first()["digest"]
+
+
+def source_violations(spark: SparkSession, folder: str, sources: dict[str, str]) -> list[tuple[str, str]]:
+    """(code, table) of sources that are not those the manifest of a release commits to."""
+    tables = sinks.read_json_record(spark, f"{folder}/release-manifest.json")["tables"]
+    return [("source_changed", t) for t, path in sources.items() if tables.get(t, {}).get("source_digest") != source_digest(spark, path)]
+
+
 def logical_release_hash(manifest: dict) -> str:
     """Hash of the manifest without physical file hashes and without itself."""
     logical = {k: v for k, v in manifest.items() if k != "logical_release_sha256"}
@@ -73,9 +96,13 @@ def release_violations(
 def build_release(
     spark: SparkSession, tables: dict[str, DataFrame], inventory: DataFrame, folder: str, collection_id: str,
     metadata: dict, payload_policy: str = "metadata-only", coverage_policy: str = "complete", shards: int | None = None,
+    config: dict | None = None, sources: dict[str, str] | None = None,
 ) -> dict:
     """Check, write and describe a release; returns its manifest.
 
+    The manifest commits to what the release was made from: ``config`` (settings of the
+    build, any JSON value), ``metadata``, and ``sources`` (table: path of its JSON lines).
+
     Totals of the coverage go into the manifest, coverage per puzzle into its own
     table, so the manifest stays one small record at any inventory size.
     """
@@ -90,6 +117,7 @@ def build_release(
             "parquet_paths": paths,
             "parquet_sha256": shard_digests(spark, folder, paths),
             **table_digest(stored, table),
+            **({"source_path": os.path.basename(sources[table].rstrip("/")), "source_digest": source_digest(spark, sources[table])} if sources else {}),
         }
     solutions, verified = tables["solutions"], F.col("verified")
     by_key = coverage.coverage_by_key(inventory, solutions, "puzzle_id", verified)
@@ -104,6 +132,8 @@ def build_release(
         "payload_policy": payload_policy,
         "coverage_policy": coverage_policy,
         "release_metadata": {**metadata, "coverage": totals},
+        "release_metadata_sha256": json_sha256({**metadata, "coverage": totals}),
+        "build_config_sha256": json_sha256(config or {}),
         "tables": entries,
     }
     manifest["logical_release_sha256"] = logical_release_hash(manifest)
@@ -123,6 +153,8 @@ def validate_release(spark: SparkSession, folder: str, inventory: DataFrame, col
         found.append(("collection_hash_mismatch", "release-manifest.json"))
     if set(manifest["tables"]) != set(fixed.RELEASE_TABLES):
         return [*found, ("release_configs_invalid", "release-manifest.json")]
+    if json_sha256(manifest["release_metadata"]) != manifest["release_metadata_sha256"]:
+        found.append(("release_metadata_hash_mismatch", "release-manifest.json"))
     if logical_release_hash(manifest) != manifest["logical_release_sha256"]:
         found.append(("logical_release_hash_mismatch", "release-manifest.json"))
     tables = {}

@@ -1,5 +1,6 @@
 """Landed files to a validated release, with corruption and determinism checks."""
 
+import hashlib
 import json
 import pathlib
 
@@ -372,3 +373,27 @@ def test_dump_reconcile(spark, tmp_path):
     assert codes == {("mapping_outside_collection", "om.puzzle.0009"), ("mapping_path_invalid", "om.puzzle.0009"), ("mapping_path_invalid", "om.puzzle.0002")}
     found, lost = files.mapped_files(table, landed.withColumn("upstream_path", F.concat(F.lit("puzzles/"), "upstream_path")))
     assert [r.puzzle_id for r in found.collect()] == ["om.puzzle.0001"] and lost.count() == 2
+
+
+def test_manifest_commits_to_sources_config_and_metadata(spark, built, tmp_path):
+    made, verifications, inventory = built
+    sinks.write_release_lines(made, str(tmp_path / "in"))
+    sources = {t: f"{tmp_path}/in/{t}.jsonl" for t in made}
+    metadata, out = plan.derived_metadata(made, verifications), str(tmp_path / "out")
+    manifest = plan.build_release(spark, made, inventory, out, COLLECTION, metadata, "include-permitted", "subset", config={"compression": "zstd"}, sources=sources)
+    assert manifest["tables"]["solutions"]["source_path"] == "solutions.jsonl"
+    assert manifest["build_config_sha256"] == hashlib.sha256(b'{"compression":"zstd"}').hexdigest()
+    assert plan.validate_release(spark, out, inventory, COLLECTION) == [] and plan.source_violations(spark, out, sources) == []
+    part = next(pathlib.Path(sources["solutions"]).glob("part-*"))
+    text = part.read_text()
+    pathlib.Path(part.parent, f".{part.name}.crc").unlink(missing_ok=True)
+    part.write_text(text.replace('"cost":', '"cost": ', 1))
+    assert plan.source_violations(spark, out, sources) == [("source_changed", "solutions")]
+    record = pathlib.Path(out, "release-manifest.json")
+    target = next(record.glob("part-*")) if record.is_dir() else record
+    pathlib.Path(target.parent, f".{target.name}.crc").unlink(missing_ok=True)
+    changed = json.loads(target.read_text())
+    changed["release_metadata"]["verifier_revision"] = "other"
+    changed["logical_release_sha256"] = plan.logical_release_hash(changed)
+    target.write_text(json.dumps(changed))
+    assert ("release_metadata_hash_mismatch", "release-manifest.json") in plan.validate_release(spark, out, inventory, COLLECTION)
