@@ -46,7 +46,7 @@ from .staging import small_batches, staged
 LONGEST, LEAST, COVER, TOP = 4, 30, 80, 2_000
 UNKNOWN = "und"
 #: Bytes of text whose phrases are summed together.
-GATHERED = 4 << 20
+GATHERED = 2 << 20
 #: Bits of the broadcast filter of frequent phrases (16 MB); with more phrases it only lets more pass.
 FILTER_BITS = 1 << 27
 #: Rows of a stream that one task holds.
@@ -74,7 +74,7 @@ def words_of(texts: pa.Array) -> tuple[pa.DictionaryArray, np.ndarray, np.ndarra
     offsets = np.concatenate([[0], np.cumsum(stop - start)]).astype(np.int64)
     buffers = [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(_LOWER[data[inside]]))]
     words = pa.Array.from_buffers(pa.large_string(), len(start), buffers).dictionary_encode()
-    return words, np.cumsum(kind == 2)[start], np.searchsorted(ends, start, side="right")
+    return words, np.cumsum(kind == 2, dtype=np.int32)[start], np.searchsorted(ends, start, side="right")
 
 
 def _hashes(values: pa.Array) -> np.ndarray:
