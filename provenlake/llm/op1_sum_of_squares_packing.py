@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .staging import map_texts, staged
+from .staging import free_name, map_texts, staged
 from .tokens import UNSAFE, Worker, stand_in, tokenizer
 
 CAPACITY = 4096
@@ -128,7 +128,8 @@ def sum_of_squares(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.n
 
     ``count[g]`` open bins have gap g.  An item of length s moves one bin from gap g
     to g - s, which changes the sum of squares by 2 (count[g-s] - count[g]) + 2; full
-    bins do not count; a new bin adds 2 count[capacity-s] + 1.
+    bins do not count; a new bin adds 2 count[capacity-s] + 1.  An exact gap is always taken: it
+    closes a bin, whatever the sums elsewhere.
     """
     count = np.zeros(capacity + 1, np.int64)
     open_bins: list[list[int]] = [[] for _ in range(capacity + 1)]
@@ -195,16 +196,18 @@ def _pack_groups(rows: DataFrame, capacity: int, n_groups: int, order: list[str]
 
 
 def packed(parts: DataFrame, capacity: int = CAPACITY, group_rows: int = GROUP_ROWS) -> DataFrame:
-    """``parts`` (with ``length`` and a tie order of the other columns) with ``sequence_id`` and ``offset``.
+    """``parts`` (a written table with ``length`` and a tie order of the other columns) with ``sequence_id`` and ``offset``.
 
-    Full pieces are sequences of their own and take no part in the search.
+    Full pieces are sequences of their own and take no part in the search.  The row's place in the
+    written table is part of what it is dealt by, so equal rows spread over all groups.
     """
-    order = [c for c in parts.columns if c != "length"]
-    small = parts.where(F.col("length") < capacity)
+    salt = free_name(parts, "_row")
+    order = [*[c for c in parts.columns if c != "length"], salt]
+    small = parts.where(F.col("length") < capacity).withColumn(salt, F.monotonically_increasing_id())
     groups = max(1, -(-small.count() // group_rows))
     first = staged(_pack_groups(small, capacity, groups, order, 0), "packed")
     loose = F.col("_filled") < capacity * (1 - LOOSE)
-    again = first.where(loose).select(*parts.columns)
+    again = first.where(loose).select(*parts.columns, salt)
     groups = max(1, -(-first.where(loose).count() // group_rows))
     second = _pack_groups(again, capacity, groups, order, 1)
     # Full pieces read a written table, whose splits are the same when a task is repeated; negative numbers are theirs.

@@ -92,3 +92,15 @@ def test_near_the_fewest_sequences(spark):
 
 def test_empty_table(spark):
     assert op.pack_documents(empty(spark), PATH).count() == 0
+
+
+def test_equal_rows_spread_over_groups(spark):
+    rows = spark.range(100_000).selectExpr("CAST(NULL AS BIGINT) AS doc_id", "'one text for all of them' AS text")
+    placed = op.pack_documents(rows, PATH, group_rows=2_000).selectExpr("length", "offset", "sequence_id", "(sequence_id & (1L << 61) - 1) >> 24 AS part").collect()
+    assert len(placed) == 100_000
+    # Groups of 2,000 such rows hold 3.4 sequences each; what is left of them is packed once more.
+    assert check_layout(placed, op.CAPACITY) <= 1.05 * -(-sum(r.length for r in placed) // op.CAPACITY)
+    sizes = defaultdict(int)
+    for r in placed:
+        sizes[r.part] += 1
+    assert max(sizes.values()) < 2 * 2_000
