@@ -20,8 +20,10 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+from bisect import bisect_left
 from collections.abc import Callable
 from functools import lru_cache
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -284,13 +286,20 @@ def _plausible(kind: int, text: str) -> bool:
 def added_spans(text: str, runs: list[tuple[int, int, int]], base: list[Span]) -> list[Span]:
     """Spans of decoded runs (byte start, kind, byte stop) that hold their kind and touch no base span."""
     out, raw = [], text.encode()
-    for a, kind, b in runs:
-        start = len(raw[:a].decode())
+    starts = sorted((s, e) for s, _, e in base)
+    # Farthest end of the base spans up to each one, so that one search answers whether any is touched.
+    reach = list(accumulate((e for _, e in starts), max))
+    starts = [s for s, _ in starts]
+    at = before = 0
+    for a, kind, b in sorted(runs):
+        before += len(raw[at:a].decode())
+        at, start = a, before
         piece = raw[a:b].decode()
         left = len(piece) - len(piece.lstrip(_TRIM.replace("(", "") if kind == 3 else _TRIM))
         piece = piece[left:].rstrip(_TRIM + ".")
         start, end = start + left, start + left + len(piece)
-        if piece and _plausible(kind, piece) and not any(s < end and start < e for s, _, e in base):
+        met = bisect_left(starts, end)
+        if piece and not (met and reach[met - 1] > start) and _plausible(kind, piece):
             out.append((start, kind, end))
     return out
 

@@ -111,3 +111,19 @@ def test_awkward_rows_and_redaction(spark):
     docs = spark.createDataFrame([(1, "to a@b.co or 10.0.0.1, é", 3), (2, None, None), (3, "clean", 5)], "doc_id long, text string, n_chars long")
     got = {r.doc_id: (r.text, r.n_chars) for r in op.redacted(docs).collect()}
     assert got == {1: ("to [EMAIL] or [IP], é", 21), 2: (None, None), 3: ("clean", 5)}
+
+
+def test_added_spans_touch_no_base_span():
+    """Against a comparison with every base span, in a text of 100,000 lines."""
+    line = "é call (555) 123-4567 or +1 (555) 123-4567 or mail a@b.co now\n"
+    n = 100_000
+    text, size = line * n, len(line.encode())
+    at = {word: len(line[: line.index(word)].encode()) for word in ("(555)", "+1")}
+    runs = [(i * size + at["(555)"], 3, i * size + at["(555)"] + 14) for i in range(n)]
+    runs += [(i * size + at["+1"], 3, i * size + at["+1"] + 17) for i in range(n)]
+    base = op.base_spans(line)
+    many = [(a + i * len(line), k, b + i * len(line)) for i in range(n) for a, k, b in base]
+    start = line.index("(555)")
+    found = op.added_spans(text, runs, many)
+    assert found == [(start + i * len(line), 3, start + 14 + i * len(line)) for i in range(n)]
+    assert any(k == 3 for _, k, _ in base)
