@@ -2,8 +2,8 @@
 
 Every line is judged by itself.  It fails by punctuation (a long line without any,
 or one that shouts), by navigation (its words are mostly symbols or separators)
-or as boilerplate (a known phrase, or a copy of an earlier line).  Failures are
-removed; a document that loses too large a share of its words, or that breaks a
+or as boilerplate (known phrases that fill a share of it, or a copy of an earlier
+line).  Failures are removed; a document that loses too large a share of its words, or that breaks a
 base rule, is rejected.
 
 A text stays in its row: words, windows and lines are arrays of that row, so
@@ -46,6 +46,9 @@ BOILERPLATE = (
     "enable javascript", "javascript is disabled", "lorem ipsum", "click here to", "sign up for our newsletter",
     "skip to content", "skip to main content", "back to top",
 )
+#: A line fails when the words of the known phrases in it are at least this share of its words; a
+#: phrase inside a long line of running text does not matter.
+MIN_PHRASE_WORDS = 0.25
 #: A document is rejected when its removed lines hold more than this share of its words.
 MAX_LOST_WORDS = 0.5
 
@@ -123,7 +126,7 @@ def line_fails(line: Column, earlier: Column, phrases: Column, symbols: Column,
 
     return (
         earlier
-        | (phrases & has_phrase(line))
+        | (phrases & has_phrase(line) & (phrase_words(line) >= F.size(words_of(line)) * MIN_PHRASE_WORDS))
         | ((symbols | shouts | ~line.rlike(SENTENCE_MARKS)) & let(F.size(words_of(line)), by_words))
     )
 
@@ -135,20 +138,54 @@ def has_phrase(text: Column) -> Column:
     return found
 
 
-def measured(text: Column) -> Column:
-    """One struct with the base counts and the line verdicts of a text."""
+def phrase_words(line: Column) -> Column:
+    """Words of the known phrases that the line holds, each phrase once."""
+    total = F.lit(0)
+    for phrase in BOILERPLATE:
+        total = total + F.when(F.contains(F.lower(line), F.lit(phrase)), len(phrase.split())).otherwise(0)
+    return total
+
+
+def copies(lines: Column) -> Column:
+    """Of each line, by its place, whether an equal one comes before it: two sorts, whatever repeats."""
+    by_text = F.sort_array(F.transform(lines, lambda line, i: F.struct(line.alias("line"), i.alias("i"))))
+    return let(
+        by_text,
+        lambda p: F.transform(
+            F.sort_array(
+                F.transform(p, lambda x, j: F.struct(x["i"].alias("i"), ((j > 0) & (F.get(p, j - 1)["line"] == x["line"])).alias("copy")))
+            ),
+            lambda x: x["copy"],
+        ),
+    )
+
+
+def measured(text: Column, with_text: bool = True) -> Column:
+    """One struct with the base counts, the line verdicts and, if wanted, the cleaned text."""
 
     def with_flags(t: Column, x: Column, distinct: Column) -> Column:
         words, lines, n_symbols = x["words"], x["lines"], x["symbols"]
 
-        def fails(line: Column, i: Column) -> Column:
-            # Place of the first equal line, only looked up when some line repeats.
-            earlier = (distinct < F.size(lines)) & (F.array_position(lines, line) <= i)
-            return line_fails(line, earlier, x["phrases"], n_symbols > 0, x["shouts"])
-
+        def judged(copy: Column) -> Column:
+            return F.transform(
+                lines,
+                lambda line, i: F.struct(
+                    line.alias("line"),
+                    line_fails(line, F.coalesce(F.get(copy, i), F.lit(False)), x["phrases"], n_symbols > 0, x["shouts"]).alias("fails"),
+                ),
+            )
+
+        def texts(verdicts: Column, failed: bool) -> Column:
+            some = F.filter(verdicts, lambda v: v["fails"] if failed else ~v["fails"])
+            return F.transform(some, lambda v: v["line"])
+
+        # Copies are only looked for where some line repeats.
+        some_copies = F.when(distinct < F.size(lines), copies(lines))
+        verdicts = let(some_copies, judged)
+        both = let(verdicts, lambda v: F.struct(texts(v, True).alias("bad"), *([texts(v, False).alias("good")] if with_text else [])))
         return let(
-            F.filter(lines, fails),
-            lambda bad: F.struct(
+            both,
+            lambda b: let(b["bad"], lambda bad: F.struct(
                 F.size(words).cast("long").alias("n_words"),
                 F.length(F.array_join(words, "")).cast("long").alias("word_chars"),
                 n_symbols.cast("long").alias("n_symbols"),
@@ -156,10 +193,8 @@ def measured(text: Column) -> Column:
                 repeated_words(windows(words)).cast("long").alias("n_repeat_words"),
                 F.size(bad).cast("long").alias("n_bad_lines"),
                 F.when(F.size(bad) > 0, F.size(words_of(F.array_join(bad, "\n")))).otherwise(F.lit(0)).cast("long").alias("n_lost_words"),
-                F.when(
-                    F.size(bad) > 0, F.array_join(F.filter(lines, lambda line, i: ~fails(line, i)), "\n")
-                ).otherwise(t).alias("clean_text"),
-            ),
+                *([F.when(F.size(bad) > 0, F.array_join(b["good"], "\n")).otherwise(t).alias("clean_text")] if with_text else []),
+            )),
         )
 
     return let(
@@ -192,7 +227,7 @@ def kept(m: Column) -> Column:
 
 def quality(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """Counts and verdict of every document, without its text."""
-    rows = docs.select(F.col(id_column), measured(F.col(text_column)).alias("_measured"))
+    rows = docs.select(F.col(id_column), measured(F.col(text_column), with_text=False).alias("_measured"))
     m = F.col("_measured")
     return rows.select(
         F.col(id_column), *[m[c].alias(c) for c in VERDICTS], base_failed(m).alias("base_failed"), kept(m).alias("kept")

@@ -50,7 +50,7 @@ def op9_token_counts_two_tier(spark: SparkSession, sf: str) -> DataFrame:
 
 
 _SPACE, _SYMBOL = op10_quality_rules.SPACE, op10_quality_rules.SYMBOLS
-_PHRASES = " OR ".join(f"contains(lower(line), '{p}')" for p in op10_quality_rules.BOILERPLATE)
+_PHRASES = " + ".join(f"CASE WHEN contains(lower(line), '{p}') THEN {len(p.split())} ELSE 0 END" for p in op10_quality_rules.BOILERPLATE)
 
 
 @query(rf"""
@@ -69,11 +69,11 @@ lines AS (
   FROM (SELECT r, unnest(ls) AS line, generate_subscripts(ls, 1) AS i FROM (SELECT r, string_split(t, chr(10)) AS ls FROM d))
   WHERE regexp_matches(line, '[^{_SPACE}]')),
 judged AS (
-  SELECT r, n, copy, copy > 1 OR {_PHRASES}
+  SELECT r, n, copy, copy > 1 OR (phrase_words > 0 AND phrase_words >= n * {op10_quality_rules.MIN_PHRASE_WORDS})
     OR len(regexp_extract_all(line, '(?:^|[{_SPACE}]){_SYMBOL}|{_SYMBOL}(?:$|[{_SPACE}])')) > n * {op10_quality_rules.MAX_SYMBOL_WORDS}
     OR (n >= {op10_quality_rules.MIN_SHOUT} AND len(regexp_extract_all(line, '!!(?:$|[{_SPACE}])')) > n * {op10_quality_rules.MAX_SHOUT_WORDS})
     OR (n >= {op10_quality_rules.MIN_UNPUNCTUATED} AND NOT regexp_matches(line, '{op10_quality_rules.SENTENCE_MARKS}')) AS bad
-  FROM lines),
+  FROM (SELECT *, {_PHRASES} AS phrase_words FROM lines)),
 counted AS (
   SELECT r, count(*) FILTER (WHERE copy > 1) AS dup, count(*) FILTER (WHERE bad) AS bad, coalesce(sum(n) FILTER (WHERE bad), 0) AS lost FROM judged GROUP BY r),
 base AS (

@@ -72,3 +72,17 @@ def test_query_equals_its_sql(spark):
 def test_main_path_has_no_python(spark):
     plan = op.quality(documents(spark))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Exchange" not in plan
+
+
+def test_phrases_fail_only_lines_that_they_fill(spark):
+    text = "The new privacy policy of the town was read aloud in the square, and everyone who heard it had an opinion."
+    short = "Privacy policy | Terms of use"
+    (row,) = op.clean_documents(spark.createDataFrame([(1, f"{text}\n{short}")], "doc_id long, text string")).collect()
+    assert row.text == text
+
+
+def test_many_lines_with_copies(spark):
+    lines = [f"This is sentence number {i}, and it says so." for i in range(100_000)]
+    lines[70_000:70_003] = lines[:3]
+    (row,) = op.quality(spark.createDataFrame([(1, "\n".join(lines))], "doc_id long, text string")).collect()
+    assert row.n_dup_lines == row.n_bad_lines == 3 and row.n_lost_words == 27
