@@ -17,6 +17,7 @@ from ..operators.checks import assert_clean, multiset_difference, union_all
 from ..operators.normalize import normalize_solutions
 from ..session import checkpointed, settled
 from ..sources import sinks
+from ..sources.files import content_table
 from ..sources.tables import SCHEMA_DDL, read_release_parquet, release_schema, row_json
 from .facts import coverage_gate, puzzle_facts, solution_facts
 
@@ -236,8 +237,10 @@ def run_pipeline(
 
     Verdicts come from a supplied table (solution_id + verdict) or from a verifier
     called inside tasks.  Python stages are checkpointed, so losing an executor
-    later repeats neither decoding nor verification.
+    later repeats neither decoding nor verification.  The objects are read once, into a
+    table bucketed by digest that every step meets by key.
     """
+    objects = content_table(objects)
     puzzles = puzzle_facts(receipts, objects, inventory, external_claims, external_observations)
     solutions = solution_facts(receipts, objects, inventory)
     assert_clean(union_all([puzzles.violations, solutions.violations, coverage_gate(puzzles)]))

@@ -8,6 +8,7 @@ from ..functions import canonical as c
 from ..operators import checks, digest, ingest, release
 from ..operators.eligibility import select_by_priority
 from ..operators.ordering import global_row_number, text_key
+from ..sources import files
 from ..sources.sinks import plan_receipt_append
 from .common import FOLDED_SQL, RIGHTS_SQL, document_candidates, document_rights, query, table
 
@@ -86,6 +87,22 @@ def source_count(spark, sf):
     return release.source_counts(seen)
 
 
+@query("""
+SELECT doc_id, sha256(text) AS sha256, CAST(strlen(text) AS BIGINT) AS byte_length, md5(text) AS content_md5
+FROM documents WHERE text IS NOT NULL""")
+def content_by_digest(spark, sf):
+    """Every document's bytes, met by digest in a store that holds each text once."""
+    docs = table(spark, sf, "documents").where("text IS NOT NULL").select("doc_id", F.sha2("text", 256).alias("sha256"), "text")
+    first = docs.groupBy("sha256").agg(F.min("doc_id").alias("doc_id"))
+    objects = docs.join(first.select("doc_id"), "doc_id", "left_semi").select(
+        c.object_key(F.col("sha256")).alias("object_key"), F.octet_length("text").cast("bigint").alias("byte_length"),
+        "sha256", F.col("text").cast("binary").alias("content"),
+    )
+    return docs.select("doc_id", "sha256").join(files.content_table(objects), "sha256").select(
+        "doc_id", "sha256", "byte_length", F.md5("content").alias("content_md5")
+    )
+
+
 @query("""
 SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem
 GROUP BY l_orderkey, l_linenumber

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import re
 import tomllib
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,6 +24,7 @@ from ..operators.checks import (
 from ..operators.coverage import rollup_counts
 from ..operators.ordering import number_in_buckets, numbered_lines, sequence_violations
 from ..operators.pairing import mapped_receipts, posix, stem, suffix
+from ..session import checkpoint_dir
 
 RECEIPT_SCHEMA = T.StructType(
     [
@@ -54,6 +57,38 @@ def read_objects(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
+def content_table(objects: DataFrame, buckets: int | None = None) -> DataFrame:
+    """``objects`` written once as a table bucketed and sorted by ``sha256``.
+
+    The object store is read and hashed once, and bytes are dealt once, by their digest.  Later
+    joins on ``sha256`` move only the narrow side, and plans that need no bytes read the measured
+    facts alone.  Rows stay as they are: an object under a wrong key, stored twice or of a null
+    digest is there again.  ``buckets`` is best about the bytes of the store over 256 MB; without it
+    the number of shuffle partitions is taken.
+    """
+    spark = objects.sparkSession
+    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    name = f"{_content_prefix(spark)}{uuid.uuid4().hex}"
+    path = f"{checkpoint_dir(spark).rstrip('/')}/stored-{spark.sparkContext.applicationId}/{name}"
+    # Dealt by the same hash as the buckets, so every task writes one file.
+    dealt = objects.select("object_key", "byte_length", "sha256", "content").repartition(n, "sha256")
+    dealt.write.format("parquet").bucketBy(n, "sha256").sortBy("sha256").option("path", path).saveAsTable(name)
+    return spark.table(name)
+
+
+def _content_prefix(spark: SparkSession) -> str:
+    return f"content_{re.sub('[^0-9a-z]', '_', spark.sparkContext.applicationId.lower())}_"
+
+
+def drop_content_tables(spark: SparkSession) -> None:
+    """Drop this application's content tables and their files; results that read them must be written before."""
+    configuration = spark._jsc.hadoopConfiguration()
+    for entry in spark.catalog.listTables(pattern=f"{_content_prefix(spark)}*"):
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{checkpoint_dir(spark).rstrip('/')}/stored-{spark.sparkContext.applicationId}/{entry.name}")
+        spark.sql(f"DROP TABLE {entry.name}")
+        path.getFileSystem(configuration).delete(path, True)
+
+
 def file_digest_violations(spark: SparkSession, expected: DataFrame) -> DataFrame:
     """Pinned-hash check of a list of files.  expected: path, sha256; a missing file is a violation too."""
     # Folders are listed once each and joined with the wanted paths; other files in them are pruned before they are read.
