@@ -122,16 +122,20 @@ def artifact_observation_links(artifacts: DataFrame, observations: DataFrame) ->
     return packed(found, ["artifact_id", "puzzle_id"], "observation_id", "observation_ids"), violations
 
 
-def artifact_claims(decoded: DataFrame, links: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Long claims of decoded puzzle artifacts, and the decode failures."""
+def artifact_claims(decoded: DataFrame, links: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """Long claims of decoded puzzle artifacts, and the decode failures.
+
+    Without ``links`` the decoded rows hold puzzle_id and observation_ids themselves.
+    """
     checked = decoded.withColumn(
         "error", F.coalesce("error", F.when(F.col("parsed").isNotNull(), puzzle_semantics_error(F.col("parsed"))))
     )
     failures = violations_where(
         checked, F.col("error").isNotNull(), "puzzle_decode_failed", F.col("error"), "puzzle_artifacts", "artifact_id"
     )
+    good = checked.where("error IS NULL")
     claims = (
-        checked.where("error IS NULL").join(links, "artifact_id")
+        (good if links is None else good.join(links, "artifact_id"))
         .select(
             "puzzle_id", "observation_ids", F.col("artifact_id").alias("puzzle_artifact_id"),
             F.explode(decoded_claims(F.col("parsed"))).alias("c"),
