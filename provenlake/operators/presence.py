@@ -5,6 +5,8 @@ aggregate, combined in the tasks, keeps whether a parent is there and the extrem
 64-bit hashes of the scopes on both sides.  Ids that are known, and whose scopes all agree,
 are settled by that.  Only the other ids, the suspects, are written and meet rows again
 (few are broadcast by their measured size): their references are fetched, and where a scope is in question it is compared with the parents' own scopes.
+Where suspects are too many to be broadcast, their bits in at most 16 MB are, and rows that
+cannot be references of a suspect are left out before the others are shuffled.
 So a clean table costs one shuffle of one row per id and task, however often an id is used.
 
 A reference without an id refers to nothing that can be known.  A scope asks that the parent
@@ -54,6 +56,31 @@ def references(rows: DataFrame, path: str, row_key: Column | str, made: Sequence
     return listed.select(F.lit(path).alias("path"), "row_key", "r.*")
 
 
+#: Suspects up to this number meet rows without a filter (Spark broadcasts about twice as many).
+FEW = 1_000_000
+#: Bitmaps of 4 KB that hold the bits of all suspects, 16 MB in all.
+BITMAPS = 4096
+
+
+def _place() -> Column:
+    """Number of the bit of a (space, id)."""
+    return F.pmod(F.xxhash64("space", "id"), F.lit(BITMAPS * 32768))
+
+
+def possible(rows: DataFrame, suspects: DataFrame) -> DataFrame:
+    """``rows`` without those that refer to no suspect; some of the others remain, and are left to a join.
+
+    Bits of the suspects are gathered by a combined aggregate; their broadcast has a fixed bound.
+    """
+    at = _place()
+    bits = suspects.groupBy(F.bitmap_bucket_number(at).alias("_bitmap")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(at)).alias("_bits"))
+    position = F.bitmap_bit_position(at)
+    byte = F.conv(F.hex(F.substring("_bits", (position / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    placed = rows.withColumn("_bitmap", F.bitmap_bucket_number(at))
+    held = placed.join(F.broadcast(bits), "_bitmap").where(F.getbit(byte, (position % 8).cast("int")) == 1)
+    return held.select(*rows.columns)
+
+
 def presence_violations(parents: Sequence[DataFrame], children: Sequence[DataFrame]) -> DataFrame:
     """Violations of the references of ``children`` (of ``references``) to ``parents`` (of ``parent``)."""
     known, asked = union_all(list(parents)), union_all(list(children))
@@ -75,8 +102,14 @@ def presence_violations(parents: Sequence[DataFrame], children: Sequence[DataFra
     suspects = stored(suspects, "suspects")
     shown = [f.name for f in VIOLATION.fields]
     nameless = asked.where("id IS NULL").select(*shown)
+    if suspects.count() > FEW:
+        asked = possible(asked, suspects)
+    # Details mostly end in the id, which travels as the key already.
+    ends = F.coalesce(F.endswith("detail", "id"), F.lit(False))
+    head = F.when(ends, F.left("detail", F.length("detail") - F.length("id"))).otherwise(F.col("detail"))
+    unknown = asked.select("space", "id", "code", head.alias("detail"), ends.alias("ends"), "path", "row_key").join(suspects.where("NOT known"), ["space", "id"])
+    missing = unknown.withColumn("detail", F.when(F.col("ends"), F.concat("detail", "id")).otherwise(F.col("detail"))).select(*shown)
     met = asked.join(suspects, ["space", "id"])
-    missing = met.where("NOT known").select(*shown)
     owners = known.where("scoped").join(suspects.where("known"), ["space", "id"], "left_semi").select("space", "id", F.col("scope").alias("own"))
     doubtful = met.where("known AND scoped").drop("known").withColumnRenamed("scope", "asked")
     same = F.col("asked").eqNullSafe(F.col("own"))
