@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import fixed_values as fixed
-from ..functions.canonical import canonical_json_of, normalized_id
+from ..functions.canonical import normalized_id
 from ..functions.nested import opcode_name, ordinal_name
 
 
@@ -28,7 +30,9 @@ def _parameters(part: Column) -> Column:
         "arm_number": part["arm_number"],
     }
     piped = {**base, "conduit_id": part["conduit_id"], "conduit_offsets": part["conduit_offsets"]}
-    return F.when(part["conduit_id"].isNotNull(), canonical_json_of(piped)).otherwise(canonical_json_of(base))
+    # Numbers alone hold no control characters, so their JSON is canonical as it is.
+    text = lambda fields: F.to_json(F.struct(*[fields[name].alias(name) for name in sorted(fields)]), {"ignoreNullFields": "false"})
+    return F.when(part["conduit_id"].isNotNull(), text(piped)).otherwise(text(base))
 
 
 def _by_cycle(steps: Column) -> Column:
@@ -37,7 +41,7 @@ def _by_cycle(steps: Column) -> Column:
         steps, lambda s, i: F.struct(s["cycle"].alias("cycle"), i.alias("i"), s["opcode"].alias("opcode"))
     )
     return F.transform(
-        F.array_sort(placed),
+        F.sort_array(placed),
         lambda s: F.struct(s["cycle"].cast("bigint").alias("cycle"), opcode_name(s["opcode"]).alias("opcode")),
     )
 
@@ -63,7 +67,7 @@ def runs(items: Column) -> Column:
         opens = lambda at: (at == 1) | (F.element_at(ordered, at) != F.element_at(ordered, F.greatest(at - 1, F.lit(1))))
         return _let(F.filter(places, opens), lambda starts: of_runs(ordered, starts))
 
-    return _let(F.array_sort(F.filter(items, lambda x: x.isNotNull())), counted)
+    return _let(F.sort_array(F.filter(items, lambda x: x.isNotNull())), counted)
 
 
 def histogram(items: Column) -> Column:
@@ -106,61 +110,60 @@ def normalization_error(parsed: Column) -> Column:
 
 def normalize_solutions(
     decoded: DataFrame, solution_id: str = "artifact_id", puzzle_id: str = "puzzle_id",
-    version: str = fixed.NORMALIZER_VERSION,
+    version: str = fixed.NORMALIZER_VERSION, summaries: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Normalized row of each decoded solution; ``error`` marks rows to quarantine."""
-    with_index = F.transform(
-        F.col("parsed.parts"), lambda p, i: F.struct(i.alias("i"), p.alias("p"))
-    )
-    rows = decoded.where("parsed IS NOT NULL").withColumn("_parts", with_index)
+    """Normalized row of each decoded solution; ``error`` marks rows to quarantine.
+
+    ``summaries`` names the fields of that column to work out (all by default): Spark computes
+    a whole struct of which several fields are read.
+    """
+    rows = decoded.where("parsed IS NOT NULL")
+    raw = F.col("parsed.parts")
+    is_track = lambda p: p["name"] == "track"
     parts = F.transform(
-        F.col("_parts"),
-        lambda e: F.struct(
-            ordinal_name("part", e["i"]).alias("part_id"),
-            e["p"]["name"].alias("type"),
-            e["p"]["x"].alias("x"),
-            e["p"]["y"].alias("y"),
-            F.when(e["p"]["name"] == "track", 0).otherwise(F.pmod(e["p"]["rotation"], F.lit(6))).alias("rotation"),
-            _parameters(e["p"]).alias("parameters"),
+        raw,
+        lambda p, i: F.struct(
+            ordinal_name("part", i).alias("part_id"),
+            p["name"].alias("type"),
+            p["x"].alias("x"),
+            p["y"].alias("y"),
+            F.when(is_track(p), 0).otherwise(F.pmod(p["rotation"], F.lit(6))).alias("rotation"),
+            _parameters(p).alias("parameters"),
         ),
     )
-    tracks = F.transform(
-        F.filter(F.col("_parts"), lambda e: e["p"]["name"] == "track"),
-        lambda e: F.struct(
-            ordinal_name("track", e["i"]).alias("track_id"),
+    # Every decoded part is read where it stands: lambdas copy what they give back.
+    tracks = F.array_compact(F.transform(raw, lambda p, i: F.when(
+        is_track(p),
+        F.struct(
+            ordinal_name("track", i).alias("track_id"),
             F.transform(
-                e["p"]["track_offsets"],
-                lambda o: F.struct((e["p"]["x"] + o["x"]).alias("x"), (e["p"]["y"] + o["y"]).alias("y")),
+                p["track_offsets"], lambda o: F.struct((p["x"] + o["x"]).alias("x"), (p["y"] + o["y"]).alias("y"))
             ).alias("coordinates"),
         ),
-    )
-    programs = F.transform(
-        F.filter(F.col("_parts"), lambda e: F.size(e["p"]["instructions"]) > 0),
-        lambda e: F.struct(
-            ordinal_name("part", e["i"]).alias("arm_id"), _by_cycle(e["p"]["instructions"]).alias("instructions")
-        ),
-    )
+    )))
+    programs = F.array_compact(F.transform(raw, lambda p, i: F.when(
+        F.size(p["instructions"]) > 0,
+        F.struct(ordinal_name("part", i).alias("arm_id"), _by_cycle(p["instructions"]).alias("instructions")),
+    )))
     # Counts are taken from the decoded structure, so that no normalized column is worked out twice.
-    raw = F.col("parsed.parts")
-    is_track = lambda p: p["name"] == "track"
     opcodes = F.flatten(F.transform(raw, lambda p: F.transform(p["instructions"], lambda s: s["opcode"])))
     total = lambda size: F.aggregate(raw, F.lit(0).cast("bigint"), lambda a, p: a + size(p))
-    summaries = F.struct(
-        F.size(raw).cast("bigint").alias("part_count"),
-        F.size(F.filter(raw, is_track)).cast("bigint").alias("track_count"),
-        total(lambda p: F.when(is_track(p), F.size(p["track_offsets"])).otherwise(0)).alias("track_hex_count"),
-        F.size(F.filter(raw, lambda p: F.size(p["instructions"]) > 0)).cast("bigint").alias("program_count"),
-        total(lambda p: F.size(p["instructions"])).alias("instruction_count"),
-        histogram(F.transform(raw, lambda p: p["name"])).alias("part_type_histogram"),
-        opcode_histogram(opcodes).alias("opcode_histogram"),
-    )
+    every = {
+        "part_count": F.size(raw).cast("bigint"),
+        "track_count": F.size(F.filter(raw, is_track)).cast("bigint"),
+        "track_hex_count": total(lambda p: F.when(is_track(p), F.size(p["track_offsets"])).otherwise(0)),
+        "program_count": F.size(F.filter(raw, lambda p: F.size(p["instructions"]) > 0)).cast("bigint"),
+        "instruction_count": total(lambda p: F.size(p["instructions"])),
+        "part_type_histogram": histogram(F.transform(raw, lambda p: p["name"])),
+        "opcode_histogram": opcode_histogram(opcodes),
+    }
     rows = rows.select(
         F.col(solution_id).alias("solution_id"),
         F.col(puzzle_id).alias("puzzle_id"),
         parts.alias("parts"),
         tracks.alias("tracks"),
         programs.alias("programs"),
-        summaries.alias("summaries"),
+        F.struct(*[c.alias(name) for name, c in every.items() if summaries is None or name in summaries]).alias("summaries"),
         normalization_error(F.col("parsed")).alias("error"),
     )
     return rows.select(
