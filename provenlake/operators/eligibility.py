@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import fixed_values as fixed
 from ..functions.canonical import artifact_id, canonical_json, lookup
+from ..session import stored
 from .checks import missing_references, packed, union_all, unique_key_violations, violations_where
 from .digest import published_sha256
 
@@ -40,6 +41,8 @@ def derive_eligibility(
         usable, "puzzle_id", "artifact_id", "source_id",
         ["sha256", "byte_length", "object_key", "rights_status"],
     ).drop("priority")
+    # Read twice below: one row per puzzle is written, so that artifacts are shuffled and chosen once.
+    chosen = stored(chosen, "chosen")
     wanted = sources.join(chosen.select("artifact_id"), "artifact_id", "left_semi")
     named = packed(wanted, ["artifact_id"], "source_id", "selected_source_ids")
     present = artifacts.select("puzzle_id", F.lit(True).alias("_has")).distinct()
